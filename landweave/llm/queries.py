@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import licenses, url_filters, warc
+from . import fingerprints, licenses, substring_dedup, url_filters, warc
 from .sql import ORACLE_SQL  # noqa: F401
 
 
@@ -13,6 +13,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.with_edits(table(spark, sf_dir, "documents"))
+
+
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256", "removed")
+
+
 def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge_urls(table(spark, sf_dir, "pages"))
 
@@ -30,4 +38,4 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op5_url_filters": op5_url_filters, "op9_warc": op9_warc, "op10_license_scan": op10_license_scan}
+QUERIES = {"op1_fingerprints": op1_fingerprints, "op3_substring_dedup": op3_substring_dedup, "op5_url_filters": op5_url_filters, "op9_warc": op9_warc, "op10_license_scan": op10_license_scan}
