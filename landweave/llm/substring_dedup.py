@@ -96,7 +96,7 @@ def anchor_spans(docs: DataFrame, window: int, anchor: int) -> DataFrame:
             begin, doc = starts[new], text[new]
             s1, s2 = window_hashes(hashes, begin, begin + n + window - 1)
             a1 = span_hashes(hashes, at[new], at[new] + anchor, BASES[0])
-            keys = batch.take(pa.array(doc))
+            keys = batch.select([0, 1]).take(pa.array(doc))
             yield pa.RecordBatch.from_arrays([keys.column(0), keys.column(1), _signed(a1), _signed(s1), _signed(s2), pa.array((begin - words.first[doc]).astype(np.int64)), pa.array(n.astype(np.int64))], ["k", "h", "anchor", "s1", "s2", "start", "n"])
 
     return docs.mapInArrow(run, "k long, h long, anchor long, s1 long, s2 long, start long, n long")
@@ -132,7 +132,7 @@ def repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> Data
             doc, start = np.concatenate(doc), np.concatenate(start)
             begin = words.first[doc] + start
             w1, w2 = window_hashes(hashes, begin, begin + window)
-            keys = batch.take(pa.array(doc))
+            keys = batch.select([0, 1]).take(pa.array(doc))
             yield pa.RecordBatch.from_arrays([keys.column(0), keys.column(1), pa.array(start.astype(np.int64)), _signed(w1), _signed(w2)], ["k", "h", "start", "w1", "w2"])
 
     windows = keyed.join(open_spans, ["k", "h"]).select("k", "h", "text", "spans").mapInArrow(extend, "k long, h long, start long, w1 long, w2 long")
