@@ -117,6 +117,23 @@ def fingerprint(docs: DataFrame, words: int = WORDS) -> DataFrame:
     return docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(run, "doc_id long, n_chars long, fingerprint string")
 
 
+SAMPLED, SAMPLE_CHARS, DICTIONARY, LEVEL = 1000, 4000, 1 << 16, 6
+
+
+def codec_dictionary(docs: DataFrame) -> bytes | None:
+    """A dictionary for the compression of texts under way, from the starts of at most ``SAMPLED`` texts; results don't depend on it."""
+    rows = docs.select(F.substring("text", 1, SAMPLE_CHARS).alias("t")).filter(F.length("t") > 100).limit(SAMPLED).collect()
+    try:
+        return zstandard.train_dictionary(DICTIONARY, [r.t.encode() for r in rows]).as_bytes()
+    except zstandard.ZstdError:  # too few texts
+        return None
+
+
+def packers(dictionary: bytes | None):
+    shared = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
+    return zstandard.ZstdCompressor(level=LEVEL, dict_data=shared).compress, zstandard.ZstdDecompressor(dict_data=shared).decompress
+
+
 BITS = 10
 
 
@@ -153,10 +170,11 @@ def with_edits(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """
     keys = [F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("k"), text_key().alias("h")]
     ids = docs.select(*keys, F.length(F.coalesce("text", F.lit(""))).cast("long").alias("n")).distinct()
+    dictionary = codec_dictionary(docs)
     own = successors(ids).select("k", "h", F.col("own.k").alias("ok"), F.col("own.h").alias("oh"), F.col("own.n").alias("on"))
 
     def first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack = zstandard.ZstdCompressor(level=3).compress
+        pack, _ = packers(dictionary)
         for batch in T.chunks(batches, CHUNK):
             data, offsets = T.raw(batch.column(3))
             blob, at = data.tobytes(), offsets.tolist()
@@ -166,7 +184,7 @@ def with_edits(docs: DataFrame, words: int = WORDS) -> DataFrame:
             )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack, unpack = zstandard.ZstdCompressor(level=3).compress, zstandard.ZstdDecompressor().decompress
+        pack, unpack = packers(dictionary)
         for batch in T.chunks(batches, CHUNK, "packed"):
             rows = batch.to_pydict()
             texts = [unpack(x).decode() for x in rows["packed"]]
@@ -180,7 +198,7 @@ def with_edits(docs: DataFrame, words: int = WORDS) -> DataFrame:
             )
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpack = zstandard.ZstdDecompressor().decompress
+        _, unpack = packers(dictionary)
         held, size, given = [], 0, (None, None, b"", b"")
 
         def flush() -> pa.RecordBatch:
