@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, licenses, substring_dedup, url_filters, warc
+from . import fingerprints, licenses, line_dedup, ngram_join, sentencepiece, substring_dedup, url_filters, warc
 from .sql import ORACLE_SQL  # noqa: F401
 
 
@@ -21,10 +21,23 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256", "removed")
 
 
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece.encode(table(spark, sf_dir, "documents"))
+
+
 def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge_urls(table(spark, sf_dir, "pages"))
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_join(table(spark, sf_dir, "documents"))
+
+
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select(F.col("doc_id").cast("long").alias("doc_id"), "n_lines", F.size("removed_lines").cast("long").alias("n_removed"), "removed_lines", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = warc.write_archives(table(spark, sf_dir, "pages"))
     return warc.read_records(index, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -38,4 +51,7 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op1_fingerprints": op1_fingerprints, "op3_substring_dedup": op3_substring_dedup, "op5_url_filters": op5_url_filters, "op9_warc": op9_warc, "op10_license_scan": op10_license_scan}
+QUERIES = {
+    f.__name__: f
+    for f in (op1_fingerprints, op3_substring_dedup, op4_sentencepiece, op5_url_filters, op6_ngram_join, op8_line_dedup, op9_warc, op10_license_scan)
+}

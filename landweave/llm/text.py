@@ -33,7 +33,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def chunks(batches: Iterator[pa.RecordBatch], most: int = 1 << 21, column: str = "text") -> Iterator[pa.RecordBatch]:
+def chunks(batches: Iterator[pa.RecordBatch], most: int = 1 << 19, column: str = "text") -> Iterator[pa.RecordBatch]:
     """Slices of the batches with about ``most`` bytes of text each; one row at least."""
     for batch in batches:
         if not batch.num_rows:
@@ -87,22 +87,27 @@ class Words:
         """The text that each word belongs to."""
         return np.repeat(np.arange(len(self.first) - 1), self.counts())
 
-    def hashes(self, block: int = 1 << 18) -> np.ndarray:
-        """64 bits of each word; in blocks of words, so that memory is bounded by the block."""
-        out = np.empty(len(self), U64)
-        for at in range(0, len(self), block):
-            starts, ends = self.starts[at : at + block], self.ends[at : at + block]
-            low, high = int(starts[0]), int(ends[-1])
-            lengths = ends - starts
-            place = np.repeat(starts, lengths)
-            inside = np.arange(len(place)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-            letters = self.data[low:high][place - low + inside].astype(U64) + U64(1)
-            power = np.full(int(lengths.max()), BASE)
-            power[0] = 1
-            letters *= np.multiply.accumulate(power)[inside]
-            sums = np.add.reduceat(letters, np.cumsum(lengths) - lengths)
-            out[at : at + block] = mix(sums + lengths.astype(U64) * ODD)
-        return out
+    def hashes(self) -> np.ndarray:
+        """64 bits of each word."""
+        return hash_ranges(self.data, self.starts, self.ends)
+
+
+def hash_ranges(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, block: int = 1 << 18) -> np.ndarray:
+    """64 bits of each range of bytes, none empty, in ascending order; in blocks of ranges and bytes, so that memory is bounded by the block."""
+    out = np.empty(len(starts), U64)
+    sizes, at = np.cumsum(ends - starts), 0
+    while at < len(starts):
+        to = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + 4 * block, "right")))
+        begin, lengths = starts[at:to], ends[at:to] - starts[at:to]
+        edges = np.cumsum(lengths) - lengths
+        inside = np.arange(int(lengths.sum())) - np.repeat(edges, lengths)
+        letters = data[np.repeat(begin, lengths) + inside].astype(U64) + U64(1)
+        power = np.full(int(lengths.max()), BASE)
+        power[0] = 1
+        letters *= np.multiply.accumulate(power)[inside]
+        out[at:to] = mix(np.add.reduceat(letters, edges) + lengths.astype(U64) * ODD)
+        at = to
+    return out
 
 
 def shingles(hashes: np.ndarray, first: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
