@@ -237,37 +237,30 @@ def link_classes(docs: DataFrame, words: int = WORDS, share: int = SHARE) -> tup
     rows = written(summaries(docs, words), "sets")
     keys = segment_keys(docs, words, share)
     shared = written(keys.groupBy("key").agg(F.min("s").alias("lo"), F.max("s").alias("hi"), F.count("*").alias("c")).filter("lo < hi"), "shared-keys")
-    # The first set of a key is compared with the others that have it.
-    members = written(keys.join(shared.filter("c > 2").select("key", "lo"), "key").groupBy("key", "s").agg(F.first("lo").alias("lo")), "key-members")
-    hubs = shared.filter("c = 2").select(F.col("lo").alias("a"), F.col("hi").alias("b")).unionByName(members.filter("s <> lo").select(F.col("lo").alias("a"), F.col("s").alias("b")))
-    tried = written(hubs.distinct(), "hub-pairs")
+    members = written(keys.join(shared.filter("c > 2").select("key"), "key").select("key", "s").distinct(), "key-members")
+    # A key's sets are compared with the one among them that has most shared keys, likely the least edited of a group.
+    degrees = members.groupBy("s").agg(F.count("*").alias("degree"))
+    hub = members.join(degrees, "s").groupBy("key").agg(F.max(F.struct("degree", "s")).alias("hub"), F.count("*").alias("c")).select("key", "c", F.col("hub.s").alias("hub"))
+    hub = written(hub, "hubs")
+    pairs = members.join(hub, "key").filter("s <> hub").select(F.least("s", "hub").alias("a"), F.greatest("s", "hub").alias("b"))
+    tried = written(shared.filter("c = 2").select(F.col("lo").alias("a"), F.col("hi").alias("b")).unionByName(pairs).distinct(), "hub-pairs")
     wanted = tried.select(F.col("a").alias("s1")).unionByName(tried.select(F.col("b").alias("s1"))).distinct()
     chosen = rows.filter("n_shingles > 0").groupBy("s1").agg(F.min(F.struct("doc_id", "h", F.col("n_shingles").alias("n"))).alias("v")).join(wanted, "s1").select("s1", "v.doc_id", "v.h", "v.n")
     texts = packed_texts(docs).join(chosen, ["doc_id", "h"]).select(F.col("s1").alias("s"), "n", "packed")
     texts = written(texts.groupBy("s").agg(F.first("n").alias("n"), F.first("packed").alias("packed")), "set-texts")
     tried = written(verified(tried, texts, words, share), "tried")
-    seen = tried
-
-    def mixed_keys(tried: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """The components so far, and the members of keys whose sets are not all in one."""
-        roots = connected_components(tried.filter("linked").select("a", "b"))
-        marked = members.join(roots.select(F.col("node").alias("s"), "root"), "s", "left").select("key", "s", "lo", F.coalesce("root", "s").alias("root"))
-        mixed = marked.groupBy("key").agg(F.min("root").alias("p"), F.max("root").alias("q"), F.count("*").alias("c")).filter("p < q").select("key", "c")
-        return roots, written(marked.join(mixed, "key"), "mixed-keys")
-
-    _, mixed = mixed_keys(tried)
-    # Large keys: all are compared with the set that is nearest to the first one, likely the least edited of the group.
-    far = mixed.filter(F.col("c") > SMALL).join(tried.select(F.col("a").alias("lo"), F.col("b").alias("s"), "apart"), ["lo", "s"])
-    middle = far.groupBy("key").agg(F.min_by("s", F.struct("apart", "s")).alias("hub"))
-    again = mixed.join(middle, "key").filter("s <> hub").select(F.least("s", "hub").alias("a"), F.greatest("s", "hub").alias("b")).distinct().join(seen, ["a", "b"], "left_anti")
-    seen = seen.unionByName(written(verified(again, texts, words, share), "tried"))
-    _, mixed = mixed_keys(seen)
+    roots = connected_components(tried.filter("linked").select("a", "b"))
+    # Members of keys whose sets are not all in one component by now.
+    marked = members.join(roots.select(F.col("node").alias("s"), "root"), "s", "left").select("key", "s", F.coalesce("root", "s").alias("root"))
+    mixed = marked.groupBy("key").agg(F.min("root").alias("p"), F.max("root").alias("q"), F.count("*").alias("c")).filter("p < q").select("key", "c")
+    mixed = written(marked.join(mixed, "key"), "mixed-keys")
     # What is left: pairs of two components that share a key and were not compared.
     x, y = (mixed.filter(F.col("c") <= SMALL).select("key", F.col("s").alias(s), F.col("root").alias(r)) for s, r in (("a", "ra"), ("b", "rb")))
     rest = x.join(y, "key").filter("ra <> rb AND a < b").select("a", "b").unionByName(near_in_blocks(mixed.filter(F.col("c") > SMALL).select("key", "s", "root", "c"), texts, words, share))
-    rest = written(rest.distinct().join(seen, ["a", "b"], "left_anti"), "rest-pairs")
-    seen = seen.unionByName(written(verified(rest, texts, words, share), "tried"))
-    return rows, connected_components(seen.filter("linked").select("a", "b"))
+    rest = written(rest.distinct().join(tried, ["a", "b"], "left_anti"), "rest-pairs")
+    more = verified(rest, texts, words, share).filter("linked").select("a", "b")
+    # Links found before are as good as their components.
+    return rows, connected_components(roots.toDF("a", "b").unionByName(more))
 
 
 def ngram_join(docs: DataFrame, words: int = WORDS, share: int = SHARE) -> DataFrame:
