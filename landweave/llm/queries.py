@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, licenses, line_dedup, ngram_join, sentencepiece, substring_dedup, url_filters, warc
+from . import decontamination, fingerprints, licenses, line_dedup, ngram_join, sentencepiece, substring_dedup, toxicity, url_filters, warc
 from .sql import ORACLE_SQL  # noqa: F401
 
 
@@ -17,6 +17,13 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.with_edits(table(spark, sf_dir, "documents"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    machine = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    held_out = F.coalesce(toxicity.held_out(), F.lit(False))
+    return toxicity.score(docs, machine).select("doc_id", held_out.alias("held_out"), "score", "predicted", "strongest")
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256", "removed")
 
@@ -33,6 +40,10 @@ def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_join(table(spark, sf_dir, "documents"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return kept.select(F.col("doc_id").cast("long").alias("doc_id"), "n_lines", F.size("removed_lines").cast("long").alias("n_removed"), "removed_lines", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
@@ -53,5 +64,8 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_fingerprints, op3_substring_dedup, op4_sentencepiece, op5_url_filters, op6_ngram_join, op8_line_dedup, op9_warc, op10_license_scan)
-}
+    for f in (
+        op1_fingerprints, op2_toxicity, op3_substring_dedup, op4_sentencepiece, op5_url_filters,
+        op6_ngram_join, op7_decontamination, op8_line_dedup, op9_warc, op10_license_scan,
+    )
+}
