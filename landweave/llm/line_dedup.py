@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from . import text as T
 from .storage import text_key, written
 
-LEAST_CHARS = 20
+LEAST_CHARS, PIECES = 20, 16
 U64 = np.uint64
 BREAK = np.zeros(256, bool)
 BREAK[10] = True
@@ -98,22 +98,58 @@ def packed(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
+def _code_points(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Code points (from 1 on), powers of the base and sums that give the hash of any stretch."""
+    x = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(U64) + U64(1)
+    power = np.full(len(x) + 2, T.BASE)
+    power[0] = 1
+    power = np.multiply.accumulate(power)
+    return x, power, np.r_[U64(0), np.cumsum(x * power[: len(x)])]
+
+
+def _inverse(n: int) -> np.ndarray:
+    out = np.full(n + 1, pow(int(T.BASE), -1, 1 << 64), dtype=U64)
+    out[0] = 1
+    return np.multiply.accumulate(out)
+
+
+def pieces(n: int, longer: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where the part that an edit may change begins and ends, for each piece, in a line of ``n`` among lines of ``longer`` and one less."""
+    cut = np.arange(PIECES + 1) * (longer - 1) // PIECES
+    return cut[:-1], n - (longer - 1) + cut[1:]
+
+
+def around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Keys of what stands around each piece."""
+    for batch in T.chunks(batches, 1 << 19, "value"):
+        keys, which = [], []
+        for text in batch.column(3).to_pylist():
+            x, power, sums = _code_points(text)
+            n = len(x)
+            inverse = _inverse(n)
+            for longer in (n, n + 1):
+                a, b = pieces(n, longer)
+                back = (sums[n] - sums[b]) * inverse[b]
+                keys.append(T.mix(T.mix(sums[a] + a.astype(U64)) + back * T.ODD + (n - b).astype(U64) + U64(longer << 8)))
+                which.append(np.arange(PIECES) + PIECES * (longer - n))
+        own = batch.select([0, 1, 2]).take(pa.array(np.repeat(np.arange(batch.num_rows), 2 * PIECES)))
+        yield pa.RecordBatch.from_arrays([*own.columns, pa.array(np.concatenate(which).astype(np.int32)), _long(np.concatenate(keys))], ["k", "h", "line", "piece", "key"])
+
+
 def variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Keys of each line (kind 0), of it with one character left out (1), and of that and the place (2)."""
-    for batch in T.chunks(batches, 1 << 18, "value"):
+    """Keys of each line (kind 0), of it with one character of the given pieces left out (1), and of that and the place (2)."""
+    for batch in T.chunks(batches, 1 << 19, "value"):
         parts = []
-        for text in batch.column(5).to_pylist():
-            x = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(U64) + U64(1)
-            power = np.full(len(x) + 1, T.BASE)
-            power[0] = 1
-            power = np.multiply.accumulate(power)
-            sums = np.r_[U64(0), np.cumsum(x * power[:-1])]
-            whole, inverse = sums[-1:], U64(pow(int(T.BASE), -1, 1 << 64))
-            less = sums[:-1] + (sums[-1] - sums[1:]) * inverse
-            spot = np.arange(1, len(x) + 1).astype(U64) * T.ODD
-            parts.append((np.r_[T.mix(whole.copy()), T.mix(less.copy()), T.mix(T.mix(less) ^ spot)], np.r_[0, np.ones(len(x)), np.full(len(x), 2)].astype(np.int32)))
+        for text, which in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True):
+            x, power, sums = _code_points(text)
+            n, inverse = len(x), U64(pow(int(T.BASE), -1, 1 << 64))
+            a, b = pieces(n, n)
+            at = np.unique(np.concatenate([np.arange(a[j], b[j]) for j in which if j < PIECES] or [np.zeros(0, np.int64)])).astype(np.int64)
+            less = sums[at] + (sums[n] - sums[at + 1]) * inverse
+            spot = (at + 1).astype(U64) * T.ODD
+            parts.append((np.r_[T.mix(sums[n:].copy()), T.mix(less.copy()), T.mix(T.mix(less) ^ spot)], np.r_[0, np.ones(len(at)), np.full(len(at), 2)].astype(np.int32)))
         keys = batch.select([0, 1, 2]).take(pa.array(np.repeat(np.arange(batch.num_rows), [len(k) for k, _ in parts])))
-        yield pa.RecordBatch.from_arrays([_long(np.concatenate([k for k, _ in parts])), pa.array(np.concatenate([c for _, c in parts])), *(keys.column(i) for i in range(3))], ["key", "kind", "k", "h", "line"])
+        yield pa.RecordBatch.from_arrays([_long(np.concatenate([k for k, _ in parts])), pa.array(np.concatenate([c for _, c in parts])), *keys.columns], ["key", "kind", "k", "h", "line"])
 
 
 def within_one(a: str, b: str) -> bool:
@@ -148,7 +184,10 @@ def repeated_lines(docs: DataFrame, least: int = LEAST_CHARS) -> DataFrame:
     held = packed(_keyed(docs)).join(wanted, ["k", "h"]).select("k", "h", "text", "lines").mapInArrow(pick, "k long, h long, line long, value string")
     # Rows of one place are equal.
     held = written(held.dropDuplicates(["k", "h", "line"]), "candidate-lines")
-    made = held.select("k", "h", "line", F.lit(0).alias("x"), F.lit(0).alias("y"), "value").mapInArrow(variants, "key long, kind int, k long, h long, line long")
+    near_keys = held.select("k", "h", "line", "value").mapInArrow(around, "k long, h long, line long, piece int, key long")
+    several = near_keys.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1").select("key")
+    where = written(near_keys.join(several, "key").groupBy("k", "h", "line").agg(F.collect_set("piece").alias("pieces")), "pieces")
+    made = held.join(where, ["k", "h", "line"]).select("k", "h", "line", "value", "pieces").mapInArrow(variants, "key long, kind int, k long, h long, line long")
     groups = made.groupBy("key").agg(F.count("*").alias("c"), F.min(F.when(F.col("kind") == 0, place)).alias("whole"), F.min(F.when(F.col("kind") == 1, place)).alias("less"), F.min(F.when(F.col("kind") == 2, place)).alias("same")).filter("c > 1")
     partner = F.when(F.col("kind") == 0, F.col("less")).when(F.col("kind") == 1, F.col("whole")).otherwise(F.col("same"))
     met = made.join(groups, "key").select("k", "h", "line", partner.alias("partner")).filter(F.col("partner").isNotNull() & (F.col("partner") < place))
