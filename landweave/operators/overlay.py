@@ -26,7 +26,7 @@ def edge_rows(df: DataFrame, group: str, side: str, polygon: str) -> DataFrame:
 
 
 def trapezoids(edges: DataFrame) -> DataFrame:
-    """(grp, y, y2, a, b, area): what lies between neighbouring edges of each slab, and how many polygons of each side cover it."""
+    """(grp, y, top, a, b, c, area): what lies between neighbouring edges of each slab, and how many polygons of each side cover it."""
     edges = written(edges.withColumn("m", (F.col("x2") - F.col("x1")) / (F.col("y2") - F.col("y1"))), "overlay-edges")
     left, right = edges.alias("l"), edges.alias("r")
     y = F.col("l.y1") + F.try_divide(F.col("r.x1") - F.col("l.x1") + (F.col("l.y1") - F.col("r.y1")) * F.col("r.m"), F.col("l.m") - F.col("r.m"))
@@ -42,7 +42,7 @@ def trapezoids(edges: DataFrame) -> DataFrame:
     slab = Window.partitionBy("grp", "y").orderBy(*order)
     running = slab.rowsBetween(Window.unboundedPreceding, 0)
     count = lambda s: F.sum(F.when(F.col("side") == s, F.col("step")).otherwise(0)).over(running)
-    there = there.withColumns({"a": count("a"), "b": count("b"), "low2": F.lead("low").over(slab), "high2": F.lead("high").over(slab)})
+    there = there.withColumns({"a": count("a"), "b": count("b"), "c": count("c"), "low2": F.lead("low").over(slab), "high2": F.lead("high").over(slab)})
     return there.filter("low2 IS NOT NULL").withColumn("area", ((F.col("low2") - F.col("low")) + (F.col("high2") - F.col("high"))) / 2 * (F.col("top") - F.col("y"))).filter("area > 0")
 
 
@@ -66,6 +66,18 @@ def overlay(features: DataFrame, mask: DataFrame, kind: str, key: str = "fid", c
     return out
 
 
+def remainder(features: DataFrame, mask: DataFrame, area_of_interest: DataFrame, key: str = "fid", cell: float = CELL) -> DataFrame:
+    """(key, area) of features minus the mask, inside the union of the area of interest; a layer's first stage for each feature."""
+    plain = features.select(key, "geom", *BOX)
+    sides = []
+    for side, other in (("b", mask), ("c", area_of_interest)):
+        near = candidates(plain.select(key, *BOX), other.select(F.monotonically_increasing_id().alias("id"), "geom", *BOX), cell)
+        sides.append(near.select(F.col(key), F.col("r_id").alias("poly"), F.col("r_geom").alias("geom")).transform(lambda d, s=side: edge_rows(d, key, s, "poly")))
+    inside = sides[1].select("grp").distinct()
+    edges = edge_rows(plain.withColumn("poly", F.col(key)), key, "a", "poly").unionByName(sides[0]).join(inside, "grp", "left_semi").unionByName(sides[1])
+    return trapezoids(edges).filter("a > 0 AND b = 0 AND c > 0").groupBy(F.col("grp").alias(key)).agg(F.sum("area").alias("area"))
+
+
 def union_area(polygons: DataFrame, by: str, key: str = "fid") -> DataFrame:
     """Area of the union of each group's polygons."""
     return trapezoids(edge_rows(polygons, by, "a", key)).filter("a > 0").groupBy(F.col("grp").alias(by)).agg(F.sum("area").alias("area"))
@@ -76,3 +88,26 @@ def iou(left: DataFrame, right: DataFrame, key: str = "fid", cell: float = CELL)
     shared = overlay(left, right, "intersection", key, cell).agg(F.coalesce(F.sum("area"), F.lit(0.0)).alias("shared"))
     total = left.select(G.area(F.col("geom")).alias("t")).unionByName(right.select(G.area(F.col("geom")).alias("t"))).agg(F.coalesce(F.sum("t"), F.lit(0.0)).alias("t"))
     return shared.crossJoin(total).select(F.when(F.col("t") == 0, 1.0).otherwise(F.col("shared") / (F.col("t") - F.col("shared"))).alias("iou"), "shared")
+
+
+def validity(polygons: DataFrame, key: str) -> DataFrame:
+    """Polygons with ``is_valid``: rings of four points or more, closed, and no two of their edges cross properly."""
+    flat = polygons.select(key, F.posexplode(G.edges(F.col("geom"))).alias("n", "e")).select(key, "n", "e.*")
+    flat = written(flat, "validity-edges")
+    turn = lambda ax, ay, bx, by, cx, cy: f"sign(({bx}-{ax})*({cy}-{ay})-({by}-{ay})*({cx}-{ax}))"
+    ends = [turn("l.x1", "l.y1", "l.x2", "l.y2", *p) for p in (("r.x1", "r.y1"), ("r.x2", "r.y2"))] + [turn("r.x1", "r.y1", "r.x2", "r.y2", *p) for p in (("l.x1", "l.y1"), ("l.x2", "l.y2"))]
+    crossed = flat.alias("l").join(flat.alias("r"), F.expr(f"l.{key} = r.{key} AND l.n < r.n")).filter(f"{ends[0]} * {ends[1]} < 0 AND {ends[2]} * {ends[3]} < 0")
+    bad = crossed.select(F.col(f"l.{key}").alias(key)).distinct().withColumn("_bad", F.lit(True))
+    closed = F.forall(F.flatten(F.col("geom.parts")), lambda r: (F.size(r) >= 4) & (F.get(r, F.lit(0)) == F.get(r, F.size(r) - 1)))
+    return polygons.join(bad, key, "left").withColumn("is_valid", F.col("_bad").isNull() & closed).drop("_bad")
+
+
+def representative_points(polygons: DataFrame, key: str) -> DataFrame:
+    """(key, x, y): the middle of the widest inner stretch of a scan line half way between the vertices around the box's middle."""
+    rows = polygons.select(key, F.posexplode(G.edges(F.col("geom"))).alias("n", "e"), ((F.col("miny") + F.col("maxy")) / 2).alias("half")).select(key, "half", "e.*")
+    ys = rows.groupBy(key, "half").agg(F.max(F.when(F.col("y1") <= F.col("half"), F.col("y1"))).alias("lo"), F.min(F.when(F.col("y1") > F.col("half"), F.col("y1"))).alias("hi"))
+    at = rows.join(ys.select(key, ((F.col("lo") + F.col("hi")) / 2).alias("y")), key)
+    hits = at.filter("least(y1, y2) <= y AND y < greatest(y1, y2)").select(key, "y", (F.col("x1") + (F.col("y") - F.col("y1")) * (F.col("x2") - F.col("x1")) / (F.col("y2") - F.col("y1"))).alias("x"))
+    order = Window.partitionBy(key).orderBy("x")
+    spans = hits.withColumns({"n": F.row_number().over(order), "x2": F.lead("x").over(order)}).filter("n % 2 = 1")
+    return spans.groupBy(key).agg(F.max_by(F.struct(((F.col("x") + F.col("x2")) / 2).alias("x"), "y"), F.struct(F.col("x2") - F.col("x"), -F.col("x"))).alias("p")).select(key, "p.x", "p.y")

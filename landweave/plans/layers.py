@@ -85,3 +85,37 @@ def enrich(spark: SparkSession, sf_dir: str, layer: DataFrame, specs=ENRICH) ->
 
 def leaky_prioritised(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.priority_scores(enrich(spark, sf_dir, leaky(spark, sf_dir)))
+
+
+AREA = (401000.0, 301000.0, 405000.0, 305000.0)
+
+
+def area_of_interest(spark: SparkSession) -> DataFrame:
+    return spark.range(1).select(*(F.lit(v).alias(c) for c, v in zip(X.BOX, AREA, strict=True))).withColumn("geom", G.box_polygon())
+
+
+def shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return G.with_bounds(fixtures.layer(spark, sf_dir, "fx_shape").withColumn("geom", G.shape_polygon()))
+
+
+def sources(spark: SparkSession, sf_dir: str, layer: str) -> DataFrame:
+    """(fid, geom, box) of the polygons a layer starts from; fids of two sources are told apart by their parity."""
+    flood, raf, shape = boxes(spark, sf_dir, "fx_flood"), boxes(spark, sf_dir, "fx_raf"), shapes(spark, sf_dir)
+    parts = {
+        "pond": [raf],
+        "bunds": [flood.filter("risk_band IN ('High', 'Medium')")],
+        "floodplain": [flood.filter("risk_band = 'Very Low'"), shape.filter("shape_kind = 1")],
+        "riparian": [shape.filter("shape_kind = 2")],
+        "woodland": [shape.filter("shape_kind = 0"), shape.filter("shape_kind = 3")],
+        "peat": [shape.filter("s <= 60")],
+    }[layer]
+    return reduce(DataFrame.unionByName, (p.select((F.col("fid") * len(parts) + i).alias("fid"), "geom", *X.BOX) for i, p in enumerate(parts)))
+
+
+def masks(spark: SparkSession, sf_dir: str, layer: str) -> DataFrame:
+    """What a layer subtracts: constraints (peat: without land cover) and, for bunds, runoff attenuation and the waterlines' buffers."""
+    out = constraints(spark, sf_dir, land_cover=layer != "peat").select("geom", *X.BOX)
+    if layer == "bunds":
+        lines = fixtures.layer(spark, sf_dir, "fx_line").withColumn("r", S.lookup(F.col("type"), BUFFERS)).filter("r IS NOT NULL")
+        out = out.unionByName(boxes(spark, sf_dir, "fx_raf").select("geom", *X.BOX)).unionByName(buffered_box(lines, F.col("r")).select("geom", *X.BOX))
+    return out

@@ -601,3 +601,184 @@ def page_cache_identity(spark, d):
 def coverage_validity(spark, d):
     by = fx(spark, d, "fx_page").groupBy("page").agg(F.count_if(F.expr("dataset = 'ds0' AND page % 5 <> 0")).alias("a"), F.count_if(F.expr("dataset = 'ds1'")).alias("b"))
     return by.filter("a = 0 AND b > 0").select("page", "a", "b")
+
+
+# Polygon layers: area of each feature that is left inside the area of interest
+
+
+def remaining(features: str, mask: str) -> str:
+    """By coordinate compression: boxes ``feat`` minus the union of ``mk``, inside the area of interest."""
+    a, c, b, e = (int(v) for v in L.AREA)
+    return (
+        f", feat AS (SELECT fid, greatest(minx,{a}) AS minx, greatest(miny,{c}) AS miny, least(maxx,{b}) AS maxx, least(maxy,{e}) AS maxy FROM ({features}) WHERE maxx>{a} AND minx<{b} AND maxy>{c} AND miny<{e}), mk AS ({mask}), "
+        "m AS (SELECT f.fid, greatest(f.minx,r.minx) AS minx, greatest(f.miny,r.miny) AS miny, least(f.maxx,r.maxx) AS maxx, least(f.maxy,r.maxy) AS maxy FROM feat f JOIN mk r ON f.maxx>r.minx AND f.minx<r.maxx AND f.maxy>r.miny AND f.miny<r.maxy), "
+        "xs AS (SELECT DISTINCT fid, x FROM (SELECT fid, minx AS x FROM m UNION ALL SELECT fid, maxx FROM m)), ys AS (SELECT DISTINCT fid, y FROM (SELECT fid, miny AS y FROM m UNION ALL SELECT fid, maxy FROM m)), "
+        "xc AS (SELECT fid, x, lead(x) OVER (PARTITION BY fid ORDER BY x) AS x2 FROM xs), yc AS (SELECT fid, y, lead(y) OVER (PARTITION BY fid ORDER BY y) AS y2 FROM ys), "
+        "cells AS (SELECT DISTINCT xc.fid, x, x2, y, y2 FROM xc JOIN yc ON xc.fid=yc.fid JOIN m ON m.fid=xc.fid AND m.minx<=x AND m.maxx>=x2 AND m.miny<=y AND m.maxy>=y2 WHERE x2 IS NOT NULL AND y2 IS NOT NULL), "
+        "c AS (SELECT fid, sum((x2-x)*(y2-y)) AS covered FROM cells GROUP BY 1) "
+        "SELECT f.fid, CAST((f.maxx-f.minx)*(f.maxy-f.miny)-coalesce(covered,0) AS DOUBLE) AS area FROM feat f LEFT JOIN c ON c.fid=f.fid WHERE (f.maxx-f.minx)*(f.maxy-f.miny)-coalesce(covered,0) > 0"
+    )
+
+
+def polygon_layer(spark, d, name):
+    return O.remainder(L.sources(spark, d, name), L.masks(spark, d, name), L.area_of_interest(spark))
+
+
+@query(f", {CONS}" + remaining("SELECT * FROM fx_raf", "SELECT minx, miny, maxx, maxy FROM cons"), *CONS_FX)
+def layer_pond(spark, d):
+    return polygon_layer(spark, d, "pond")
+
+
+BUFFER = "CASE type WHEN 'District' THEN 50 WHEN 'Local' THEN 30 WHEN 'National' THEN 150 WHEN 'Regional' THEN 100 END"
+
+
+@query(
+    f", {CONS}" + remaining("SELECT * FROM fx_flood WHERE risk_band IN ('High','Medium')", f"SELECT minx, miny, maxx, maxy FROM cons UNION ALL SELECT minx, miny, maxx, maxy FROM fx_raf UNION ALL SELECT x1-r, y1-r, x2+r, y2+r FROM (SELECT *, {BUFFER} AS r FROM fx_line) WHERE r IS NOT NULL"),
+    *CONS_FX, "fx_flood",
+)
+def layer_bunds(spark, d):
+    return polygon_layer(spark, d, "bunds")
+
+
+@query(None)
+def layer_floodplain(spark, d):
+    return polygon_layer(spark, d, "floodplain").withColumn("area", F.round("area", 6))
+
+
+@query(None)
+def layer_riparian(spark, d):
+    return polygon_layer(spark, d, "riparian").withColumn("area", F.round("area", 6))
+
+
+@query(None)
+def layer_woodland(spark, d):
+    return polygon_layer(spark, d, "woodland").withColumn("area", F.round("area", 6))
+
+
+@query(None)
+def layer_peat(spark, d):
+    return polygon_layer(spark, d, "peat").withColumn("area", F.round("area", 6))
+
+
+COMPONENTS = ", e AS (SELECT a.fid AS a, b.fid AS b FROM fx_raf a JOIN fx_raf b ON a.fid<>b.fid AND a.maxx>=b.minx AND a.minx<=b.maxx AND a.maxy>=b.miny AND a.miny<=b.maxy), rr(fid, root) AS (SELECT fid, fid FROM fx_raf UNION SELECT e.b, rr.root FROM rr JOIN e ON e.a = rr.fid), cc AS (SELECT fid, min(root) AS root FROM rr GROUP BY 1)"
+UNION_SQL = (
+    ", m AS (SELECT cc.root AS fid, minx, miny, maxx, maxy FROM fx_raf JOIN cc ON cc.fid = fx_raf.fid), xs AS (SELECT DISTINCT fid, x FROM (SELECT fid, minx AS x FROM m UNION ALL SELECT fid, maxx FROM m)), ys AS (SELECT DISTINCT fid, y FROM (SELECT fid, miny AS y FROM m UNION ALL SELECT fid, maxy FROM m)), "
+    "xc AS (SELECT fid, x, lead(x) OVER (PARTITION BY fid ORDER BY x) AS x2 FROM xs), yc AS (SELECT fid, y, lead(y) OVER (PARTITION BY fid ORDER BY y) AS y2 FROM ys), "
+    "cells AS (SELECT DISTINCT xc.fid, x, x2, y, y2 FROM xc JOIN yc ON xc.fid=yc.fid JOIN m ON m.fid=xc.fid AND m.minx<=x AND m.maxx>=x2 AND m.miny<=y AND m.maxy>=y2 WHERE x2 IS NOT NULL AND y2 IS NOT NULL) "
+    "SELECT fid AS root, CAST(sum((x2-x)*(y2-y)) AS DOUBLE) AS area FROM cells GROUP BY 1"
+)
+
+
+@query(None)
+def dissolve_connected(spark, d):
+    raf = L.boxes(spark, d, "fx_raf")
+    return O.union_area(raf.join(connected_components(spark, d), "fid"), "root")
+
+
+ORACLE_SQL["dissolve_connected"] = fixtures.cte("fx_raf").replace("WITH ", "WITH RECURSIVE ", 1).rstrip() + COMPONENTS + UNION_SQL
+
+
+@query(f"SELECT b.fid, CAST((b.maxx-b.minx)*(b.maxy-b.miny) AS DOUBLE) AS area FROM fx_waterbody b WHERE EXISTS (SELECT 1 FROM fx_boundary a WHERE {AREA} > 0)", "fx_waterbody", "fx_boundary")
+def aoi_waterbody_union(spark, d):
+    return L.boxes(spark, d, "fx_waterbody").join(filter_area_positive(spark, d), "fid", "left_semi").select("fid", G.area(F.col("geom")).alias("area"))
+
+
+@query("SELECT wb_id AS tile_id, wb_id, fid FROM fx_waterbody", "fx_waterbody")
+def tile_index(spark, d):
+    return ledger.tile_ids(fx(spark, d, "fx_waterbody"), "wb_id", "fid").select("tile_id", "wb_id", "fid")
+
+
+@query("SELECT w.fid AS tile, count(*) AS n FROM fx_waterbody w JOIN fx_flood f ON f.maxx>=w.minx-250 AND f.minx<=w.maxx+250 AND f.maxy>=w.miny-250 AND f.miny<=w.maxy+250 GROUP BY 1", "fx_waterbody", "fx_flood")
+def tile_halo(spark, d):
+    tiles = L.boxes(spark, d, "fx_waterbody").select("fid", (F.col("minx") - 250).alias("minx"), (F.col("miny") - 250).alias("miny"), (F.col("maxx") + 250).alias("maxx"), (F.col("maxy") + 250).alias("maxy"))
+    return X.candidates(L.boxes(spark, d, "fx_flood").select("fid", *X.BOX), tiles).groupBy(F.col("r_fid").alias("tile")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT 2 AS layers, count(*) AS n, bool_and(maxx>minx) AS valid FROM fx_flood", "fx_flood")
+def validate_layer(spark, d):
+    e = G.edges(F.col("geom"))
+    return L.boxes(spark, d, "fx_flood").agg(F.lit(2).alias("layers"), F.count("*").alias("n"), F.bool_and((F.size(e) >= 3) & (G.area(F.col("geom")) > 0)).alias("valid"))
+
+
+@query("SELECT fid, true AS is_valid FROM fx_shape UNION ALL SELECT fid, false FROM fx_shape WHERE shape_kind = 3", "fx_shape")
+def is_valid(spark, d):
+    bow = lambda x: F.struct(F.lit("polygon").alias("kind"), F.array(F.array(F.array(*(G.vertex(F.col("ox") + F.col("s") * a, F.col("oy") + F.col("s") * b) for a, b in ((0, 0), (1, 1), (1, 0), (0, 1), (0, 0)))))).alias("parts"))
+    df = fx(spark, d, "fx_shape")
+    both = df.select((F.col("fid") * 2).alias("g"), "fid", G.shape_polygon().alias("geom")).unionByName(df.filter("shape_kind = 3").select((F.col("fid") * 2 + 1).alias("g"), "fid", bow(0).alias("geom")))
+    return O.validity(both, "g").select("fid", "is_valid")
+
+
+@query("SELECT fid, CAST((minx+maxx)/2.0 AS DOUBLE) AS x, CAST((miny+maxy)/2.0 AS DOUBLE) AS y FROM fx_spz", "fx_spz")
+def rep_point(spark, d):
+    return O.representative_points(L.boxes(spark, d, "fx_spz"), "fid")
+
+
+@query("SELECT shape_kind, count(*) AS n FROM fx_shape GROUP BY 1", "fx_shape")
+def geom_hash(spark, d):
+    df = fx(spark, d, "fx_shape").withColumn("geom", G.shape_polygon())
+    ring = F.col("geom.parts")[0][0]
+    hashed = df.withColumn("hash", F.sha2(F.to_json(F.array_sort(F.slice(ring, 1, F.size(ring) - 1))), 256))
+    return hashed.groupBy("shape_kind").agg(F.count("hash").alias("n"))
+
+
+PARITY = "a AS (SELECT layer, count(*) AS n FROM fx_status WHERE event_id % 2 = 0 GROUP BY 1), b AS (SELECT layer, count(*) AS n FROM fx_status WHERE event_id % 3 = 0 AND layer <> 'bunds' GROUP BY 1)"
+
+
+@query(f", {PARITY} SELECT a.layer, a.n, b.n AS ref, CASE WHEN b.n IS NULL THEN 'no_reference' WHEN abs(a.n-b.n)*10 > b.n THEN 'count' ELSE '' END AS flags FROM a LEFT JOIN b ON a.layer=b.layer", *LEDGER)
+def agg_parity(spark, d):
+    rows = fx(spark, d, "fx_status")
+    own = rows.filter("event_id % 2 = 0").groupBy("layer").agg(F.count("*").alias("n"))
+    ref = rows.filter("event_id % 3 = 0 AND layer <> 'bunds'").groupBy("layer").agg(F.count("*").alias("ref"))
+    return own.join(ref, "layer", "left").withColumn("flags", F.when(F.col("ref").isNull(), "no_reference").when(F.abs(F.col("n") - F.col("ref")) * 10 > F.col("ref"), "count").otherwise(""))
+
+
+@query("SELECT layer, count(DISTINCT tile_id) AS tiles, count(*) AS features, bool_and(status <> 'error:KeyError:x') AS valid FROM fx_status GROUP BY 1", *LEDGER)
+def agg_merge_report(spark, d):
+    return fx(spark, d, "fx_status").groupBy("layer").agg(F.countDistinct("tile_id").alias("tiles"), F.count("*").alias("features"), F.bool_and(F.col("status") != "error:KeyError:x").alias("valid"))
+
+
+@query("SELECT layer, count(*) AS n, round(100.0*count(*)/sum(count(*)) OVER (), 6) AS pct FROM fx_status GROUP BY 1", *LEDGER)
+def review_pack(spark, d):
+    rows = fx(spark, d, "fx_status")
+    by, total = rows.groupBy("layer").agg(F.count("*").alias("n")), rows.agg(F.count("*").alias("t"))
+    return by.crossJoin(F.broadcast(total)).select("layer", "n", F.round(100 * F.col("n") / F.col("t"), 6).alias("pct"))
+
+
+@query("SELECT split_part(status,':',1) AS result, count(*) AS n, round(100.0*count(*)/sum(count(*)) OVER (),6) AS pct FROM fx_status GROUP BY 1", *LEDGER)
+def audit_summary(spark, d):
+    kind = ledger.with_kind(fx(spark, d, "fx_status"))
+    by = kind.groupBy(F.col("kind").alias("result")).agg(F.count("*").alias("n"))
+    return by.crossJoin(F.broadcast(kind.agg(F.count("*").alias("t")))).select("result", "n", F.round(100 * F.col("n") / F.col("t"), 6).alias("pct"))
+
+
+@query("SELECT event_id FROM fx_status WHERE split_part(status,':',1) NOT IN ('ok','empty','skip')", *LEDGER)
+def audit_action_items(spark, d):
+    return ledger.with_kind(fx(spark, d, "fx_status")).filter(~F.col("kind").isin("ok", "empty", "skip")).select("event_id")
+
+
+LABELS = {"ok": "reachable", "empty": "reachable, no rows", "error": "broken"}
+
+
+@query("SELECT event_id, CASE split_part(status,':',1) WHEN 'ok' THEN 'reachable' WHEN 'empty' THEN 'reachable, no rows' WHEN 'error' THEN 'broken' ELSE split_part(status,':',1) END AS label FROM fx_status", *LEDGER)
+def probe_label(spark, d):
+    return ledger.with_kind(fx(spark, d, "fx_status")).select("event_id", F.coalesce(S.lookup(F.col("kind"), LABELS), F.col("kind")).alias("label"))
+
+
+GAP = "g AS (SELECT layer AS category, CASE event_id % 3 WHEN 0 THEN 'all' WHEN 1 THEN 'pond,peat' ELSE 'bunds' END AS kinds, event_id % 2 = 0 AS gb FROM fx_status)"
+
+
+@query(f", {GAP} SELECT t.kind, category, count(*) AS total, count(*) FILTER (gb) AS gb FROM g JOIN (SELECT unnest(['pond','peat','bunds']) AS kind) t ON kinds = 'all' OR list_contains(string_split(kinds, ','), t.kind) GROUP BY 1, 2", *LEDGER)
+def audit_gap_matrix(spark, d):
+    kinds = F.when(F.col("event_id") % 3 == 0, "all").when(F.col("event_id") % 3 == 1, "pond,peat").otherwise("bunds")
+    every = F.array(*(F.lit(k) for k in ("pond", "peat", "bunds")))
+    rows = fx(spark, d, "fx_status").select(F.col("layer").alias("category"), F.explode(F.when(kinds == "all", every).otherwise(F.split(kinds, ","))).alias("kind"), (F.col("event_id") % 2 == 0).alias("gb"))
+    return rows.groupBy("kind", "category").agg(F.count("*").alias("total"), F.count_if("gb").alias("gb"))
+
+
+@query("SELECT s_suppkey AS id FROM supplier WHERE s_suppkey % 3 IN (0, 1) AND (s_suppkey % 4 = 0 OR s_suppkey % 5 = 0) AND contains(lower(s_name), '1')")
+def registry_targets(spark, d):
+    df = spark.read.parquet(f"{d}/supplier.parquet")
+    method = F.when(F.col("s_suppkey") % 3 == 0, "wfs").when(F.col("s_suppkey") % 3 == 1, "ogc").otherwise("manual")
+    phase, experimental, wired = F.when(F.col("s_suppkey") % 4 != 0, "2"), F.col("s_suppkey") % 4 != 0, F.col("s_suppkey") % 5 == 0
+    core = F.coalesce(phase, F.lit("1")) == "1"
+    return df.filter(method.isin("wfs", "ogc") & (core | (experimental & wired)) & F.contains(F.lower("s_name"), F.lit("1"))).select(F.col("s_suppkey").alias("id"))
