@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +14,7 @@ from ..operators import graph, ledger
 from ..operators import overlay as O
 from ..operators import scoring as S
 from ..operators import spatial as X
-from ..sources import pages
+from ..sources import landing, pages
 from . import layers as L
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -782,3 +783,86 @@ def registry_targets(spark, d):
     phase, experimental, wired = F.when(F.col("s_suppkey") % 4 != 0, "2"), F.col("s_suppkey") % 4 != 0, F.col("s_suppkey") % 5 == 0
     core = F.coalesce(phase, F.lit("1")) == "1"
     return df.filter(method.isin("wfs", "ogc") & (core | (experimental & wired)) & F.contains(F.lower("s_name"), F.lit("1"))).select(F.col("s_suppkey").alias("id"))
+
+
+# Landed files
+
+
+def landed(spark, name: str) -> str:
+    return f"{graph.shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def page_files(spark, d) -> str:
+    """Pages of the stand-in as GeoJSON, one a line; pages of ds2 are errors, every tenth page says there is more."""
+    rows = fx(spark, d, "fx_page")
+    feature = F.struct(F.col("objectid").alias("id"), F.create_map(F.lit("dataset"), "dataset").alias("properties"), F.lit('{"type":"Point"}').alias("geometry"))
+    by = rows.groupBy("dataset", "page").agg(F.collect_list(feature).alias("features"))
+    kind = F.when(F.col("dataset") == "ds2", "ExceptionReport").otherwise("FeatureCollection")
+    body = by.select(F.to_json(F.struct(kind.alias("type"), F.struct((F.col("page") % 10 == 0).alias("exceededTransferLimit")).alias("properties"), "features")).alias("value"))
+    path = landed(spark, "geojson")
+    body.write.text(path)
+    return path
+
+
+@query("SELECT dataset, objectid, count(*) AS n FROM fx_page WHERE dataset <> 'ds2' GROUP BY 1, 2", "fx_page")
+def scan_geojson_pages(spark, d):
+    return landing.geojson_pages(spark, page_files(spark, d)).groupBy(F.col("properties")["dataset"].alias("dataset"), F.col("id").alias("objectid")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT count(*) AS more FROM (SELECT DISTINCT dataset, page FROM fx_page WHERE page % 10 = 0)", "fx_page")
+def scan_arcgis_pages(spark, d):
+    return landing.cut_off(spark, page_files(spark, d)).agg(F.count("*").alias("more"))
+
+
+@query("SELECT fid, risk_band FROM fx_flood WHERE risk_band='High'", "fx_flood")
+def write_stage(spark, d):
+    df = fx(spark, d, "fx_flood").filter("risk_band='High'").select("fid", "risk_band")
+    path = landed(spark, "stages")
+    landing.write_stage(df.limit(0), path, "flood", "opportunity", "2024-01-01")
+    return spark.read.parquet(landing.write_stage(df, path, "flood", "opportunity", "2024-01-01"))
+
+
+@query("SELECT fid, risk_band FROM fx_flood WHERE risk_band='none'", "fx_flood")
+def write_empty_ok(spark, d):
+    df = fx(spark, d, "fx_flood").filter("risk_band='none'").select("fid", "risk_band")
+    return spark.read.parquet(landing.write_stage(df, landed(spark, "stages"), "flood", "empty", "2024-01-01"))
+
+
+@query("SELECT DISTINCT dataset, page, objectid FROM fx_page", "fx_page")
+def ingest_pages_stream(spark, d):
+    rows, path = fx(spark, d, "fx_page").select("dataset", "page", "objectid"), landed(spark, "landing")
+    table, state = landed(spark, "ingested"), landed(spark, "stream")
+    for part in ("page % 2 = 0", "page % 2 = 1"):  # the second run takes up where the first ended
+        rows.filter(part).write.mode("append").json(path)
+        landing.ingest_stream(spark, path, table, state)
+    return spark.read.parquet(table)
+
+
+@query("SELECT l.fid, CAST(sum(greatest(0, least(l.x2,b.maxx)-greatest(l.x1,b.minx))+greatest(0, least(l.y2,b.maxy)-greatest(l.y1,b.miny))) AS DOUBLE) AS len FROM fx_line l JOIN fx_waterbody b ON l.x2>=b.minx AND l.x1<=b.maxx AND l.y2>=b.miny AND l.y1<=b.maxy WHERE b.region = 1 GROUP BY 1", "fx_line", "fx_waterbody")
+def clip_lines(spark, d):
+    lines = fx(spark, d, "fx_line").select("fid", F.col("x1").cast("double").alias("minx"), F.col("y1").cast("double").alias("miny"), F.col("x2").cast("double").alias("maxx"), F.col("y2").cast("double").alias("maxy"))
+    pairs = X.candidates(lines, L.boxes(spark, d, "fx_waterbody").filter("region = 1").select(*X.BOX))
+    piece = lambda lo, hi: F.greatest(F.lit(0.0), F.least(hi, f"r_{hi}") - F.greatest(lo, f"r_{lo}"))
+    return pairs.groupBy("fid").agg(F.sum(piece("minx", "maxx") + piece("miny", "maxy")).alias("len"))
+
+
+@query(f"SELECT fid, CAST({SHAPE_AREA} AS DOUBLE) AS area FROM fx_shape", "fx_shape")
+def make_valid(spark, d):
+    # Even-odd slabs give a valid region of any rings; its area is that of valid polygons.
+    return O.union_area(shapes(spark, d).withColumn("own", F.col("fid")), "own").withColumnRenamed("own", "fid").withColumn("area", F.round("area", 6))
+
+
+@query(f"SELECT fid, CAST({SHAPE_AREA} AS DOUBLE) AS area FROM fx_shape", "fx_shape")
+def subdivide(spark, d):
+    # Pieces by grid cell add up to the polygon.
+    cell = 100.0
+    cells = X.dealt(shapes(spark, d).select("fid", *X.BOX), cell).select("fid", (F.col("cx") * cell).cast("double").alias("minx"), (F.col("cy") * cell).cast("double").alias("miny"))
+    pieces = cells.withColumns({"maxx": F.col("minx") + cell, "maxy": F.col("miny") + cell}).withColumn("geom", G.box_polygon())
+    return O.overlay(shapes(spark, d).select("fid", "geom", *X.BOX), pieces, "intersection", same_key=True).select("fid", F.round("area", 6).alias("area"))
+
+
+@query("SELECT fid, CAST(NULL AS VARCHAR) AS alc_grade FROM fx_spz", "fx_spz")
+def enrich_on_fail(spark, d):
+    empty = L.boxes(spark, d, "fx_grid1k").filter("fid < 0")
+    points = X.as_points(fx(spark, d, "fx_spz").select("fid", F.col("minx").alias("x"), F.col("miny").alias("y")))
+    return X.join_first(points, empty, ["alc_grade"]).select("fid", "alc_grade")
