@@ -198,7 +198,7 @@ def near_in_blocks(mixed: DataFrame, texts: DataFrame, words: int, share: int) -
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b = [], []
-            for same, left, right in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for key, same, left, right in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 for x in left:
                     for shift in (0, 1, -1):  # the other's band
                         those = [y for y in right if y["band"] == x["band"] + shift and y["root"] != x["root"] and (not same or y["s"] > x["s"])]
@@ -209,16 +209,19 @@ def near_in_blocks(mixed: DataFrame, texts: DataFrame, words: int, share: int) -
                         apart = (table != np.frombuffer(mine, np.uint8)).sum(1)
                         total = np.array([y["n"] for y in those]) + x["n"]
                         for k in np.flatnonzero(apart * (100 + share) <= (100 - share) * total):
+                            if min(set(x["keys"]).intersection(those[k]["keys"])) != key:
+                                continue  # the pair's least common key tells of it
                             a.append(min(x["s"], those[k]["s"]))
                             b.append(max(x["s"], those[k]["s"]))
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     sketches = texts.select("s", "n", "packed").join(mixed.select("s").distinct(), "s").mapInArrow(sketch, "s long, n long, band int, own binary, above binary")
-    dealt = mixed.join(sketches, "s").withColumn("block", F.pmod(F.xxhash64("s"), F.ceil(F.col("c") / BLOCK)))
-    blocks = dealt.groupBy("key", "block").agg(F.collect_list(F.struct("s", "root", "n", "band", "own", "above")).alias("sets"))
+    own_keys = mixed.groupBy("s").agg(F.collect_set("key").alias("keys"))
+    dealt = mixed.join(sketches.join(own_keys, "s"), "s").withColumn("block", F.pmod(F.xxhash64("s"), F.ceil(F.col("c") / BLOCK)))
+    blocks = dealt.groupBy("key", "block").agg(F.collect_list(F.struct("s", "root", "n", "band", "own", "above", "keys")).alias("sets"))
     blocks = written(blocks, "blocks")
     met = blocks.select("key", F.col("block").alias("i"), F.col("sets").alias("x")).join(blocks.select("key", F.col("block").alias("j"), F.col("sets").alias("y")), "key").filter("i <= j")
-    return met.select((F.col("i") == F.col("j")).alias("same"), "x", "y").mapInArrow(compare, "a long, b long").distinct()
+    return met.select("key", (F.col("i") == F.col("j")).alias("same"), "x", "y").mapInArrow(compare, "a long, b long").distinct()
 
 
 def packed_texts(docs: DataFrame) -> DataFrame:
