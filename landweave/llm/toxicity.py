@@ -23,7 +23,7 @@ from . import text as T
 from .storage import written
 
 LENGTH, SKIPS, DECAY = 4, 2, 0.75
-SAMPLE, CANDIDATES, LANDMARKS, COST, NEAR_BEST = 4000, 600, 160, 10.0, 0.4
+SAMPLE, CANDIDATES, LANDMARKS, COST, NEAR_BEST, KEPT = 4000, 600, 160, 10.0, 0.4, 400_000
 U64 = np.uint64
 SETS = [(0, *c) for c in combinations(range(1, LENGTH + SKIPS), LENGTH - 1)]
 
@@ -79,10 +79,13 @@ class Segments:
     def word(self, i: int) -> str:
         return self.points[self.starts[i] : self.ends[i]].tobytes().decode("utf-32-le", "surrogatepass")
 
+    def kinds(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Hash and first place of each kind of segment, and the kind of each."""
+        return np.unique(T.hash_ranges(self.points, self.starts, self.ends), return_index=True, return_inverse=True)
+
     def unique(self) -> tuple[np.ndarray, np.ndarray]:
         """A segment of each kind, and the kind of each."""
-        _, first, kind = np.unique(T.hash_ranges(self.points, self.starts, self.ends), return_index=True, return_inverse=True)
-        return first, kind
+        return self.kinds()[1:]
 
 
 def subsequences(points: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -167,6 +170,20 @@ class Machine:
         self.hashes, self.weights, self.bias, self.slope, self.shift = hashes, weights, bias, slope, shift
         self.seen = np.zeros(1 << 20, bool)
         self.seen[(hashes >> U64(44)).astype(np.intp)] = True
+        self.judged: dict[int, float] = {}
+
+    def kept(self, found: Segments) -> np.ndarray:
+        """f of all segments; kinds judged before are looked up."""
+        hashes, first, kind = found.kinds()
+        keys = hashes.tolist()
+        f = np.array([self.judged.get(h, np.nan) for h in keys])
+        new = np.flatnonzero(np.isnan(f))
+        if len(new):
+            f[new] = self.strings(found.points, found.starts[first[new]], found.ends[first[new]])
+            if len(self.judged) > KEPT:
+                self.judged.clear()
+            self.judged.update((keys[i], v) for i, v in zip(new.tolist(), f[new].tolist(), strict=True))
+        return f[kind]
 
     def __getstate__(self):
         return self.hashes, self.weights, self.bias, self.slope, self.shift
@@ -197,11 +214,10 @@ class Machine:
         found = Segments(texts)
         best, strongest = np.full(len(texts), self.bias), np.full(len(texts), -1)
         if len(found.starts):
-            first, kind = found.unique()
-            f = self.strings(found.points, found.starts[first], found.ends[first])[kind]
-            order = np.lexsort((np.arange(len(f)), -f, found.text))
-            head = order[np.r_[True, found.text[order][1:] != found.text[order][:-1]]]
-            best[found.text[head]], strongest[found.text[head]] = f[head], head
+            f = self.kept(found)
+            np.maximum.at(best, found.text, f)
+            top = np.flatnonzero(f == best[found.text])[::-1]  # the first of equal ones is put last
+            strongest[found.text[top]] = top
         return best, [found.word(i) if i >= 0 and f > self.bias else None for i, f in zip(strongest.tolist(), best.tolist(), strict=True)]
 
     def score(self, f: np.ndarray) -> np.ndarray:
