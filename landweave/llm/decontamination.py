@@ -40,7 +40,8 @@ def slots(text: Column) -> Column:
 
 def windows(words: Column, size: int) -> Column:
     places = F.when(F.size(words) >= size, F.sequence(F.lit(0), F.size(words) - size)).otherwise(F.array().cast("array<int>"))
-    return F.transform(places, lambda i: F.xxhash64(F.slice(words, i + 1, F.lit(size))))
+    # Words are taken one by one: a slice would copy the whole array for each window.
+    return F.transform(places, lambda i: F.xxhash64(*(F.get(words, i + k) for k in range(size))))
 
 
 def marks_before(words: Column, n: Column) -> Column:
@@ -64,7 +65,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, run:
     hashes = pieces.select("w").distinct()
     # Broadcast only behind a check of the size (8 bytes a row); larger benchmarks are shuffled.
     hashes = F.broadcast(hashes) if hashes.count() <= BROADCAST_ROWS else hashes
-    found = keyed.select("doc_id", "h", F.posexplode(windows(template(F.col("text")), size)).alias("place", "w"))
+    # The template is a column of its own, or each window would work it out again.
+    worded = keyed.select("doc_id", "h", template(F.col("text")).alias("words"))
+    found = worded.select("doc_id", "h", F.posexplode(windows(F.col("words"), size)).alias("place", "w"))
     hits = written(found.join(hashes, "w", "left_semi"), "window-hits")
     met = hits.join(pieces, "w").select("doc_id", "h", "item_id", "b", "n", "at", "place").distinct()
     line = ["doc_id", "h", "item_id", "b", "n", (F.col("place") - F.col("at")).alias("shift")]
@@ -81,8 +84,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, run:
     runs = written(runs.select("doc_id", "h", "item_id", "place", "marks", F.slice("fill", F.col("skip") + 1, F.col("marks")).alias("fill")), "filled-runs")
     plain = runs.filter("marks = 0").select("doc_id", "h", "item_id")
     if not runs.filter("marks > 0").isEmpty():
-        texts = keyed.select("doc_id", "h", "text").join(runs.filter("marks > 0"), (keyed.doc_id.eqNullSafe(runs.doc_id)) & (keyed.h == runs.h)).select(runs.doc_id, runs.h, "item_id", "place", "marks", "fill", "text")
-        texts = texts.withColumn("mine", F.slice(slots(F.col("text")), marks_before(template(F.col("text")), F.col("place")) + 1, F.col("marks")))
+        asked = runs.filter("marks > 0").groupBy(F.col("doc_id").alias("d"), F.col("h").alias("g")).agg(F.collect_set(F.struct("item_id", "place", "marks", "fill")).alias("runs"))
+        texts = keyed.join(asked, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("h") == F.col("g")))
+        texts = texts.select("doc_id", "h", template(F.col("text")).alias("words"), slots(F.col("text")).alias("all"), "runs")
+        texts = texts.select("doc_id", "h", "words", "all", F.explode("runs").alias("r")).select("doc_id", "h", "words", "all", "r.*")
+        texts = texts.withColumn("mine", F.slice("all", marks_before(F.col("words"), F.col("place")) + 1, F.col("marks")))
         pairs = F.zip_with("fill", "mine", lambda b, d: F.struct(b.alias("b"), d.alias("d")))
         plain = plain.unionByName(texts.filter(consistent(pairs)).select("doc_id", "h", "item_id"))
     return plain.groupBy("doc_id", "h").agg(F.sort_array(F.collect_set("item_id")).alias("items"))
