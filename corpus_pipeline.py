@@ -17,7 +17,7 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that repeat an earlier one go; n_chars is counted anew. Documents of which nothing is left go too."""
-    kept = line_dedup.line_dedup(docs)
+    kept = line_dedup.line_dedup(docs, exact=1)
     lost = (F.size("removed_lines") > 0) & (F.trim(F.regexp_replace("text", r"\s+", " ")) == "")
     text_length = F.when(F.size("removed_lines") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
     return kept.filter(~F.coalesce(lost, F.lit(False))).withColumn("n_chars", text_length).select(*docs.columns)

@@ -24,6 +24,9 @@ LEAST_CHARS, PIECES = 20, 16
 U64 = np.uint64
 BREAK = np.zeros(256, bool)
 BREAK[10] = True
+#: White space; a line of nothing else is blank.
+SPACE = np.zeros(256, bool)
+SPACE[[9, 10, 11, 12, 13, 32]] = True
 #: Another order of the byte values, for a second hash.
 OTHER = np.random.Generator(np.random.PCG64(11)).permutation(256).astype(np.uint8)
 LAST = (1 << 63) - 1
@@ -46,8 +49,11 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("k"), text_key().alias("h"), "text")
 
 
-def line_rows(docs: DataFrame, least: int) -> DataFrame:
-    """Lines of ``least`` characters or more: place (k, h, line), 128 bits of the line, and keys of its halves, as those of its bucket of lengths have them."""
+def line_rows(docs: DataFrame, least: int, exact: int) -> DataFrame:
+    """Lines of ``least`` characters or more, and those of ``exact`` or more that are not blank: place (k, h, line) and 128 bits of the line.
+
+    Those of ``least`` or more have keys of their halves, as those of their bucket of lengths have them; the others have nulls.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         low = buckets()
@@ -58,14 +64,15 @@ def line_rows(docs: DataFrame, least: int) -> DataFrame:
             heads, places = np.r_[0, np.cumsum(begins)], np.r_[np.flatnonzero(begins), len(data)]
             starts, ends, doc = found.starts, found.ends, found.text_of()
             n = heads[ends] - heads[starts]
-            pick = n >= least
+            filled = np.r_[0, np.cumsum(~SPACE[data])]
+            pick = (n >= least) | ((n >= exact) & (filled[ends] > filled[starts]))
             starts, ends, doc, n = starts[pick], ends[pick], doc[pick], n[pick]
             breaks = np.r_[0, np.cumsum(data == 10)]
             line = breaks[starts] - breaks[offsets[doc]]
-            at = np.searchsorted(low, n, "right") - 1
+            at = np.maximum(np.searchsorted(low, n, "right") - 1, 0)
             halves = []
-            for bucket, valid in ((at, np.ones(len(n), bool)), (at + 1, n + 1 == low[at + 1])):
-                p = (low[bucket] - 1) // 2
+            for bucket, valid in ((at, n >= least), (at + 1, (n >= least) & (n + 1 == low[at + 1]))):
+                p = np.where(valid, (low[bucket] - 1) // 2, 0)
                 salt = bucket.astype(U64) * T.ODD
                 size = np.where(valid & (p > 0), p, 1)  # halves of the shortest lines are empty and equal
                 front = np.where(p > 0, T.hash_ranges(data, starts, places[heads[starts] + size]), U64(0))
@@ -162,13 +169,13 @@ def within_one(a: str, b: str) -> bool:
     return a[i + 1 :] == b[i + 1 :] if len(a) == len(b) else a[i + 1 :] == b[i:] if len(a) > len(b) else a[i:] == b[i + 1 :]
 
 
-def repeated_lines(docs: DataFrame, least: int = LEAST_CHARS) -> DataFrame:
+def repeated_lines(docs: DataFrame, least: int = LEAST_CHARS, exact: int | None = None) -> DataFrame:
     """(k, h, lines): the lines of each document that go."""
-    rows = line_rows(docs, least)
+    rows = line_rows(docs, least, least if exact is None else exact)
     place = F.struct("k", "h", "line")
     firsts = rows.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("c"), *(F.first(x).alias(x) for x in ("a1", "a2", "b1", "b2")))
     firsts = written(firsts, "lines")
-    exact = rows.select("k", "h", "line", "h1", "h2").join(firsts.filter("c > 1").select("h1", "h2", "first"), ["h1", "h2"]).filter(place > F.col("first")).select("k", "h", "line")
+    equal = rows.select("k", "h", "line", "h1", "h2").join(firsts.filter("c > 1").select("h1", "h2", "first"), ["h1", "h2"]).filter(place > F.col("first")).select("k", "h", "line")
     halves = firsts.select("first", F.explode(F.array("a1", "a2", "b1", "b2")).alias("half")).filter("half IS NOT NULL")
     common = halves.groupBy("half").agg(F.count("*").alias("c")).filter("c > 1").select("half")
     wanted = halves.join(common, "half").select("first.*").distinct().groupBy("k", "h").agg(F.collect_list("line").alias("lines"))
@@ -200,18 +207,18 @@ def repeated_lines(docs: DataFrame, least: int = LEAST_CHARS) -> DataFrame:
             yield batch.filter(pa.array(near, pa.bool_())).select(["k", "h", "line"])
 
     near = pairs.select("k", "h", "line", "value", "earlier").mapInArrow(check, "k long, h long, line long")
-    return exact.unionByName(near).distinct().groupBy("k", "h").agg(F.sort_array(F.collect_list("line")).alias("lines"))
+    return equal.unionByName(near).distinct().groupBy("k", "h").agg(F.sort_array(F.collect_list("line")).alias("lines"))
 
 
-def line_dedup(docs: DataFrame, least: int = LEAST_CHARS) -> DataFrame:
+def line_dedup(docs: DataFrame, least: int = LEAST_CHARS, exact: int | None = None) -> DataFrame:
     """The rows and columns of ``docs`` with lines removed from ``text``, and ``n_lines`` (before) and ``removed_lines`` (their numbers from 0).
 
     A line of ``least`` characters or more goes if an earlier line, by doc_id and place, is equal or one edit (a character inserted, left
-    out or replaced) away, whether that one stays or not. Lines end at a new line; shorter ones, blank ones among them, stay. A null doc_id
-    is the last. Documents of one doc_id with different texts are ordered by the hash of the text; equal rows are one document and keep the
+    out or replaced) away, whether that one stays or not. Of shorter lines, where one edit is no evidence, those of ``exact`` characters or
+    more that are not blank go if an earlier one is equal; without ``exact`` they all stay. Lines end at a new line. A null doc_id is the last. Documents of one doc_id with different texts are ordered by the hash of the text; equal rows are one document and keep the
     same lines. A null text stays null, with no lines; an empty one has one line. Columns may have any names but the two that are added.
     """
-    taken = repeated_lines(docs, least)
+    taken = repeated_lines(docs, least, exact)
     columns = docs.columns
     at = columns.index("text")
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}

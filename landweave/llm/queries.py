@@ -45,7 +45,7 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = line_dedup.line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    kept = line_dedup.line_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), exact=1)
     return kept.select(F.col("doc_id").cast("long").alias("doc_id"), "n_lines", F.size("removed_lines").cast("long").alias("n_removed"), "removed_lines", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 

@@ -59,3 +59,20 @@ def test_small_lengths_and_columns(spark, documents):
 
 def test_empty_table(spark, documents):
     assert run(documents([])) == []
+
+
+def test_exact_repeats_of_short_lines(spark, documents):
+    rows = [(1, "short\nshirt\n \n\na"), (2, "short\n \n\na\néé"), (3, "éé\nx" + "y" * 30), (4, "z" + "y" * 30 + "\n" + " " * 25), (5, " " * 25), (None, "shirt"), (6, None)]
+    got = {r.doc_id: r.removed_lines for r in ld.line_dedup(documents(rows), exact=1).collect()}
+    # One edit is no evidence for short lines; blank ones stay unless they have ``least`` characters.
+    assert got == {1: [], 2: [0, 3], 3: [0], 4: [0], 5: [0], None: [0], 6: []}
+
+
+def test_query_and_stage_take_short_lines(spark, documents, tmp_path):
+    import corpus_pipeline
+    from landweave.llm import queries
+
+    docs = documents([(1, "Ietzte.\none"), (2, "Ietzte.\ntwo")])
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    assert {r.doc_id: r.removed_lines for r in queries.op8_line_dedup(spark, str(tmp_path)).collect()} == {1: [], 2: [0]}
+    assert {r.doc_id: r.text for r in corpus_pipeline.line_dedup_stage(spark, docs, str(tmp_path)).collect()} == {1: "Ietzte.\none", 2: "two"}
