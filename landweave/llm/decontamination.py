@@ -19,23 +19,30 @@ BROADCAST_ROWS = 1 << 20
 # Units of measure, times and money.
 UNITS = "km|kg|cm|mm|mg|ml|m|g|l|lb|oz|ft|mph|kmh|miles?|metres?|meters?|inch(?:es)?|feet|pounds?|dollars?|cents?|euros?|usd|eur|hours?|hrs?|minutes?|mins?|seconds?|days?|weeks?|months?|years?|percent|%"
 
-NUMBER = r"(?<![\p{L}\d])\d+(?:[.,:/]\d+)*"
-NAME = r"(?<=[^.!?:;\s] )\p{Lu}\p{Ll}+"
-UNIT_RAW, UNIT_MARKED = rf"(?<=\d ?)(?:{UNITS})(?![\p{{L}}\d])", rf"(?<=<num> ?)(?:{UNITS})(?![\p{{L}}\d])"
-SLOT = rf"{NUMBER}|{NAME}|{UNIT_RAW}"
+NUMBER = r"(?<![\p{L}\p{N}])\d+(?:[.,:/]\d+)*"
+NAME = r"(?<=[^.!?:;\s] )\p{Lu}\p{Ll}++(?![\p{L}\p{N}])"
+UNIT = rf"(?<=\d ?)\x01?({UNITS})(?![\p{{L}}\p{{N}}])"
+#: What stands before a name and before a unit in a token; a number begins with a digit.
+NAMED, UNITED = "\x01", "\x03"
+TOKEN = rf"{NUMBER}|[\x01\x03]?[\p{{L}}\p{{N}}]+|\x03%"
 
 
-def template(text: Column) -> Column:
-    """The words of a text's template."""
-    marked = F.regexp_replace(text, NAME, "<name>")
-    marked = F.regexp_replace(marked, NUMBER, "<num>")
-    marked = F.regexp_replace(F.lower(marked), UNIT_MARKED, "<unit>")
-    return F.filter(F.split(F.regexp_replace(marked, r"[^\p{L}\p{N}<>]+", " "), " "), lambda w: w != "")
+def tokens(text: Column) -> Column:
+    """Lower-cased words, numbers, names and units, each with what it stands for: template words and fillers come from one array and can't shift."""
+    marked = F.regexp_replace(F.translate(text, NAMED + UNITED, "  "), NAME, NAMED + "$0")
+    marked = F.regexp_replace(F.lower(marked), UNIT, UNITED + "$1")
+    return F.regexp_extract_all(marked, F.lit(TOKEN), F.lit(0))
 
 
-def slots(text: Column) -> Column:
-    """What the placeholders of the template stand for, in order, lower-cased."""
-    return F.transform(F.regexp_extract_all(text, F.lit(SLOT), F.lit(0)), F.lower)
+def holds_place(token: Column) -> Column:
+    """Whether a token is a filler of a placeholder."""
+    return F.substring(token, 1, 1).isin(NAMED, UNITED, *"0123456789")
+
+
+def template(token: Column) -> Column:
+    """The template word of a token."""
+    first = F.substring(token, 1, 1)
+    return F.when(first == NAMED, "<name>").when(first == UNITED, "<unit>").when(first.isin(*"0123456789"), "<num>").otherwise(token)
 
 
 def windows(words: Column, size: int) -> Column:
@@ -44,11 +51,6 @@ def windows(words: Column, size: int) -> Column:
     return F.transform(places, lambda i: F.xxhash64(*(F.get(words, i + k) for k in range(size))))
 
 
-def marks_before(words: Column, n: Column) -> Column:
-    """Placeholders among the first ``n`` words."""
-    return F.regexp_count(F.array_join(F.slice(words, F.lit(1), n), " "), F.lit("<(num|name|unit)>")).cast("int")
-
-
 def consistent(pairs: Column) -> Column:
     """Whether pairs (item's filler, document's filler) are one to one."""
     n = F.size(F.array_distinct(pairs))
@@ -59,14 +61,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, run:
     """(doc_id, h, items): documents (h: hash of the text) that hold a run of ``run`` windows of an item (all its windows, if it has fewer)."""
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("h"), "text").filter("text IS NOT NULL")
     bench = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").alias("item")).filter("item IS NOT NULL").distinct()
-    bench = bench.withColumn("b", F.xxhash64("item")).withColumn("words", template(F.col("item")))
+    bench = bench.withColumn("b", F.xxhash64("item")).withColumn("tokens", tokens(F.col("item"))).withColumn("words", F.transform("tokens", template))
     pieces = bench.select("item_id", "b", F.size("words").alias("n"), F.posexplode(windows(F.col("words"), size)).alias("at", "w"))
     pieces = written(pieces.withColumn("n", F.col("n") - size + 1), "benchmark-windows")
     hashes = pieces.select("w").distinct()
     # Broadcast only behind a check of the size (8 bytes a row); larger benchmarks are shuffled.
     hashes = F.broadcast(hashes) if hashes.count() <= BROADCAST_ROWS else hashes
     # The template is a column of its own, or each window would work it out again.
-    worded = keyed.select("doc_id", "h", template(F.col("text")).alias("words"))
+    worded = keyed.select("doc_id", "h", F.transform(tokens(F.col("text")), template).alias("words"))
     found = worded.select("doc_id", "h", F.posexplode(windows(F.col("words"), size)).alias("place", "w"))
     hits = written(found.join(hashes, "w", "left_semi"), "window-hits")
     met = hits.join(pieces, "w").select("doc_id", "h", "item_id", "b", "n", "at", "place").distinct()
@@ -75,22 +77,18 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, run:
     ranked = met.select(*line, "at").withColumn("run", F.col("at") - F.row_number().over(Window.partitionBy("doc_id", "h", "item_id", "b", "shift").orderBy("at")))
     runs = ranked.groupBy("doc_id", "h", "item_id", "b", "n", "shift", "run").agg(F.min("at").alias("at"), F.count("*").cast("int").alias("long"))
     runs = written(runs.filter(F.col("long") >= F.least(F.lit(run), F.col("n"))), "runs")
-    own = bench.select("item_id", "b", "words", slots(F.col("item")).alias("fill"))
-    runs = runs.join(own, ["item_id", "b"]).select(
-        "doc_id", "h", "item_id", (F.col("at") + F.col("shift")).alias("place"), (F.col("long") + size - 1).alias("span"),
-        "at", "words", "fill",
-    )
-    runs = runs.withColumn("skip", marks_before(F.col("words"), F.col("at"))).withColumn("marks", marks_before(F.col("words"), F.col("at") + F.col("span")) - F.col("skip"))
-    runs = written(runs.select("doc_id", "h", "item_id", "place", "marks", F.slice("fill", F.col("skip") + 1, F.col("marks")).alias("fill")), "filled-runs")
-    plain = runs.filter("marks = 0").select("doc_id", "h", "item_id")
-    if not runs.filter("marks > 0").isEmpty():
-        asked = runs.filter("marks > 0").groupBy(F.col("doc_id").alias("d"), F.col("h").alias("g")).agg(F.collect_set(F.struct("item_id", "place", "marks", "fill")).alias("runs"))
+    own = bench.select("item_id", "b", "tokens")
+    span = F.col("long") + size - 1
+    runs = runs.join(own, ["item_id", "b"]).select("doc_id", "h", "item_id", (F.col("at") + F.col("shift")).alias("place"), F.slice("tokens", F.col("at") + 1, span).alias("fill"))
+    runs = written(runs.withColumn("marks", F.exists("fill", holds_place)), "filled-runs")
+    plain = runs.filter("NOT marks").select("doc_id", "h", "item_id")
+    if not runs.filter("marks").isEmpty():
+        asked = runs.filter("marks").groupBy(F.col("doc_id").alias("d"), F.col("h").alias("g")).agg(F.collect_set(F.struct("item_id", "place", "fill")).alias("runs"))
         texts = keyed.join(asked, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("h") == F.col("g")))
-        texts = texts.select("doc_id", "h", template(F.col("text")).alias("words"), slots(F.col("text")).alias("all"), "runs")
-        texts = texts.select("doc_id", "h", "words", "all", F.explode("runs").alias("r")).select("doc_id", "h", "words", "all", "r.*")
-        texts = texts.withColumn("mine", F.slice("all", marks_before(F.col("words"), F.col("place")) + 1, F.col("marks")))
-        pairs = F.zip_with("fill", "mine", lambda b, d: F.struct(b.alias("b"), d.alias("d")))
-        plain = plain.unionByName(texts.filter(consistent(pairs)).select("doc_id", "h", "item_id"))
+        texts = texts.select("doc_id", "h", tokens(F.col("text")).alias("all"), F.col("runs")).select("doc_id", "h", "all", F.explode("runs").alias("r")).select("doc_id", "h", "all", "r.*")
+        texts = texts.withColumn("mine", F.slice("all", F.col("place") + 1, F.size("fill")))
+        pairs = F.filter(F.zip_with("fill", "mine", lambda b, d: F.struct(b.alias("b"), d.alias("d"))), lambda p: holds_place(p["b"]))
+        plain = plain.unionByName(texts.withColumn("pairs", pairs).filter(consistent(F.col("pairs"))).select("doc_id", "h", "item_id"))
     return plain.groupBy("doc_id", "h").agg(F.sort_array(F.collect_set("item_id")).alias("items"))
 
 

@@ -52,3 +52,18 @@ def test_stage_keeps_columns_and_rows(spark, documents):
 def test_shuffled_benchmark(spark, documents, monkeypatch):
     monkeypatch.setattr(dc, "BROADCAST_ROWS", 0)
     assert run(spark, documents, [(1, PLAIN), (2, "x " * 40)]) == {1: [2], 2: []}
+
+
+def test_fillers_do_not_shift(spark, documents):
+    # Each of these words once gave a placeholder without a filler, or a filler without a placeholder.
+    starts = ["It costs 5 USD and 10 EUR. ", "It weighs 3 KG. ", "We had Covid19 here. ", "Take B12 days on end. ", "She read <num> and <name> there. "]
+    rows = [(i, start + ITEM) for i, start in enumerate(starts)]
+    wrong = ITEM.replace("12 apples for", "7 apples for").replace("Alice", "Carla")
+    rows += [(10 + i, start + wrong) for i, start in enumerate(starts)]
+    assert run(spark, documents, rows) == {i: [1] if i < 10 else [] for i, _ in rows}
+
+
+def test_units_in_capitals_of_an_item(spark, documents):
+    item = "we paid 5 USD and 10 EUR for 3 KG of flour while 5 USD was what the old shop asked"
+    rows = [(1, item), (2, item.replace("5", "8").replace("10", "40")), (3, item.replace("5", "8", 1))]
+    assert run(spark, documents, rows, bench=[(1, item)]) == {1: [1], 2: [1], 3: []}
