@@ -3,7 +3,8 @@
 Texts become templates: numbers, names and units are replaced by typed placeholders, the rest is lower-cased words. Windows of templates are
 joined by hash with those of the benchmark; windows that follow one another in both make runs. In a run the fillers of placeholders must fit:
 each value of the item stands for one value of the document throughout, and the other way round, so a question with other numbers or names is
-found and a text that only looks alike is not.
+found and a text that only looks alike is not. Windows of the plain lower-cased words are joined the same way, so an exact copy is found
+whatever its capitals and layout, which names depend on.
 """
 
 from __future__ import annotations
@@ -20,16 +21,18 @@ BROADCAST_ROWS = 1 << 20
 UNITS = "km|kg|cm|mm|mg|ml|m|g|l|lb|oz|ft|mph|kmh|miles?|metres?|meters?|inch(?:es)?|feet|pounds?|dollars?|cents?|euros?|usd|eur|hours?|hrs?|minutes?|mins?|seconds?|days?|weeks?|months?|years?|percent|%"
 
 NUMBER = r"(?<![\p{L}\p{N}])\d+(?:[.,:/]\d+)*"
-NAME = r"(?<=[^.!?:;\s] )\p{Lu}\p{Ll}++(?![\p{L}\p{N}])"
+NAME = r"(?<=[^.!?:;\s] [\p{Ps}\p{Pi}\"']?)\p{Lu}\p{Ll}++(?![\p{L}\p{N}])"
 UNIT = rf"(?<=\d ?)\x01?({UNITS})(?![\p{{L}}\p{{N}}])"
 #: What stands before a name and before a unit in a token; a number begins with a digit.
 NAMED, UNITED = "\x01", "\x03"
+#: White space and control characters, but for single spaces.
+LAYOUT = r"[\p{Z}\p{Cc}]{2,}|[\p{Z}\p{Cc}&&[^ ]]"
 TOKEN = rf"{NUMBER}|[\x01\x03]?[\p{{L}}\p{{N}}]+|\x03%"
 
 
 def tokens(text: Column) -> Column:
     """Lower-cased words, numbers, names and units, each with what it stands for: template words and fillers come from one array and can't shift."""
-    marked = F.regexp_replace(F.translate(text, NAMED + UNITED, "  "), NAME, NAMED + "$0")
+    marked = F.regexp_replace(F.regexp_replace(text, LAYOUT, " "), NAME, NAMED + "$0")
     marked = F.regexp_replace(F.lower(marked), UNIT, UNITED + "$1")
     return F.regexp_extract_all(marked, F.lit(TOKEN), F.lit(0))
 
@@ -45,10 +48,21 @@ def template(token: Column) -> Column:
     return F.when(first == NAMED, "<name>").when(first == UNITED, "<unit>").when(first.isin(*"0123456789"), "<num>").otherwise(token)
 
 
-def windows(words: Column, size: int) -> Column:
-    places = F.when(F.size(words) >= size, F.sequence(F.lit(0), F.size(words) - size)).otherwise(F.array().cast("array<int>"))
+def hashed(text: Column) -> Column:
+    """The tokens of a text as hashes: (t, p) of the template word and of the plain word of each."""
+    return F.transform(tokens(text), lambda x: F.struct(F.xxhash64(template(x)).alias("t"), F.xxhash64(F.translate(x, NAMED + UNITED, "")).alias("p")))
+
+
+def windows(words: Column, size: int, step: int = 1) -> Column:
+    """(t, p) of the windows at every ``step``-th place: a hash of the template words and one of the plain words."""
+    places = F.when(F.size(words) >= size, F.sequence(F.lit(0), F.size(words) - size, F.lit(step))).otherwise(F.array().cast("array<int>"))
     # Words are taken one by one: a slice would copy the whole array for each window.
-    return F.transform(places, lambda i: F.xxhash64(*(F.get(words, i + k) for k in range(size))))
+    return F.transform(places, lambda i: F.struct(*(F.xxhash64(*(F.get(words, i + k)[x] for k in range(size))).alias(x) for x in "tp")))
+
+
+def kinds(window: Column) -> Column:
+    """A window's hashes as (plain, w); windows without placeholders have the same twice."""
+    return F.array(F.struct(F.lit(False).alias("plain"), window["t"].alias("w")), F.struct(F.lit(True).alias("plain"), window["p"].alias("w")))
 
 
 def consistent(pairs: Column) -> Column:
@@ -61,26 +75,32 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, run:
     """(doc_id, h, items): documents (h: hash of the text) that hold a run of ``run`` windows of an item (all its windows, if it has fewer)."""
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("h"), "text").filter("text IS NOT NULL")
     bench = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").alias("item")).filter("item IS NOT NULL").distinct()
-    bench = bench.withColumn("b", F.xxhash64("item")).withColumn("tokens", tokens(F.col("item"))).withColumn("words", F.transform("tokens", template))
-    pieces = bench.select("item_id", "b", F.size("words").alias("n"), F.posexplode(windows(F.col("words"), size)).alias("at", "w"))
-    pieces = written(pieces.withColumn("n", F.col("n") - size + 1), "benchmark-windows")
+    bench = bench.withColumn("b", F.xxhash64("item")).withColumn("tokens", tokens(F.col("item")))
+    pieces = bench.select("item_id", "b", hashed(F.col("item")).alias("words")).select("item_id", "b", F.size("words").alias("n"), F.posexplode(windows(F.col("words"), size)).alias("at", "x"))
+    pieces = pieces.select("item_id", "b", (F.col("n") - size + 1).alias("n"), "at", F.inline(kinds(F.col("x"))))
+    pieces = written(pieces, "benchmark-windows")
     hashes = pieces.select("w").distinct()
     # Broadcast only behind a check of the size (8 bytes a row); larger benchmarks are shuffled.
     hashes = F.broadcast(hashes) if hashes.count() <= BROADCAST_ROWS else hashes
-    # The template is a column of its own, or each window would work it out again.
-    worded = keyed.select("doc_id", "h", F.transform(tokens(F.col("text")), template).alias("words"))
-    found = worded.select("doc_id", "h", F.posexplode(windows(F.col("words"), size)).alias("place", "w"))
-    hits = written(found.join(hashes, "w", "left_semi"), "window-hits")
-    met = hits.join(pieces, "w").select("doc_id", "h", "item_id", "b", "n", "at", "place").distinct()
-    line = ["doc_id", "h", "item_id", "b", "n", (F.col("place") - F.col("at")).alias("shift")]
+    # Runs of so many windows have one at a multiple of it, so texts without a hit there hold none.
+    step = min(run, pieces.agg(F.min("n")).first()[0] or run)
+    # Hashes of the words are a column of their own, or each window would work them out again.
+    worded = keyed.select("doc_id", "h", hashed(F.col("text")).alias("words"))
+    probes = worded.select("doc_id", "h", F.explode(windows(F.col("words"), size, step)).alias("x")).select("doc_id", "h", F.explode(F.array_distinct(F.array("x.t", "x.p"))).alias("w"))
+    likely = written(probes.join(hashes, "w", "left_semi").select(F.col("doc_id").alias("d"), F.col("h").alias("g")).distinct(), "likely-texts")
+    likely = keyed.join(likely, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("h") == F.col("g")), "left_semi")
+    found = likely.select("doc_id", "h", hashed(F.col("text")).alias("words")).select("doc_id", "h", F.posexplode(windows(F.col("words"), size)).alias("place", "x"))
+    hits = written(found.select("doc_id", "h", "place", F.inline(kinds(F.col("x")))).join(hashes, "w", "left_semi"), "window-hits")
+    met = hits.join(pieces, ["w", "plain"]).select("doc_id", "h", "item_id", "b", "n", "plain", "at", "place").distinct()
+    line = ["doc_id", "h", "item_id", "b", "n", "plain", (F.col("place") - F.col("at")).alias("shift")]
     # A run is counted by its first window: the ones that follow it in both texts have equal ``at`` less their rank.
-    ranked = met.select(*line, "at").withColumn("run", F.col("at") - F.row_number().over(Window.partitionBy("doc_id", "h", "item_id", "b", "shift").orderBy("at")))
-    runs = ranked.groupBy("doc_id", "h", "item_id", "b", "n", "shift", "run").agg(F.min("at").alias("at"), F.count("*").cast("int").alias("long"))
+    ranked = met.select(*line, "at").withColumn("run", F.col("at") - F.row_number().over(Window.partitionBy("doc_id", "h", "item_id", "b", "plain", "shift").orderBy("at")))
+    runs = ranked.groupBy("doc_id", "h", "item_id", "b", "n", "plain", "shift", "run").agg(F.min("at").alias("at"), F.count("*").cast("int").alias("long"))
     runs = written(runs.filter(F.col("long") >= F.least(F.lit(run), F.col("n"))), "runs")
     own = bench.select("item_id", "b", "tokens")
     span = F.col("long") + size - 1
-    runs = runs.join(own, ["item_id", "b"]).select("doc_id", "h", "item_id", (F.col("at") + F.col("shift")).alias("place"), F.slice("tokens", F.col("at") + 1, span).alias("fill"))
-    runs = written(runs.withColumn("marks", F.exists("fill", holds_place)), "filled-runs")
+    runs = runs.join(own, ["item_id", "b"]).select("doc_id", "h", "item_id", "plain", (F.col("at") + F.col("shift")).alias("place"), F.slice("tokens", F.col("at") + 1, span).alias("fill"))
+    runs = written(runs.withColumn("marks", ~F.col("plain") & F.exists("fill", holds_place)), "filled-runs")
     plain = runs.filter("NOT marks").select("doc_id", "h", "item_id")
     if not runs.filter("marks").isEmpty():
         asked = runs.filter("marks").groupBy(F.col("doc_id").alias("d"), F.col("h").alias("g")).agg(F.collect_set(F.struct("item_id", "place", "fill")).alias("runs"))

@@ -58,12 +58,27 @@ def test_fillers_do_not_shift(spark, documents):
     # Each of these words once gave a placeholder without a filler, or a filler without a placeholder.
     starts = ["It costs 5 USD and 10 EUR. ", "It weighs 3 KG. ", "We had Covid19 here. ", "Take B12 days on end. ", "She read <num> and <name> there. "]
     rows = [(i, start + ITEM) for i, start in enumerate(starts)]
-    wrong = ITEM.replace("12 apples for", "7 apples for").replace("Alice", "Carla")
+    wrong = ITEM.replace("12 apples for", "7 apples for").replace("Alice", "Carla").replace("30", "45").replace("Bob", "Dan")
     rows += [(10 + i, start + wrong) for i, start in enumerate(starts)]
     assert run(spark, documents, rows) == {i: [1] if i < 10 else [] for i, _ in rows}
 
 
 def test_units_in_capitals_of_an_item(spark, documents):
     item = "we paid 5 USD and 10 EUR for 3 KG of flour while 5 USD was what the old shop asked"
-    rows = [(1, item), (2, item.replace("5", "8").replace("10", "40")), (3, item.replace("5", "8", 1))]
+    rows = [(1, item), (2, item.replace("5", "8").replace("10", "40")), (3, item.replace("5", "8", 1).replace("10", "40").replace("3", "6"))]
     assert run(spark, documents, rows, bench=[(1, item)]) == {1: [1], 2: [1], 3: []}
+
+
+def test_exact_copies_whatever_capitals_and_layout(spark, documents):
+    copies = [ITEM.lower(), ITEM.upper(), ITEM.title(), ITEM.replace(" Alice", "\nAlice").replace(" Bob", "  Bob"), ITEM.replace("Alice", "(Alice)").replace("Bob", '"Bob"'), ITEM.replace(" ", "\r\n\t"), ITEM.replace(" ", "\u00a0")]
+    changed = ITEM.replace("Alice", "Carla").replace("12", "7").replace(" Carla", "\nCarla").replace("Bob", "(Dan)")
+    rows = [(i, "Before it. " + t + " After it.") for i, t in enumerate([*copies, changed])] + [(20, ITEM.lower().replace("alice", "carla").replace("12", "7", 1).replace("30", "45").replace("bob", "dan"))]
+    assert run(spark, documents, rows) == {i: [] if i == 20 else [1] for i, _ in rows}
+
+
+def test_short_items_and_every_place(spark, documents):
+    item = "one two three four five six seven eight nine"
+    rows = [(i, "x " * i + item + " y" * 9) for i in range(14)] + [(20, item[:-5]), (21, item.upper())]
+    assert run(spark, documents, rows, bench=[(1, item), (2, PLAIN)]) == {i: [] if i == 20 else [1] for i, _ in rows}
+    rows = [(i, "x " * i + " ".join(PLAIN.split()[4:17]) + " y" * 9) for i in range(14)] + [(20, " ".join(PLAIN.split()[4:16]))]
+    assert run(spark, documents, rows) == {i: [] if i == 20 else [2] for i, _ in rows}
