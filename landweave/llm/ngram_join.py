@@ -248,8 +248,10 @@ def link_classes(docs: DataFrame, words: int = WORDS, share: int = SHARE) -> tup
     pairs = members.join(hub, "key").filter("s <> hub").select(F.least("s", "hub").alias("a"), F.greatest("s", "hub").alias("b"))
     tried = written(shared.filter("c = 2").select(F.col("lo").alias("a"), F.col("hi").alias("b")).unionByName(pairs).distinct(), "hub-pairs")
     wanted = tried.select(F.col("a").alias("s1")).unionByName(tried.select(F.col("b").alias("s1"))).distinct()
-    chosen = rows.filter("n_shingles > 0").groupBy("s1").agg(F.min(F.struct("doc_id", "h", F.col("n_shingles").alias("n"))).alias("v")).join(wanted, "s1").select("s1", "v.doc_id", "v.h", "v.n")
-    texts = packed_texts(docs).join(chosen, ["doc_id", "h"]).select(F.col("s1").alias("s"), "n", "packed")
+    # A null doc_id is taken only where a set has no other, and is joined as a value.
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h", F.col("n_shingles").alias("n"))).alias("v")
+    chosen = rows.filter("n_shingles > 0").groupBy("s1").agg(least).join(wanted, "s1").select("s1", F.col("v.doc_id").alias("d"), F.col("v.h").alias("g"), "v.n")
+    texts = packed_texts(docs).join(chosen, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("h") == F.col("g"))).select(F.col("s1").alias("s"), "n", "packed")
     texts = written(texts.groupBy("s").agg(F.first("n").alias("n"), F.first("packed").alias("packed")), "set-texts")
     tried = written(verified(tried, texts, words, share), "tried")
     roots = connected_components(tried.filter("linked").select("a", "b"))

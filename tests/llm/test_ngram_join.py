@@ -63,3 +63,12 @@ def test_small_sets_of_all_sizes(spark, documents):
 
 def test_empty_table(spark, documents):
     assert run(documents([])) == []
+
+
+def test_near_copies_of_rows_without_id(spark, documents):
+    text = [f"w{i}" for i in range(120)]
+    near, far = " ".join([*text[:60], "changed", *text[61:]]), " ".join([*text[:60], "changed", *text[61:110], "again", *text[111:]])
+    alone = " ".join(f"v{i}" for i in range(100))
+    rows = [(None, " ".join(text)), (5, " ".join(text)), (9, near), (11, far), (None, alone), (None, alone), (20, alone + " more"), (30, "by itself")]
+    want = brute(rows)
+    assert run(documents(rows)) == want and {(r[0], r[2]) for r in want} == {(None, 5), (5, 5), (9, 5), (11, 5), (None, 20), (20, 20), (30, 30)}
