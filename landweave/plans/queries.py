@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from .. import fixtures
 from ..functions import geometry as G
-from ..operators import graph, ledger
+from ..operators import graph, ledger, storage
 from ..operators import overlay as O
 from ..operators import scoring as S
 from ..operators import spatial as X
@@ -789,7 +789,7 @@ def registry_targets(spark, d):
 
 
 def landed(spark, name: str) -> str:
-    return f"{graph.shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{storage.shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def page_files(spark, d) -> str:
