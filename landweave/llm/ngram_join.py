@@ -1,15 +1,17 @@
 """N-gram Jaccard join by universe partition and the pigeonhole principle.
 
 Sets fall into size bands. Sets of a band, and those of the band below that are near its lower end, split the universe of hashed shingles into
-m segments, one more than the largest symmetric difference that linked sets of that size can have; so linked sets agree on a segment and share
-its key. Segments that both leave empty say nothing and would be hot. Where few segments make them matter, a set that has empty ones is
-allocated one-deletion neighbourhoods: its segments with one element left out are keys too. Candidates are verified on whole texts.
-
-Why no link is lost: let sets x, y differ by at most m - 1 elements, with e and f empty segments, and let them agree on empty segments only.
-Of the others each differs by one at least, those by one and filled on both sides would share a one-deletion key; if there are none, counting
-differences gives m + 1 <= e + f, so the one with more has m / 2 or more. Such sets also emit keys for their empty segments (``_bare``).
-Beyond ``EXACT_SEGMENTS`` segments, neighbourhoods are left out: to be lost, 40 differences would have to hit all but the few segments that
-chance left empty (below 1e-12 for hashed elements).
+segments, more than the largest symmetric difference d that linked sets of that size can have; so linked sets agree on a segment and share its
+key. Segments that both leave empty say nothing and have no key. Keys are allocated by their cost: where few segments make empty ones matter
+(up to ``NEIGHBOURS``), a set that has some also emits one-deletion neighbourhoods, its segments with one element left out; with more segments
+there are some to spare instead. Candidates are verified on whole texts.
+
+Why no link is lost. With s segments to spare, d + 1 + s in all: sets that agree on empty segments only differ in all others, so they share
+s + 1 empty ones at least, and both are ``poor``: they have more than s. With neighbourhoods, let m = d + 1 be the segments and e, f the
+empty ones of either. Of the others each differs by one element at least; those by one and filled on both sides share a one-deletion key; if
+there are none, counting differences gives m + 1 <= e + f, so both have 2 or more and one has m / 2. Poor sets go on to another partition of
+the universe, and so on until they are not poor: two sets meet in the first partition in which one of them is not. After ``TRIES`` partitions
+(only with far lower thresholds) they have keys for their empty segments.
 """
 
 from __future__ import annotations
@@ -19,32 +21,36 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.graph import connected_components
 from . import text as T
-from .storage import text_key, written
+from .storage import rows_a_batch, text_key, written
 
-WORDS, SHARE, RATIO, EXACT_SEGMENTS = 4, 85, 1.3, 40
+WORDS, SHARE, RATIO, NEIGHBOURS, TRIES = 4, 85, 1.3, 40, 8
 U64 = np.uint64
 
 
 @lru_cache(maxsize=8)
-def bands(share: int, most: int = 1 << 31) -> tuple[np.ndarray, np.ndarray]:
-    """The least size of each band and its number of segments."""
+def bands(share: int, most: int = 1 << 31) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The least size of each band, its number of segments, and how many of these are to spare."""
     low = [1]
     while low[-1] < most:
         low.append(max(low[-1] + 1, int(low[-1] * max(RATIO, 101 / share))))
     low = np.array(low)
     high = np.r_[low[1:] - 1, low[-1]]
     # union u and intersection i of linked sets: u + i <= 2 high, i >= share u / 100; they differ by u - i
-    return low, (100 - share) * 2 * high // (100 + share) + 1
-
-
-def _bare(empty: int, m: int) -> bool:
-    return empty >= 2 and (m <= 12 or 4 * empty >= m)
+    need = (100 - share) * 2 * high // (100 + share) + 1
+    # Empty segments that hashed elements of the smallest sets may leave, and some more.
+    least = np.maximum(share * low / 100, 1)
+    spare = np.zeros(len(low))
+    for _ in range(4):
+        empty = np.minimum((need + spare) * np.exp(-least / (need + spare)), need)
+        spare = np.where(need > NEIGHBOURS, np.ceil(empty + 2.5 * np.sqrt(empty)), 0)
+    return low, need + spare.astype(np.int64), spare.astype(np.int64)
 
 
 class Sets:
@@ -65,47 +71,59 @@ class Sets:
     def sizes(self) -> np.ndarray:
         return np.diff(self.first)
 
-    def summaries(self) -> tuple[np.ndarray, np.ndarray]:
-        """128 bits of each set; 0 of empty ones."""
-        out = []
-        for salt in (0x5851F42D4C957F2D, 0x14057B7EF767814F):
-            sums = np.r_[U64(0), np.cumsum(T.mix(self.items ^ U64(salt)))]
-            out.append(T.mix(sums[self.first[1:]] - sums[self.first[:-1]] + self.sizes().astype(U64) * T.ODD))
-            out[-1][self.sizes() == 0] = 0
-        return out[0], out[1]
+    def ids(self) -> np.ndarray:
+        """64 bits of each set; 0 of empty ones."""
+        sums = np.r_[U64(0), np.cumsum(T.mix(self.items ^ U64(0x5851F42D4C957F2D)))]
+        out = T.mix(sums[self.first[1:]] - sums[self.first[:-1]] + self.sizes().astype(U64) * T.ODD)
+        out[self.sizes() == 0] = 0
+        return out
 
     def keys(self, share: int) -> tuple[np.ndarray, np.ndarray]:
         """Segment keys and the set of each."""
-        low, segments = bands(share)
-        scrambled = T.mix(self.items ^ U64(0x2127599BF4325C37))
-        upper = self.items >> U64(32)
-        keys, owners = [], []
-        for i, n in enumerate(self.sizes().tolist()):
-            if not n:
-                continue
-            a, b = self.first[i], self.first[i + 1]
-            band = int(np.searchsorted(low, n, "right")) - 1
-            for at in (band, band + 1):
-                m = int(segments[at])
-                if at > band and 100 * n < share * int(low[at]) or m < 2:
-                    continue
-                segment = (upper[a:b] * U64(m)) >> U64(32)
-                starts = np.flatnonzero(np.r_[True, segment[1:] != segment[:-1]])
-                sums = np.add.reduceat(scrambled[a:b], starts)
-                which = (segment[starts] + U64(at << 32)) * T.ODD
-                keys.append(T.mix(sums ^ which))
-                empty, made = m - len(starts), len(starts)
-                if empty and m <= EXACT_SEGMENTS:
-                    sizes = np.diff(np.r_[starts, n])
-                    left = np.repeat(sums, sizes) - scrambled[a:b]
-                    left = T.mix(left ^ np.repeat(which, sizes))[np.repeat(sizes, sizes) > 1]
-                    keys.append(left)
-                    made += len(left)
-                if _bare(empty, m):
-                    none = np.setdiff1d(np.arange(m).astype(U64), segment)
-                    keys.append(T.mix((none + U64(at << 32)) * T.ODD))
-                    made += len(none)
-                owners.append(np.full(made, i))
+        low, segments, spare = bands(share)
+        n = self.sizes()
+        own = np.flatnonzero(n)
+        band = np.searchsorted(low, n, "right") - 1
+        above = own[100 * n[own] >= share * low[band[own] + 1]]
+        sets, at = np.r_[own, above], np.r_[band[own], band[above] + 1]
+        stay = segments[at] - spare[at] > 1  # others link with equal sets only
+        sets, at = sets[stay], at[stay]
+        keys, owners, level = [], [], 0
+        while len(sets):
+            m, size = segments[at], n[sets]
+            owner = np.repeat(np.arange(len(sets)), size)
+            items = self.items[np.repeat(self.first[sets] - np.cumsum(size) + size, size) + np.arange(len(owner))]
+            salt = U64(0x9E3779B97F4A7C15 * level % (1 << 64))
+            segment = ((T.mix(items ^ salt) if level else items) >> U64(32)) * m[owner].astype(U64) >> U64(32)
+            if level:
+                order = np.lexsort((segment, owner))
+                items, segment = items[order], segment[order]
+            scrambled = T.mix(items ^ U64(0x2127599BF4325C37))
+            starts = np.flatnonzero(np.r_[True, (segment[1:] != segment[:-1]) | (owner[1:] != owner[:-1])])
+            sums, whose = np.add.reduceat(scrambled, starts), owner[starts]
+            place = lambda x, o: (x + (at[o].astype(U64) << U64(32)) + U64(level << 56)) * T.ODD  # noqa: B023, E731
+            which = place(segment[starts], whose)
+            keys.append(T.mix(sums ^ which))
+            owners.append(sets[whose])
+            empty = m - np.bincount(whose, minlength=len(sets))
+            few = m - spare[at] <= NEIGHBOURS
+            inside = np.diff(np.r_[starts, len(items)])
+            left = np.flatnonzero(np.repeat((inside > 1) & (few & (empty > 0))[whose], inside))
+            part = np.repeat(np.arange(len(starts)), inside)[left]
+            keys.append(T.mix((sums[part] - scrambled[left]) ^ which[part]))
+            owners.append(sets[owner[left]])
+            poor = np.where(few, (empty >= 2) & ((m <= 12) | (4 * empty >= m)), empty > spare[at])
+            level += 1
+            if level == TRIES and poor.any():
+                slot = np.cumsum(np.where(poor, m, 0)) - np.where(poor, m, 0)
+                there = np.zeros(int(m[poor].sum()), bool)
+                pick = poor[whose]
+                there[slot[whose[pick]] + segment[starts[pick]].astype(np.int64)] = True
+                of = np.repeat(np.flatnonzero(poor), m[poor])[~there]
+                keys.append(T.mix(place(np.flatnonzero(~there).astype(U64) - slot[of].astype(U64), of)))
+                owners.append(sets[of])
+                break
+            sets, at = sets[poor], at[poor]
         if not keys:
             return np.zeros(0, U64), np.zeros(0, np.intp)
         return np.concatenate(keys), np.concatenate(owners)
@@ -116,15 +134,14 @@ def _long(x: np.ndarray) -> pa.Array:
 
 
 def summaries(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """(doc_id, h, n_shingles, s1, s2) of each row."""
+    """(doc_id, h, n_shingles, s) of each row; s: the id of its set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in T.chunks(batches):
             sets = Sets(batch.column(2), words)
-            s1, s2 = sets.summaries()
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sets.sizes().astype(np.int64)), _long(s1), _long(s2)], ["doc_id", "h", "n_shingles", "s1", "s2"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sets.sizes().astype(np.int64)), _long(sets.ids())], ["doc_id", "h", "n_shingles", "s"])
 
-    return _keyed(docs).mapInArrow(run, "doc_id long, h long, n_shingles long, s1 long, s2 long")
+    return _keyed(docs).mapInArrow(run, "doc_id long, h long, n_shingles long, s long")
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -136,92 +153,144 @@ def segment_keys(docs: DataFrame, words: int, share: int) -> DataFrame:
         for batch in T.chunks(batches, 1 << 20):
             sets = Sets(batch.column(0), words)
             keys, owner = sets.keys(share)
-            yield pa.RecordBatch.from_arrays([_long(keys), _long(sets.summaries()[0][owner])], ["key", "s"])
+            yield pa.RecordBatch.from_arrays([_long(keys), _long(sets.ids()[owner])], ["key", "s"])
 
     return docs.select("text").mapInArrow(run, "key long, s long")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, words: int, share: int) -> DataFrame:
-    """The pairs (a, b) of set ids with ``apart``, the size of their symmetric difference, and ``linked``. ``texts``: (s, packed), a text of each set."""
+    """The pairs (a, b) of set ids that are linked. ``texts``: (s, n, packed), size and text of each set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
+        for batch in batches:
+            a, x, y = (batch.column(i).to_pylist() for i in (0, 2, 3))
+            at, linked = 0, []
+            while at < len(a):
+                held, left, right, size, to = [], [], [], 0, at
+                while to < len(a) and size < 1 << 20:
+                    if to == at or a[to] != a[to - 1]:
+                        hub = len(held)
+                        held.append(unpack(x[to]))
+                        size += len(held[-1])
+                    left.append(hub)
+                    right.append(len(held))
+                    held.append(unpack(y[to]))
+                    size += len(held[-1])
+                    to += 1
+                sets = Sets(pa.array(held, pa.binary()), words)
+                own = [sets.items[p:q] for p, q in zip(sets.first[:-1], sets.first[1:], strict=True)]
+                for i, j in zip(left, right, strict=True):
+                    p, q = (own[i], own[j]) if len(own[i]) > len(own[j]) else (own[j], own[i])
+                    both = int(np.count_nonzero(p[np.minimum(np.searchsorted(p, q), len(p) - 1)] == q))
+                    linked.append(100 * both >= share * (len(p) + len(q) - both))
+                at = to
+            yield batch.filter(pa.array(linked, pa.bool_())).select(["a", "b"])
+
+    joined = pairs.join(texts.toDF("b", "nb", "y"), "b").join(texts.toDF("a", "na", "x"), "a").filter(f"100 * least(na, nb) >= {share} * greatest(na, nb)")
+    return joined.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+
+
+FINE, BLOCK_BYTES, MATRIX = 4, 1 << 15, 1 << 22
+
+
+def sketches(texts: DataFrame, words: int, share: int) -> DataFrame:
+    """(s, n, band, own, above): a byte for each of ``FINE`` times as many cells of the universe as a set of its band (and the next) has segments.
+
+    Six bits of a byte are a hash of what the set has in the cell, two its number, modulo 4. See ``apart``.
+    """
+    low, segments, _ = bands(share)
+    many = (segments * FINE + 7) // 8 * 8
 
-        def shingled(packed: bytes) -> np.ndarray:
-            return Sets(pa.array([unpack(packed)], pa.binary()), words).items
-
-        held, hub = None, None
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
-            apart, linked = [], []
-            for a, x, y in zip(*(batch.column(i).to_pylist() for i in (0, 2, 3)), strict=True):
-                if a != held:
-                    held, hub = a, shingled(x)
-                other = shingled(y)
-                total = len(hub) + len(other)
-                both = len(np.intersect1d(hub, other, assume_unique=True))
-                apart.append(total - 2 * both)
-                linked.append(100 * both >= share * (total - both))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(apart, pa.int64()), pa.array(linked, pa.bool_())], ["a", "b", "apart", "linked"])
+            sizes = np.array(batch.column(1).to_pylist())
+            at = np.searchsorted(low, sizes, "right") - 1
+            own, above = [], []
+            for i, packed in enumerate(batch.column(2).to_pylist()):
+                items = Sets(pa.array([unpack(packed)], pa.binary()), words).items
+                for band, out in ((at[i], own), (at[i] + 1, above)):
+                    cells = int(many[band])
+                    cell = ((items >> U64(32)) * U64(cells) >> U64(32)).astype(np.intp)
+                    sums = np.zeros(cells, U64)
+                    np.add.at(sums, cell, T.mix(items.copy()))
+                    out.append(((T.mix(sums) & U64(0xFC)).astype(np.uint8) | (np.bincount(cell, minlength=cells) & 3).astype(np.uint8)).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(at.astype(np.int32)), pa.array(own, pa.binary()), pa.array(above, pa.binary())], ["s", "n", "band", "own", "above"])
 
-    sized = texts.select("s", "n", "packed")
-    joined = pairs.join(sized.toDF("b", "nb", "y"), "b").join(sized.toDF("a", "na", "x"), "a").filter(f"100 * least(na, nb) >= {share} * greatest(na, nb)")
-    return joined.select("a", "b", "x", "y").mapInArrow(run, "a long, b long, apart long, linked boolean")
+    return texts.select("s", "n", "packed").mapInArrow(run, "s long, n long, band int, own binary, above binary")
 
 
-SMALL, BLOCK, FINE = 64, 256, 4
+ONES = U64(0x0101010101010101)
 
 
-def near_in_blocks(mixed: DataFrame, texts: DataFrame, words: int, share: int) -> DataFrame:
-    """Pairs (a, b) of different roots that share a key and that sketches don't tell apart. ``mixed``: (key, s, root, c).
+def apart(x: np.ndarray) -> np.ndarray:
+    """The least number of differences, from the sketches' bytes (eight in a word) combined by exclusive or.
 
-    A sketch has a byte for each of many fine segments of the universe; each that differs is one difference at least, so sets that differ in
-    more than linked ones may are ruled out exactly. Members of a key are dealt to blocks, and blocks meet blocks; pairs are no rows.
+    A cell that differs has one difference at least, and two if the numbers of elements differ by an even number.
     """
-    low, segments = bands(share)
+    odd = np.bitwise_count(x & ONES).sum(-1, dtype=np.int64)
+    for k in (4, 2, 1):  # whether any bit of a byte is set, in its lowest bit
+        x = x | x >> U64(k)
+    return 2 * np.bitwise_count(x & ONES).sum(-1, dtype=np.int64) - odd
 
-    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpack = zstandard.ZstdDecompressor().decompress
-        for batch in batches:
-            out = []
-            for n, packed in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                items = Sets(pa.array([unpack(packed)], pa.binary()), words).items
-                both = []
-                at = int(np.searchsorted(low, n, "right")) - 1
-                for band in (at, at + 1):
-                    fine = int(segments[band]) * FINE
-                    sums = np.zeros(fine, U64)
-                    np.add.at(sums, (((items >> U64(32)) * U64(fine)) >> U64(32)).astype(np.intp), T.mix(items.copy()))
-                    both.append(T.mix(sums).astype(np.uint8).tobytes())
-                out.append((at, both[0], both[1]))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(x, k) for x, k in zip(zip(*out, strict=True), (pa.int32(), pa.binary(), pa.binary()), strict=True))], ["s", "n", "band", "own", "above"])
+
+def near_in_blocks(mixed: DataFrame, texts: DataFrame, words: int, share: int) -> DataFrame:
+    """Pairs (a, b) of different roots that share a key and that sketches don't tell apart. ``mixed``: (key, s, root).
+
+    Sketches rule pairs out exactly. Members of a key are dealt to blocks by a hash, a block for some bytes of sketches, and blocks meet blocks;
+    pairs are no rows before they are near. A pair is told by its least common key.
+    """
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b = [], []
-            for key, same, left, right in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                for x in left:
-                    for shift in (0, 1, -1):  # the other's band
-                        those = [y for y in right if y["band"] == x["band"] + shift and y["root"] != x["root"] and (not same or y["s"] > x["s"])]
-                        if not those:
-                            continue
-                        mine = x["above" if shift == 1 else "own"]
-                        table = np.frombuffer(b"".join(y["above" if shift == -1 else "own"] for y in those), np.uint8).reshape(len(those), -1)
-                        apart = (table != np.frombuffer(mine, np.uint8)).sum(1)
-                        total = np.array([y["n"] for y in those]) + x["n"]
-                        for k in np.flatnonzero(apart * (100 + share) <= (100 - share) * total):
-                            if min(set(x["keys"]).intersection(those[k]["keys"])) != key:
-                                continue  # the pair's least common key tells of it
-                            a.append(min(x["s"], those[k]["s"]))
-                            b.append(max(x["s"], those[k]["s"]))
+            key, same = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            sides, firsts = [], []
+            for i in (2, 3):
+                firsts.append(np.r_[0, np.cumsum(pa.compute.list_value_length(batch.column(i)).to_numpy())])
+                sides.append(batch.column(i).flatten())
+            s, root, n, band = (np.concatenate([x.field(f).to_numpy() for x in sides]).astype(np.int64) for f in ("s", "root", "n", "band"))
+            shift = len(sides[0])
+            own, above = ([y for x in sides for y in x.field(f).to_pylist()] for f in ("own", "above"))
+            keys = pa.concat_arrays([x.field("keys") for x in sides])
+            p, q, row = [], [], []
+            for r in range(len(key)):
+                left, right = np.arange(*firsts[0][r : r + 2]), shift + np.arange(*firsts[1][r : r + 2])
+                i, j = np.repeat(left, len(right)), np.tile(right, len(left))
+                fit = (root[i] != root[j]) & (abs(band[i] - band[j]) < 2) & (100 * np.minimum(n[i], n[j]) >= share * np.maximum(n[i], n[j]))
+                fit &= (s[i] < s[j]) if same[r] else True
+                p.append(i[fit])
+                q.append(j[fit])
+                row.append(np.full(len(p[-1]), r))
+            p, q, row = np.concatenate(p), np.concatenate(q), np.concatenate(row)
+            level, a, b = np.maximum(band[p], band[q]), [], []
+            for c in np.unique(level):
+                here = np.flatnonzero(level == c)
+                used, slot = np.unique(np.r_[p[here], q[here]], return_inverse=True)
+                table = np.frombuffer(b"".join(own[k] if band[k] == c else above[k] for k in used.tolist()), U64).reshape(len(used), -1)
+                step = max(1, MATRIX // (8 * table.shape[1]))
+                for at in range(0, len(here), step):
+                    some = here[at : at + step]
+                    x = table[slot[at : at + len(some)]] ^ table[slot[len(here) + at : len(here) + at + len(some)]]
+                    for k in some[apart(x) * (100 + share) <= (100 - share) * (n[p[some]] + n[q[some]])].tolist():
+                        i, j = p[k], q[k]
+                        if min(set(keys[i].as_py()).intersection(keys[j].as_py())) == key[row[k]]:
+                            a.append(min(s[i], s[j]))
+                            b.append(max(s[i], s[j]))
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    sketches = texts.select("s", "n", "packed").join(mixed.select("s").distinct(), "s").mapInArrow(sketch, "s long, n long, band int, own binary, above binary")
+    spark = mixed.sparkSession
     own_keys = mixed.groupBy("s").agg(F.collect_set("key").alias("keys"))
-    dealt = mixed.join(sketches.join(own_keys, "s"), "s").withColumn("block", F.pmod(F.xxhash64("s"), F.ceil(F.col("c") / BLOCK)))
-    blocks = dealt.groupBy("key", "block").agg(F.collect_list(F.struct("s", "root", "n", "band", "own", "above", "keys")).alias("sets"))
-    blocks = written(blocks, "blocks")
-    met = blocks.select("key", F.col("block").alias("i"), F.col("sets").alias("x")).join(blocks.select("key", F.col("block").alias("j"), F.col("sets").alias("y")), "key").filter("i <= j")
-    return met.select("key", (F.col("i") == F.col("j")).alias("same"), "x", "y").mapInArrow(compare, "a long, b long").distinct()
+    dealt = written(mixed.join(sketches(texts.join(mixed.select("s").distinct(), "s"), words, share).join(own_keys, "s"), "s"), "sketched")
+    sizes = dealt.groupBy("key").agg(F.ceil(F.sum(F.length("own") + F.length("above")) / BLOCK_BYTES).alias("blocks"))
+    blocks = dealt.join(written(sizes, "key-sizes"), "key").groupBy("key", "blocks", F.pmod(F.xxhash64("s"), "blocks").alias("block"))
+    blocks = written(blocks.agg(F.collect_list(F.struct("s", "root", "n", "band", "own", "above", "keys")).alias("sets")), "blocks")
+    # The blocks of a large key meet in as many tasks as there are pairs of them.
+    x = blocks.select("key", F.col("block").alias("i"), F.expr("explode(sequence(block, blocks - 1))").alias("j"), F.col("sets").alias("x"))
+    y = blocks.select("key", F.expr("explode(sequence(0, block))").alias("i"), F.col("block").alias("j"), F.col("sets").alias("y"))
+    met = x.join(y, ["key", "i", "j"])
+    with rows_a_batch(spark, 256):  # of two blocks each
+        return written(met.select("key", (F.col("i") == F.col("j")).alias("same"), "x", "y").mapInArrow(compare, "a long, b long").distinct(), "near-pairs")
 
 
 def packed_texts(docs: DataFrame) -> DataFrame:
@@ -236,49 +305,55 @@ def packed_texts(docs: DataFrame) -> DataFrame:
 
 
 def link_classes(docs: DataFrame, words: int = WORDS, share: int = SHARE) -> tuple[DataFrame, DataFrame]:
-    """Summaries of the rows, and (s1, root) of the sets that link with others."""
+    """Summaries of the rows, and (node, root) of the sets that link with others."""
     rows = written(summaries(docs, words), "sets")
     keys = segment_keys(docs, words, share)
     shared = written(keys.groupBy("key").agg(F.min("s").alias("lo"), F.max("s").alias("hi"), F.count("*").alias("c")).filter("lo < hi"), "shared-keys")
     members = written(keys.join(shared.filter("c > 2").select("key"), "key").select("key", "s").distinct(), "key-members")
     # A key's sets are compared with the one among them that has most shared keys, likely the least edited of a group.
     degrees = members.groupBy("s").agg(F.count("*").alias("degree"))
-    hub = members.join(degrees, "s").groupBy("key").agg(F.max(F.struct("degree", "s")).alias("hub"), F.count("*").alias("c")).select("key", "c", F.col("hub.s").alias("hub"))
+    hub = members.join(degrees, "s").groupBy("key").agg(F.max(F.struct("degree", "s")).alias("hub")).select("key", F.col("hub.s").alias("hub"))
     hub = written(hub, "hubs")
     pairs = members.join(hub, "key").filter("s <> hub").select(F.least("s", "hub").alias("a"), F.greatest("s", "hub").alias("b"))
     tried = written(shared.filter("c = 2").select(F.col("lo").alias("a"), F.col("hi").alias("b")).unionByName(pairs).distinct(), "hub-pairs")
-    wanted = tried.select(F.col("a").alias("s1")).unionByName(tried.select(F.col("b").alias("s1"))).distinct()
+    wanted = tried.select(F.col("a").alias("s")).unionByName(tried.select(F.col("b").alias("s"))).distinct()
     # A null doc_id is taken only where a set has no other, and is joined as a value.
     least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h", F.col("n_shingles").alias("n"))).alias("v")
-    chosen = rows.filter("n_shingles > 0").groupBy("s1").agg(least).join(wanted, "s1").select("s1", F.col("v.doc_id").alias("d"), F.col("v.h").alias("g"), "v.n")
-    texts = packed_texts(docs).join(chosen, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("h") == F.col("g"))).select(F.col("s1").alias("s"), "n", "packed")
+    chosen = rows.filter("n_shingles > 0").groupBy("s").agg(least).join(wanted, "s").select("s", F.col("v.doc_id").alias("d"), F.col("v.h").alias("g"), "v.n")
+    texts = packed_texts(docs).join(chosen, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("h") == F.col("g"))).select("s", "n", "packed")
     texts = written(texts.groupBy("s").agg(F.first("n").alias("n"), F.first("packed").alias("packed")), "set-texts")
-    tried = written(verified(tried, texts, words, share), "tried")
-    roots = connected_components(tried.filter("linked").select("a", "b"))
+    roots = connected_components(verified(tried, texts, words, share))
     # Members of keys whose sets are not all in one component by now.
     marked = members.join(roots.select(F.col("node").alias("s"), "root"), "s", "left").select("key", "s", F.coalesce("root", "s").alias("root"))
-    mixed = marked.groupBy("key").agg(F.min("root").alias("p"), F.max("root").alias("q"), F.count("*").alias("c")).filter("p < q").select("key", "c")
-    mixed = written(marked.join(mixed, "key"), "mixed-keys")
+    mixed = marked.groupBy("key").agg(F.min("root").alias("p"), F.max("root").alias("q")).filter("p < q").select("key")
+    mixed = written(marked.join(written(mixed, "mixed"), "key"), "mixed-keys")
     # What is left: pairs of two components that share a key and were not compared.
-    x, y = (mixed.filter(F.col("c") <= SMALL).select("key", F.col("s").alias(s), F.col("root").alias(r)) for s, r in (("a", "ra"), ("b", "rb")))
-    rest = x.join(y, "key").filter("ra <> rb AND a < b").select("a", "b").unionByName(near_in_blocks(mixed.filter(F.col("c") > SMALL).select("key", "s", "root", "c"), texts, words, share))
-    rest = written(rest.distinct().join(tried, ["a", "b"], "left_anti"), "rest-pairs")
-    more = verified(rest, texts, words, share).filter("linked").select("a", "b")
+    rest = near_in_blocks(mixed, texts, words, share).join(tried, ["a", "b"], "left_anti")
+    more = verified(rest, texts, words, share)
     # Links found before are as good as their components.
     return rows, connected_components(roots.toDF("a", "b").unionByName(more))
 
 
+def classes(docs: DataFrame, words: int = WORDS, share: int = SHARE) -> DataFrame:
+    """Per row: doc_id, h (hash of its text), n_shingles, component_id as in ``ngram_join``, and ``head``, the least (doc_id, h) of its component."""
+    rows, roots = link_classes(docs, words, share)
+    # Classes are made of sets, so that copies don't meet in one group.
+    sets = rows.filter("n_shingles > 0").groupBy("s").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h")).alias("least"))
+    sets = sets.join(roots.select(F.col("node").alias("s"), "root"), "s", "left").select("s", F.coalesce("root", "s").alias("root"), "least")
+    sets = written(sets, "classes")
+    heads = written(sets.groupBy("root").agg(F.min("least").alias("head")), "class-heads")
+    sets = written(sets.select("s", "root").join(heads, "root").select("s", F.struct("head.doc_id", "head.h").alias("head")), "set-heads")
+    full = rows.filter("n_shingles > 0").join(sets, "s").select("doc_id", "h", "n_shingles", F.coalesce("head.doc_id", "doc_id").alias("component_id"), "head")
+    return full.unionByName(rows.filter("n_shingles = 0").select("doc_id", "h", "n_shingles", F.col("doc_id").alias("component_id"), F.struct("doc_id", "h").alias("head")))
+
+
 def ngram_join(docs: DataFrame, words: int = WORDS, share: int = SHARE) -> DataFrame:
     """Per row: doc_id, n_shingles and component_id, the smallest doc_id reachable by links.
 
     Two documents link when 100 * intersection >= ``share`` * union of their sets of distinct ``words``-word shingles (A-Z lower-cased; a
     shorter text is one shingle). Null and empty texts, and those without words, are empty sets and link with nothing. Rows of one doc_id are
     documents of their own, each by its text. A null doc_id links as others do, but is no component_id
-    unless nothing else is reachable (then null). Equal sets are one class and compared once. Other columns are ignored.
+    unless nothing else is reachable (then null). Equal sets are one class and compared once. Other columns are ignored. Shingles and sets are
+    told apart by 64-bit hashes.
     """
-    rows, roots = link_classes(docs, words, share)
-    same = rows.filter("n_shingles > 0").join(roots.select(F.col("node").alias("s1"), "root"), "s1", "left")
-    same = same.select("doc_id", "h", "n_shingles", F.coalesce("root", "s1").alias("root"))
-    least = same.groupBy("root").agg(F.min("doc_id").alias("least"))
-    full = same.join(least, "root").select("doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id"))
-    return full.unionByName(rows.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
+    return classes(docs, words, share).select("doc_id", "n_shingles", "component_id")

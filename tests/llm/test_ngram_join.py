@@ -36,8 +36,8 @@ def test_matches_brute_force(spark, documents, corpus):
 
 
 def test_large_group_of_near_copies_in_blocks(spark, documents, monkeypatch):
-    monkeypatch.setattr(nj, "SMALL", 4)
-    monkeypatch.setattr(nj, "BLOCK", 8)
+    monkeypatch.setattr(nj, "BLOCK_BYTES", 2048)
+    monkeypatch.setattr(nj, "TRIES", 1)
     rng = random.Random(2)
     base = [f"w{i}" for i in range(150)]
     rows = []
