@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from landweave.llm import decontamination, line_dedup, ngram_join, sentencepiece, toxicity
-from landweave.llm.storage import text_key, written
+from landweave.llm.storage import fresh, text_key, written
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,16 +24,20 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def ngram_join_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays: the smallest doc_id, and of rows that share it the one with the least text hash. Five-word shingles, similarity 0.8."""
-    groups = ngram_join.ngram_join(docs, words=5, share=80)
-    heads = groups.filter("n_shingles > 0 AND doc_id <=> component_id").select(F.col("doc_id").alias("_d")).distinct()
+    """One document of each group stays: the smallest doc_id, of rows that share it the one with the least text hash, and of equal rows one.
+
+    Five-word shingles, similarity 0.8. A null doc_id is the last. Texts without words are no copies and all stay.
+    """
+    heads = ngram_join.classes(docs, words=5, share=80).filter("n_shingles > 0 AND doc_id <=> head.doc_id AND h = head.h").select("doc_id", "h").distinct()
+    h, k, rank = fresh(docs, "text_hash"), fresh(docs, "head_id"), fresh(docs, "rank")
+    heads = heads.select(F.col("doc_id").alias(k), F.col("h").alias(f"{h}_"))
     empty = F.coalesce(F.trim(F.regexp_replace("text", r"[\x09-\x0D ]+", " ")), F.lit("")) == ""
-    keyed = docs.withColumn("_t", text_key())
-    whole = keyed.filter(~empty)
-    stay = whole.join(heads, F.col("doc_id").eqNullSafe(F.col("_d")), "left_semi")
-    # Repeated rows of one doc_id: one of equal texts stays.
-    first = F.row_number().over(Window.partitionBy("doc_id", "_t").orderBy("lang", "source", "n_chars"))
-    return stay.withColumn("_n", first).filter("_n = 1").select(*docs.columns).unionByName(keyed.filter(empty).select(*docs.columns))
+    whole = docs.filter(~empty).withColumn(h, text_key())
+    stay = whole.join(heads, F.col("doc_id").cast("long").eqNullSafe(F.col(k)) & (F.col(h) == F.col(f"{h}_")), "left_semi")
+    # Of the copies of a row one stays; groups are small, as only heads are left.
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    first = F.row_number().over(Window.partitionBy("doc_id", h).orderBy(*(others or [h])))
+    return stay.withColumn(rank, first).filter(F.col(rank) == 1).select(*docs.columns).unionByName(docs.filter(empty))
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
