@@ -191,7 +191,7 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, share: int) -> Data
     return joined.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-FINE, BLOCK_BYTES, MATRIX = 4, 1 << 15, 1 << 22
+FEW, FINE, BLOCK_BYTES, MATRIX = 32, 4, 1 << 15, 1 << 22
 
 
 def sketches(texts: DataFrame, words: int, share: int) -> DataFrame:
@@ -239,31 +239,29 @@ def near_in_blocks(mixed: DataFrame, texts: DataFrame, words: int, share: int) -
     """Pairs (a, b) of different roots that share a key and that sketches don't tell apart. ``mixed``: (key, s, root).
 
     Sketches rule pairs out exactly. Members of a key are dealt to blocks by a hash, a block for some bytes of sketches, and blocks meet blocks;
-    pairs are no rows before they are near. A pair is told by its least common key.
+    pairs are no rows before they are near.
     """
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            key, same = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            same = batch.column(0).to_numpy(zero_copy_only=False)
             sides, firsts = [], []
-            for i in (2, 3):
+            for i in (1, 2):
                 firsts.append(np.r_[0, np.cumsum(pa.compute.list_value_length(batch.column(i)).to_numpy())])
                 sides.append(batch.column(i).flatten())
             s, root, n, band = (np.concatenate([x.field(f).to_numpy() for x in sides]).astype(np.int64) for f in ("s", "root", "n", "band"))
             shift = len(sides[0])
             own, above = ([y for x in sides for y in x.field(f).to_pylist()] for f in ("own", "above"))
-            keys = pa.concat_arrays([x.field("keys") for x in sides])
-            p, q, row = [], [], []
-            for r in range(len(key)):
+            p, q = [], []
+            for r in range(len(same)):
                 left, right = np.arange(*firsts[0][r : r + 2]), shift + np.arange(*firsts[1][r : r + 2])
                 i, j = np.repeat(left, len(right)), np.tile(right, len(left))
                 fit = (root[i] != root[j]) & (abs(band[i] - band[j]) < 2) & (100 * np.minimum(n[i], n[j]) >= share * np.maximum(n[i], n[j]))
                 fit &= (s[i] < s[j]) if same[r] else True
                 p.append(i[fit])
                 q.append(j[fit])
-                row.append(np.full(len(p[-1]), r))
-            p, q, row = np.concatenate(p), np.concatenate(q), np.concatenate(row)
-            level, a, b = np.maximum(band[p], band[q]), [], []
+            p, q = np.concatenate(p), np.concatenate(q)
+            level, near = np.maximum(band[p], band[q]), [np.zeros(0, np.int64)]
             for c in np.unique(level):
                 here = np.flatnonzero(level == c)
                 used, slot = np.unique(np.r_[p[here], q[here]], return_inverse=True)
@@ -272,25 +270,22 @@ def near_in_blocks(mixed: DataFrame, texts: DataFrame, words: int, share: int) -
                 for at in range(0, len(here), step):
                     some = here[at : at + step]
                     x = table[slot[at : at + len(some)]] ^ table[slot[len(here) + at : len(here) + at + len(some)]]
-                    for k in some[apart(x) * (100 + share) <= (100 - share) * (n[p[some]] + n[q[some]])].tolist():
-                        i, j = p[k], q[k]
-                        if min(set(keys[i].as_py()).intersection(keys[j].as_py())) == key[row[k]]:
-                            a.append(min(s[i], s[j]))
-                            b.append(max(s[i], s[j]))
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+                    near.append(some[apart(x) * (100 + share) <= (100 - share) * (n[p[some]] + n[q[some]])])
+            x, y = (s[i[np.concatenate(near)]] for i in (p, q))
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["a", "b"])
 
     spark = mixed.sparkSession
-    own_keys = mixed.groupBy("s").agg(F.collect_set("key").alias("keys"))
-    dealt = written(mixed.join(sketches(texts.join(mixed.select("s").distinct(), "s"), words, share).join(own_keys, "s"), "s"), "sketched")
+    own = written(sketches(texts.join(mixed.select("s").distinct(), "s"), words, share), "sketches")
+    dealt = mixed.join(own, "s")
     sizes = dealt.groupBy("key").agg(F.ceil(F.sum(F.length("own") + F.length("above")) / BLOCK_BYTES).alias("blocks"))
     blocks = dealt.join(written(sizes, "key-sizes"), "key").groupBy("key", "blocks", F.pmod(F.xxhash64("s"), "blocks").alias("block"))
-    blocks = written(blocks.agg(F.collect_list(F.struct("s", "root", "n", "band", "own", "above", "keys")).alias("sets")), "blocks")
+    blocks = written(blocks.agg(F.collect_list(F.struct("s", "root", "n", "band", "own", "above")).alias("sets")), "blocks")
     # The blocks of a large key meet in as many tasks as there are pairs of them.
     x = blocks.select("key", F.col("block").alias("i"), F.expr("explode(sequence(block, blocks - 1))").alias("j"), F.col("sets").alias("x"))
     y = blocks.select("key", F.expr("explode(sequence(0, block))").alias("i"), F.col("block").alias("j"), F.col("sets").alias("y"))
     met = x.join(y, ["key", "i", "j"])
     with rows_a_batch(spark, 256):  # of two blocks each
-        return written(met.select("key", (F.col("i") == F.col("j")).alias("same"), "x", "y").mapInArrow(compare, "a long, b long").distinct(), "near-pairs")
+        return written(met.select((F.col("i") == F.col("j")).alias("same"), "x", "y").mapInArrow(compare, "a long, b long").distinct(), "near-pairs")
 
 
 def packed_texts(docs: DataFrame) -> DataFrame:
@@ -325,10 +320,13 @@ def link_classes(docs: DataFrame, words: int = WORDS, share: int = SHARE) -> tup
     roots = connected_components(verified(tried, texts, words, share))
     # Members of keys whose sets are not all in one component by now.
     marked = members.join(roots.select(F.col("node").alias("s"), "root"), "s", "left").select("key", "s", F.coalesce("root", "s").alias("root"))
-    mixed = marked.groupBy("key").agg(F.min("root").alias("p"), F.max("root").alias("q")).filter("p < q").select("key")
+    mixed = marked.groupBy("key").agg(F.min("root").alias("p"), F.max("root").alias("q"), F.count("*").alias("c")).filter("p < q").select("key", "c")
     mixed = written(marked.join(written(mixed, "mixed"), "key"), "mixed-keys")
-    # What is left: pairs of two components that share a key and were not compared.
-    rest = near_in_blocks(mixed, texts, words, share).join(tried, ["a", "b"], "left_anti")
+    # What is left: pairs of two components that share a key and were not compared. Keys of few sets have few pairs.
+    x, y = (mixed.filter(F.col("c") <= FEW).select("key", F.col("s").alias(s), F.col("root").alias(r)) for s, r in (("a", "ra"), ("b", "rb")))
+    few = x.join(y, "key").filter("ra <> rb AND a < b").select("a", "b")
+    many = near_in_blocks(mixed.filter(F.col("c") > FEW).select("key", "s", "root"), texts, words, share)
+    rest = few.unionByName(many).distinct().join(tried, ["a", "b"], "left_anti")
     more = verified(rest, texts, words, share)
     # Links found before are as good as their components.
     return rows, connected_components(roots.toDF("a", "b").unionByName(more))

@@ -37,6 +37,7 @@ def test_matches_brute_force(spark, documents, corpus):
 
 def test_large_group_of_near_copies_in_blocks(spark, documents, monkeypatch):
     monkeypatch.setattr(nj, "BLOCK_BYTES", 2048)
+    monkeypatch.setattr(nj, "FEW", 2)
     monkeypatch.setattr(nj, "TRIES", 1)
     rng = random.Random(2)
     base = [f"w{i}" for i in range(150)]
