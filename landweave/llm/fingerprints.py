@@ -16,12 +16,12 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import text as T
-from .storage import text_key
+from .codec import codec_dictionary, packers
+from .storage import text_key, written
 
 WORDS, SAMPLES, DRAWS, SEED = 5, 64, 1 << 16, 20240611
 CHUNK = 1 << 18
@@ -117,45 +117,22 @@ def fingerprint(docs: DataFrame, words: int = WORDS) -> DataFrame:
     return docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(run, "doc_id long, n_chars long, fingerprint string")
 
 
-SAMPLED, SAMPLE_CHARS, DICTIONARY, LEVEL = 1000, 4000, 1 << 16, 6
-
-
-def codec_dictionary(docs: DataFrame) -> bytes | None:
-    """A dictionary for the compression of texts under way, from the starts of at most ``SAMPLED`` texts; results don't depend on it."""
-    rows = docs.select(F.substring("text", 1, SAMPLE_CHARS).alias("t")).filter(F.length("t") > 100).limit(SAMPLED).collect()
-    try:
-        return zstandard.train_dictionary(DICTIONARY, [r.t.encode() for r in rows]).as_bytes()
-    except zstandard.ZstdError:  # too few texts
-        return None
-
-
-def packers(dictionary: bytes | None):
-    shared = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
-    return zstandard.ZstdCompressor(level=LEVEL, dict_data=shared).compress, zstandard.ZstdDecompressor(dict_data=shared).decompress
-
-
-BITS = 10
-
-
 def successors(ids: DataFrame) -> DataFrame:
     """For rows (k, h, n): k and h with ``own``, the (k, h, n) of the next larger (k, h); after the largest comes the smallest.
 
-    No task gets all rows: a window runs inside buckets of 2^BITS values, another over the first rows of 2^BITS such buckets, and so on.
+    Rows are dealt to ranges; a window runs inside each, and the last of a range is followed by the first of the next. What the driver sees
+    is a row a range, as many as there are partitions.
     """
     value = F.struct("k", "h", "n").alias("v")
-
-    def follow(rows: DataFrame, level: int) -> DataFrame:
-        if level == 3:
-            order = Window.orderBy("k", "h")
-            whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-            return rows.select("k", "h", F.coalesce(F.lead("v").over(order), F.first("v").over(whole)).alias("own"))
-        rows = rows.withColumn("bucket", F.shiftright("k", BITS * (level + 1)))
-        inside = rows.select("k", "h", "v", "bucket", F.lead("v").over(Window.partitionBy("bucket").orderBy("k", "h")).alias("own"))
-        heads = rows.groupBy("bucket").agg(F.min("v").alias("v")).select(F.col("bucket"), F.col("v.k").alias("k"), F.col("v.h").alias("h"), "v")
-        after = follow(heads.select("k", "h", "v"), level + 1).select(F.shiftright("k", BITS * (level + 1)).alias("bucket"), F.col("own").alias("then"))
-        return inside.join(after, "bucket").select("k", "h", F.coalesce("own", "then").alias("own"))
-
-    return follow(ids.select("k", "h", value), 0)
+    ranged = ids.repartitionByRange("k", "h").select("k", "h", value, F.spark_partition_id().alias("range"))
+    ranged = written(ranged, "ranges")  # the number of a partition is no longer worked out anew
+    heads = sorted(ranged.groupBy("range").agg(F.min("v").alias("v")).collect())
+    if not heads:
+        return ids.select("k", "h", value.alias("own"))
+    after = [(x["range"], *y["v"]) for x, y in zip(heads, heads[1:] + heads[:1], strict=True)]
+    after = ids.sparkSession.createDataFrame(after, "range int, k long, h long, n long").select("range", F.struct("k", "h", "n").alias("then"))
+    inside = ranged.withColumn("next", F.lead("v").over(Window.partitionBy("range").orderBy("k", "h")))
+    return inside.join(F.broadcast(after), "range").select("k", "h", F.coalesce("next", "then").alias("own"))
 
 
 def with_edits(docs: DataFrame, words: int = WORDS) -> DataFrame:

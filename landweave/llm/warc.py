@@ -5,15 +5,15 @@ from __future__ import annotations
 import hashlib
 import math
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.fs
-import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import text as T
+from .codec import codec_dictionary, packers
 from .storage import shared_dir, written
 
 LEAST_REVISIT, ARCHIVE_BYTES, GAP, RANGE_BYTES = 1000, 16 << 20, 64 << 10, 4 << 20
@@ -25,25 +25,32 @@ def record_id(page: str, digest: str) -> Column:
     return F.concat(F.lit("<urn:sha1:"), F.coalesce(F.col(page).cast("string"), F.lit("")), F.lit("-"), F.col(digest), F.lit(">"))
 
 
-def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    pack = zstandard.ZstdCompressor(level=3).compress
-    for batch in T.chunks(batches, column="html"):
-        data, offsets = T.raw(batch.column(2))
-        blob, at = data.tobytes(), offsets.tolist()
-        yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array([pack(blob[a:b]) for a, b in zip(at, at[1:], strict=False)], pa.binary()), *batch.columns[3:]], batch.schema.names)
+def _packed(dictionary: bytes | None):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack, _ = packers(dictionary, 3)
+        for batch in T.chunks(batches, column="html"):
+            data, offsets = T.raw(batch.column(2))
+            blob, at = data.tobytes(), offsets.tolist()
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array([pack(blob[a:b]) for a, b in zip(at, at[1:], strict=False)], pa.binary()), *batch.columns[3:]], batch.schema.names)
+
+    return run
 
 
-def _bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _bodies(dictionary: bytes | None):
     """What is written of each record: the head and, of responses, the payload."""
-    unpack = zstandard.ZstdDecompressor().decompress
-    for batch in T.chunks(batches, 1 << 20, "packed"):
-        rows = batch.to_pydict()
-        value = [h if kind == "revisit" else h + unpack(x).decode() for h, x, kind in zip(rows["head"], rows["packed"], rows["record_type"], strict=True)]
-        yield pa.RecordBatch.from_arrays([batch.column(i) for i in range(4)] + [pa.array(value)], ["archive", *ORDER, "value"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _, unpack = packers(dictionary)
+        for batch in T.chunks(batches, 1 << 20, "packed"):
+            rows = batch.to_pydict()
+            value = [h if kind == "revisit" else h + unpack(x).decode() for h, x, kind in zip(rows["head"], rows["packed"], rows["record_type"], strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(i) for i in range(4)] + [pa.array(value)], ["archive", *ORDER, "value"])
+
+    return run
 
 
-def records(pages: DataFrame, archives: int, least: int = LEAST_REVISIT, packed: bool = False) -> DataFrame:
-    """The archive and head of each record; ``packed``: its html too, compressed. Rows of an archive share a partition."""
+def records(pages: DataFrame, archives: int, least: int = LEAST_REVISIT, packed: Callable | None = None) -> DataFrame:
+    """The archive and head of each record; ``packed``: with its html, compressed by that. Rows of an archive share a partition."""
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"), F.coalesce("url", F.lit("")).alias("url"), F.coalesce("html", F.lit("")).alias("html")
     ).select("*", F.octet_length("html").cast("long").alias("payload_bytes"), F.sha1(F.encode("html", "utf-8")).alias("payload_digest"))
@@ -52,7 +59,7 @@ def records(pages: DataFrame, archives: int, least: int = LEAST_REVISIT, packed:
     revisits = large.join(kept, ["payload_digest", "payload_bytes"]).filter("NOT page_id <=> refers_to").select("page_id", "payload_digest", "refers_to").distinct()
     none = lambda kind: F.lit(None).cast(kind)
     if packed:
-        rows = rows.mapInArrow(_packed, "page_id long, url string, packed binary, payload_bytes long, payload_digest string")
+        rows = rows.mapInArrow(packed, "page_id long, url string, packed binary, payload_bytes long, payload_digest string")
     else:
         rows = rows.drop("html")
     marked = rows.withColumn("refers_to", none("long")).unionByName(revisits, allowMissingColumns=True)
@@ -83,17 +90,18 @@ def write_archives(pages: DataFrame, folder: str | None = None, least: int = LEA
     A null html is an empty payload, a null url an empty one. Rows of one page_id with equal payloads are alike: all responses, or all
     revisits. Rows with a null page_id revisit a page that has an id and never stand for others. Empty input: an empty index, no archives.
     Archives are text files of Spark's own writer, whose line separator ends a record, so a lost executor's file is written anew and whole.
-    Html is shuffled once, compressed, by archive; which payloads are equal is found on digests alone.
+    Html is shuffled once, compressed with a dictionary of at most 1,000 page starts, by archive; which payloads are equal is found on digests alone.
     """
     spark = pages.sparkSession
     folder = folder or f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
     total = pages.agg(F.sum(F.octet_length("html"))).first()[0] or 0
     archives = max(1, math.ceil(total / archive_bytes))
-    whole, rows = records(pages, archives, least, packed=True), records(pages, archives, least)
+    dictionary = codec_dictionary(pages, "html")
+    whole, rows = records(pages, archives, least, _packed(dictionary)), records(pages, archives, least)
     # The order within a file is that of the offsets below: rows that tie in all of ORDER are equal records.
     (
         whole.select("archive", *ORDER, "head", "packed", "record_type")
-        .mapInArrow(_bodies, "archive long, page_id long, payload_digest string, url string, value string")
+        .mapInArrow(_bodies(dictionary), "archive long, page_id long, payload_digest string, url string, value string")
         .sortWithinPartitions("archive", *ORDER)
         .select("archive", "value")
         .write.partitionBy("archive").option("lineSep", END).text(folder)
