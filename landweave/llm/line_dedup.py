@@ -7,7 +7,6 @@ edit leaves either the first or the last half of a line alone, so all others hav
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -18,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import text as T
-from .storage import text_key, written
+from .storage import fresh, text_key, written
 
 LEAST_CHARS, PIECES = 20, 16
 U64 = np.uint64
@@ -49,11 +48,13 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("k"), text_key().alias("h"), "text")
 
 
-def line_rows(docs: DataFrame, least: int, exact: int) -> DataFrame:
+def line_rows(docs: DataFrame, least: int, exact: int, keyed: bool = True) -> DataFrame:
     """Lines of ``least`` characters or more, and those of ``exact`` or more that are not blank: place (k, h, line) and 128 bits of the line.
 
-    Those of ``least`` or more have keys of their halves, as those of their bucket of lengths have them; the others have nulls.
+    Those of ``least`` or more have keys of their halves, as those of their bucket of lengths have them; the others have nulls. Without
+    ``keyed`` there are none.
     """
+    halved = ["a1", "a2", "b1", "b2"] if keyed else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         low = buckets()
@@ -71,7 +72,7 @@ def line_rows(docs: DataFrame, least: int, exact: int) -> DataFrame:
             line = breaks[starts] - breaks[offsets[doc]]
             at = np.maximum(np.searchsorted(low, n, "right") - 1, 0)
             halves = []
-            for bucket, valid in ((at, n >= least), (at + 1, (n >= least) & (n + 1 == low[at + 1]))):
+            for bucket, valid in ((at, n >= least), (at + 1, (n >= least) & (n + 1 == low[at + 1]))) if keyed else ():
                 p = np.where(valid, (low[bucket] - 1) // 2, 0)
                 salt = bucket.astype(U64) * T.ODD
                 size = np.where(valid & (p > 0), p, 1)  # halves of the shortest lines are empty and equal
@@ -82,9 +83,9 @@ def line_rows(docs: DataFrame, least: int, exact: int) -> DataFrame:
             h1 = T.hash_ranges(data, starts, ends)
             h2 = T.hash_ranges(OTHER[data], starts, ends)
             keys = batch.select([0, 1]).take(pa.array(doc))
-            yield pa.RecordBatch.from_arrays([keys.column(0), keys.column(1), pa.array(line.astype(np.int64)), _long(h1), _long(h2), *halves], ["k", "h", "line", "h1", "h2", "a1", "a2", "b1", "b2"])
+            yield pa.RecordBatch.from_arrays([keys.column(0), keys.column(1), pa.array(line.astype(np.int64)), _long(h1), _long(h2), *halves], ["k", "h", "line", "h1", "h2", *halved])
 
-    return _keyed(docs).mapInArrow(run, "k long, h long, line long, h1 long, h2 long, a1 long, a2 long, b1 long, b2 long")
+    return _keyed(docs).mapInArrow(run, "k long, h long, line long, h1 long, h2 long" + "".join(f", {x} long" for x in halved))
 
 
 def packed(docs: DataFrame) -> DataFrame:
@@ -171,11 +172,12 @@ def within_one(a: str, b: str) -> bool:
 
 def repeated_lines(docs: DataFrame, least: int = LEAST_CHARS, exact: int | None = None) -> DataFrame:
     """(k, h, lines): the lines of each document that go."""
-    rows = line_rows(docs, least, least if exact is None else exact)
+    exact = least if exact is None else exact
+    rows, places = line_rows(docs, least, exact), line_rows(docs, least, exact, keyed=False)
     place = F.struct("k", "h", "line")
     firsts = rows.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("c"), *(F.first(x).alias(x) for x in ("a1", "a2", "b1", "b2")))
     firsts = written(firsts, "lines")
-    equal = rows.select("k", "h", "line", "h1", "h2").join(firsts.filter("c > 1").select("h1", "h2", "first"), ["h1", "h2"]).filter(place > F.col("first")).select("k", "h", "line")
+    equal = places.join(firsts.filter("c > 1").select("h1", "h2", "first"), ["h1", "h2"]).filter(place > F.col("first")).select("k", "h", "line")
     halves = firsts.select("first", F.explode(F.array("a1", "a2", "b1", "b2")).alias("half")).filter("half IS NOT NULL")
     common = halves.groupBy("half").agg(F.count("*").alias("c")).filter("c > 1").select("half")
     wanted = halves.join(common, "half").select("first.*").distinct().groupBy("k", "h").agg(F.collect_list("line").alias("lines"))
@@ -215,15 +217,17 @@ def line_dedup(docs: DataFrame, least: int = LEAST_CHARS, exact: int | None = No
 
     A line of ``least`` characters or more goes if an earlier line, by doc_id and place, is equal or one edit (a character inserted, left
     out or replaced) away, whether that one stays or not. Of shorter lines, where one edit is no evidence, those of ``exact`` characters or
-    more that are not blank go if an earlier one is equal; without ``exact`` they all stay. Lines end at a new line. A null doc_id is the last. Documents of one doc_id with different texts are ordered by the hash of the text; equal rows are one document and keep the
+    more that are not blank go if an earlier one is equal; without ``exact`` they all stay. Lines end at a new line. A null doc_id is the last.
+    Documents of one doc_id with different texts are ordered by the hash of the text; equal rows are one document and keep the
     same lines. A null text stays null, with no lines; an empty one has one line. Columns may have any names but the two that are added.
     """
     taken = repeated_lines(docs, least, exact)
     columns = docs.columns
     at = columns.index("text")
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
-    side = packed(docs.select("*", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("_k"), text_key().alias("_h")))
-    joined = side.join(taken.toDF("_k", "_h", "_lines"), ["_k", "_h"], "left").select(*(F.col(f"`{c}`") for c in columns), "_lines")
+    k, h, lines = (fresh(docs, x) for x in ("k", "h", "lines"))
+    side = packed(docs.select("*", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias(k), text_key().alias(h)))
+    joined = side.join(taken.toDF(k, h, lines), [k, h], "left").select(*(F.col(f"`{c}`") for c in columns), lines)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor().decompress
