@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .storage import text_key, written
+from .storage import fresh, text_key, written
 
 WINDOW, RUN = 8, 6
 BROADCAST_ROWS = 1 << 20
@@ -54,10 +54,12 @@ def hashed(text: Column) -> Column:
 
 
 def windows(words: Column, size: int, step: int = 1) -> Column:
-    """(t, p) of the windows at every ``step``-th place: a hash of the template words and one of the plain words."""
+    """(t, p) of the windows at every ``step``-th place: a hash of the template words and one of the plain words. Fewer words are one window."""
     places = F.when(F.size(words) >= size, F.sequence(F.lit(0), F.size(words) - size, F.lit(step))).otherwise(F.array().cast("array<int>"))
     # Words are taken one by one: a slice would copy the whole array for each window.
-    return F.transform(places, lambda i: F.struct(*(F.xxhash64(*(F.get(words, i + k)[x] for k in range(size))).alias(x) for x in "tp")))
+    full = F.transform(places, lambda i: F.struct(*(F.xxhash64(*(F.get(words, i + k)[x] for k in range(size))).alias(x) for x in "tp")))
+    short = F.array(F.struct(*(F.xxhash64(F.transform(words, lambda y: y[x])).alias(x) for x in "tp")))  # noqa: B023
+    return F.when((F.size(words) > 0) & (F.size(words) < size), short).otherwise(full)
 
 
 def kinds(window: Column) -> Column:
@@ -72,18 +74,20 @@ def consistent(pairs: Column) -> Column:
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, run: int = RUN) -> DataFrame:
-    """(doc_id, h, items): documents (h: hash of the text) that hold a run of ``run`` windows of an item (all its windows, if it has fewer)."""
+    """(doc_id, h, items): documents (h: hash of the text) that hold a run of ``run`` windows of an item (all its windows, if it has fewer; of short items the whole text)."""
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("h"), "text").filter("text IS NOT NULL")
     bench = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").alias("item")).filter("item IS NOT NULL").distinct()
     bench = bench.withColumn("b", F.xxhash64("item")).withColumn("tokens", tokens(F.col("item")))
     pieces = bench.select("item_id", "b", hashed(F.col("item")).alias("words")).select("item_id", "b", F.size("words").alias("n"), F.posexplode(windows(F.col("words"), size)).alias("at", "x"))
     pieces = pieces.select("item_id", "b", (F.col("n") - size + 1).alias("n"), "at", F.inline(kinds(F.col("x"))))
+    # An item of fewer words is found as a whole text in plain words: a few placeholders are no evidence.
+    pieces = pieces.filter("n > 0 OR plain").withColumn("n", F.greatest("n", F.lit(1)))
     pieces = written(pieces, "benchmark-windows")
     hashes = pieces.select("w").distinct()
     # Broadcast only behind a check of the size (8 bytes a row); larger benchmarks are shuffled.
     hashes = F.broadcast(hashes) if hashes.count() <= BROADCAST_ROWS else hashes
     # Runs of so many windows have one at a multiple of it, so texts without a hit there hold none.
-    step = min(run, pieces.agg(F.min("n")).first()[0] or run)
+    step = min(run, pieces.join(bench.filter(F.size("tokens") >= size), ["item_id", "b"], "left_semi").agg(F.min("n")).first()[0] or run)
     # Hashes of the words are a column of their own, or each window would work them out again.
     worded = keyed.select("doc_id", "h", hashed(F.col("text")).alias("words"))
     probes = worded.select("doc_id", "h", F.explode(windows(F.col("words"), size, step)).alias("x")).select("doc_id", "h", F.explode(F.array_distinct(F.array("x.t", "x.p"))).alias("w"))
@@ -97,30 +101,39 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, run:
     ranked = met.select(*line, "at").withColumn("run", F.col("at") - F.row_number().over(Window.partitionBy("doc_id", "h", "item_id", "b", "plain", "shift").orderBy("at")))
     runs = ranked.groupBy("doc_id", "h", "item_id", "b", "n", "plain", "shift", "run").agg(F.min("at").alias("at"), F.count("*").cast("int").alias("long"))
     runs = written(runs.filter(F.col("long") >= F.least(F.lit(run), F.col("n"))), "runs")
-    own = bench.select("item_id", "b", "tokens")
-    span = F.col("long") + size - 1
-    runs = runs.join(own, ["item_id", "b"]).select("doc_id", "h", "item_id", "plain", (F.col("at") + F.col("shift")).alias("place"), F.slice("tokens", F.col("at") + 1, span).alias("fill"))
-    runs = written(runs.withColumn("marks", ~F.col("plain") & F.exists("fill", holds_place)), "filled-runs")
-    plain = runs.filter("NOT marks").select("doc_id", "h", "item_id")
-    if not runs.filter("marks").isEmpty():
-        asked = runs.filter("marks").groupBy(F.col("doc_id").alias("d"), F.col("h").alias("g")).agg(F.collect_set(F.struct("item_id", "place", "fill")).alias("runs"))
-        texts = keyed.join(asked, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("h") == F.col("g")))
-        texts = texts.select("doc_id", "h", tokens(F.col("text")).alias("all"), F.col("runs")).select("doc_id", "h", "all", F.explode("runs").alias("r")).select("doc_id", "h", "all", "r.*")
-        texts = texts.withColumn("mine", F.slice("all", F.col("place") + 1, F.size("fill")))
-        pairs = F.filter(F.zip_with("fill", "mine", lambda b, d: F.struct(b.alias("b"), d.alias("d"))), lambda p: holds_place(p["b"]))
-        plain = plain.unionByName(texts.withColumn("pairs", pairs).filter(consistent(F.col("pairs"))).select("doc_id", "h", "item_id"))
+    # Runs of an item and a text stay together as places; words are sliced for one run at a time.
+    spots = F.collect_list(F.struct("at", (F.col("at") + F.col("shift")).alias("place"), (F.col("long") + size - 1).alias("span"))).alias("spots")
+    runs = runs.groupBy("doc_id", "h", "item_id", "b", "plain").agg(spots).join(bench.select("item_id", "b", "tokens"), ["item_id", "b"])
+    marked = F.exists("spots", lambda s: F.exists(F.slice("tokens", s["at"] + 1, s["span"]), holds_place))
+    unmarked = F.exists("spots", lambda s: ~F.exists(F.slice("tokens", s["at"] + 1, s["span"]), holds_place))
+    runs = written(runs.withColumn("clear", F.col("plain") | unmarked).withColumn("marked", ~F.col("plain") & marked), "filled-runs")
+    plain = runs.filter("clear").select("doc_id", "h", "item_id")
+    asked = runs.filter("marked AND NOT clear")
+    if not asked.isEmpty():
+        asked = asked.select(F.col("doc_id").alias("d"), F.col("h").alias("g"), "item_id", "tokens", "spots")
+        same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("h") == F.col("g"))
+        texts = keyed.join(asked.select("d", "g").distinct(), same, "left_semi").dropDuplicates(["doc_id", "h"]).select("doc_id", "h", tokens(F.col("text")).alias("mine"))
+        texts = texts.join(asked, same)
+
+        def fits(spot: Column) -> Column:
+            both = F.zip_with(F.slice("tokens", spot["at"] + 1, spot["span"]), F.slice("mine", spot["place"] + 1, spot["span"]), lambda b, d: F.struct(b.alias("b"), d.alias("d")))
+            return consistent(F.filter(both, lambda p: holds_place(p["b"])))
+
+        plain = plain.unionByName(texts.filter(F.exists("spots", fits)).select("doc_id", "h", "item_id"))
     return plain.groupBy("doc_id", "h").agg(F.sort_array(F.collect_set("item_id")).alias("items"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, run: int = RUN) -> DataFrame:
     """The rows and columns of ``docs`` that hold no benchmark item.
 
-    Null and empty texts are clean, as are all where the benchmark is empty. Items of fewer than ``size`` template words are too short to be
-    evidence. Repeated rows stay or go together. Null doc_ids are matched as such. Columns may have any names but those with a leading _.
+    Null and empty texts are clean, as are all where the benchmark is empty. An item of fewer than ``size`` words is held by texts that are
+    that item as a whole, whatever their capitals and layout. Repeated rows stay or go together. Null doc_ids are matched as such. Columns
+    may have any names.
     """
-    bad = contaminated(docs, benchmark, size, run).select(F.col("doc_id").alias("_d"), F.col("h").alias("_h"))
-    keyed = docs.withColumn("_k", F.col("doc_id").cast("long")).withColumn("_t", text_key())
-    return keyed.join(bad, F.col("_k").eqNullSafe(F.col("_d")) & (F.col("_t") == F.col("_h")), "left_anti").drop("_k", "_t")
+    d, g, k, h = (fresh(docs, x) for x in ("bad_id", "bad_hash", "own_id", "own_hash"))
+    bad = contaminated(docs, benchmark, size, run).select(F.col("doc_id").alias(d), F.col("h").alias(g))
+    keyed = docs.withColumn(k, F.col("doc_id").cast("long")).withColumn(h, text_key())
+    return keyed.join(bad, F.col(k).eqNullSafe(F.col(d)) & (F.col(h) == F.col(g)), "left_anti").drop(k, h)
 
 
 def report(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, run: int = RUN) -> DataFrame:

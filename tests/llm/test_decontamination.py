@@ -1,3 +1,5 @@
+import random
+
 from landweave.llm import decontamination as dc
 
 ITEM = "Yesterday in town Alice bought 12 apples for 30 dollars and gave 12 apples to Bob before lunch so how many were left"
@@ -16,9 +18,9 @@ def test_passages_and_other_parameters(spark, documents):
     mixed = ITEM.replace("Alice", "Carla").replace("Bob", "Dan").replace("12 apples for", "7 apples for").replace("30", "45")
     rows = [
         (10, "intro words here, " + PLAIN + " and more"), (11, "(" + PLAIN.upper() + ")!"), (12, "some text. " + other + "?"), (13, "some text. " + mixed),
-        (14, PLAIN[: len(PLAIN) // 3]), (15, None), (16, ""), (17, "too short"), (None, PLAIN), (18, PLAIN + "\n" + other), (19, " ".join(reversed(PLAIN.split()))),
+        (14, PLAIN[: len(PLAIN) // 3]), (15, None), (16, ""), (17, "Too\n short"), (20, "it is too short"), (None, PLAIN), (18, PLAIN + "\n" + other), (19, " ".join(reversed(PLAIN.split()))),
     ]
-    assert run(spark, documents, rows) == {10: [2], 11: [2], 12: [1], 13: [], 14: [], 15: [], 16: [], 17: [], None: [2], 18: [1, 2], 19: []}
+    assert run(spark, documents, rows) == {10: [2], 11: [2], 12: [1], 13: [], 14: [], 15: [], 16: [], 17: [3], 20: [], None: [2], 18: [1, 2], 19: []}
 
 
 def test_against_brute_force_windows(spark, documents, corpus):
@@ -54,6 +56,37 @@ def test_shuffled_benchmark(spark, documents, monkeypatch):
     assert run(spark, documents, [(1, PLAIN), (2, "x " * 40)]) == {1: [2], 2: []}
 
 
+def test_long_lists_of_numbers(spark, documents):
+    rng = random.Random(1)
+    say = lambda n: " ".join(str(rng.randrange(1000)) for _ in range(n))
+    items = [(i, say(20)) for i in range(8)]
+    renamed = dict(zip(items[4][1].split(), map(str, range(5000, 5020))))
+    rows = [(1, say(2000)), (2, "so " + say(700) + " " + items[3][1] + " " + say(300)), (3, " ".join(renamed[x] for x in items[4][1].split())), (4, "0 " * 1500)]
+    want = {i: sorted(item for item, b in items if brute(t, b)) for i, t in rows}
+    assert run(spark, documents, rows, bench=items) == want and 3 in want[2] and 4 in want[3] and not want[4]
+
+
+def brute(text, item, run=13):
+    """Whether ``run`` words of an item of plain numbers stand in the text with one value for each, somewhere."""
+    w, x = text.split(), item.split()
+    w = [v if v.isdigit() else None for v in w]
+    for i in range(len(w) - run + 1):
+        for j in range(len(x) - run + 1):
+            pairs = set(zip(x[j : j + run], w[i : i + run], strict=True))
+            if None not in {b for _, b in pairs} and len({a for a, _ in pairs}) == len({b for _, b in pairs}) == len(pairs):
+                # A run is as long as placeholders fit: the whole stretch is one, and has to be consistent.
+                a, b = j, i
+                while a and b and w[b - 1]:
+                    a, b = a - 1, b - 1
+                end = 0
+                while a + end < len(x) and b + end < len(w) and w[b + end]:
+                    end += 1
+                pairs = set(zip(x[a : a + end], w[b : b + end], strict=True))
+                if len({p for p, _ in pairs}) == len({q for _, q in pairs}) == len(pairs):
+                    return True
+    return False
+
+
 def test_fillers_do_not_shift(spark, documents):
     # Each of these words once gave a placeholder without a filler, or a filler without a placeholder.
     starts = ["It costs 5 USD and 10 EUR. ", "It weighs 3 KG. ", "We had Covid19 here. ", "Take B12 days on end. ", "She read <num> and <name> there. "]
