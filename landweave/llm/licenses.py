@@ -53,6 +53,10 @@ def restriction(label: str) -> float:
     return RESTRICTS[max(known, key=len)] if known else UNKNOWN
 
 
+#: Punctuation that may stand around an identifier.
+MARKS = ".,;:!?'\"`*<>[]{}|#/\\-"
+
+
 def evaluate(expression: str) -> tuple[frozenset[str], float] | None:
     """Labels and restriction of a licence expression; None if it isn't well formed.
 
@@ -97,7 +101,9 @@ def evaluate(expression: str) -> tuple[frozenset[str], float] | None:
         else:
             if not wants_value:
                 return None
-            label = re.sub(r"-(only|or-later)$|\+$", "", token)
+            label = re.sub(r"-(only|or-later)$|\+$", "", token.strip(MARKS))
+            if not label or "," in label:
+                return None
             values.append((frozenset([label]), restriction(label)))
             wants_value = False
     while stack:
