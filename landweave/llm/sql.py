@@ -18,30 +18,26 @@ def _parsed(source: str, url: str) -> str:
     return f"SELECT *, translate(_h, '{url_filters.UPPER}', '{url_filters.LOWER}') AS host, regexp_extract(substr(_rest, length(_h) + 1), '^[^?#]*') AS path FROM (SELECT *, regexp_extract(_rest, '^[^/?#]*') AS _h FROM (SELECT *, {rest} AS _rest FROM {source}))"
 
 
-def url_filter_sql() -> str:
+def url_filter_sql(a: float = url_filters.FOLLOW) -> str:
     link = url_filters.LINK.replace("'", "''")
-    a, digits, least = url_filters.FOLLOW, url_filters.DIGITS, url_filters.LEAST
+    digits, least = url_filters.DIGITS, url_filters.LEAST
     parts = [
         f"parsed AS ({_parsed('pages', 'url')})",
         f"judged AS (SELECT page_id, html, host, path, {_case(url_filters.RULES, False)} AS rule, {_case(url_filters.RULES, True)} AS verdict FROM parsed)",
         f"links AS (SELECT src, CASE WHEN prefix(link, '//') THEN 'http:' || link ELSE link END AS link FROM (SELECT host AS src, unnest(regexp_extract_all(html, '{link}', 1)) AS link FROM judged WHERE host <> ''))",
         f"targets AS (SELECT src, CASE WHEN host <> '' THEN host WHEN strpos(link, ':') > 0 THEN NULL ELSE src END AS dst FROM ({_parsed('links', 'link')}))",
-        "edges AS (SELECT src, dst, count(*) AS n FROM targets WHERE dst IS NOT NULL GROUP BY 1, 2)",
+        "edges AS (SELECT src, dst, count(*) AS n FROM targets WHERE dst IS NOT NULL AND dst <> src GROUP BY 1, 2)",
         "seeds AS (SELECT host, count(*) FILTER (verdict = 'allow') / count(*) AS s, count(*) FILTER (verdict = 'block') / count(*) AS b FROM judged WHERE host <> '' GROUP BY 1)",
         "hosts AS (SELECT host, coalesce(s, 0.0) AS s, coalesce(b, 0.0) AS b FROM (SELECT DISTINCT dst AS host FROM edges) FULL JOIN seeds USING (host))",
         "weighed AS (SELECT src, dst, n / sum(n) OVER (PARTITION BY src) AS wt, n / sum(n) OVER (PARTITION BY dst) AS wd FROM edges)",
-        "state0 AS (SELECT host, s, b, s AS t, b AS d FROM hosts)",
+        "moves AS (SELECT dst AS host, src AS other, wt, CAST(0 AS DOUBLE) AS wd FROM weighed UNION ALL SELECT src, dst, CAST(0 AS DOUBLE), wd FROM weighed)",
+        "state AS (SELECT 0 AS k, host, CAST(s AS DOUBLE) AS s, CAST(b AS DOUBLE) AS b, CAST(s AS DOUBLE) AS t, CAST(b AS DOUBLE) AS d FROM hosts UNION ALL "
+        f"SELECT k + 1, host, s, b, s + {a} * dt, b + {a} * dd FROM (SELECT q.host, any_value(q.k) AS k, any_value(q.s) AS s, any_value(q.b) AS b, coalesce(sum(y.t * m.wt), 0.0) AS dt, coalesce(sum(y.d * m.wd), 0.0) AS dd "
+        f"FROM state q LEFT JOIN moves m ON m.host = q.host LEFT JOIN state y ON y.host = m.other GROUP BY q.host) WHERE k < {url_filters.rounds(a)})",
     ]
-    for k in range(url_filters.ROUNDS):
-        parts.append(
-            f"state{k + 1} AS (SELECT h.host, h.s, h.b, {1 - a} * h.s + {a} * coalesce(x.dt, 0.0) AS t, {1 - a} * h.b + {a} * coalesce(x.dd, 0.0) AS d FROM hosts h LEFT JOIN "
-            f"(SELECT host, sum(dt) AS dt, sum(dd) AS dd FROM (SELECT w.dst AS host, q.t * w.wt AS dt, 0.0 AS dd FROM weighed w JOIN state{k} q ON q.host = w.src "
-            f"UNION ALL SELECT w.src, 0.0, q.d * w.wd FROM weighed w JOIN state{k} q ON q.host = w.dst) GROUP BY 1) x ON x.host = h.host)"
-        )
-    last = f"state{url_filters.ROUNDS}"
     return (
-        "WITH " + ", ".join(parts) + f" SELECT page_id, j.host, path, rule, coalesce(verdict, CASE WHEN distrust >= {least} AND distrust > trust THEN 'block' ELSE 'allow' END) AS verdict, trust, distrust "
-        f"FROM judged j LEFT JOIN (SELECT host, round(t, {digits}) AS trust, round(d, {digits}) AS distrust FROM {last}) r ON r.host = j.host"
+        "WITH RECURSIVE " + ", ".join(parts) + f" SELECT page_id, j.host, path, rule, coalesce(verdict, CASE WHEN distrust >= {least} AND distrust > trust THEN 'block' ELSE 'allow' END) AS verdict, trust, distrust "
+        f"FROM judged j LEFT JOIN (SELECT host, round(t, {digits}) AS trust, round(d, {digits}) AS distrust FROM state WHERE k = {url_filters.rounds(a)}) r ON r.host = j.host"
     )
 
 

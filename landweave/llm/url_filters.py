@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,7 +15,13 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
 
 LINK = r"(?i)<a\s[^>]*?href\s*=\s*[\"']?([^\"'\s>]+)"
-FOLLOW, ROUNDS, LEAST, DIGITS = 0.85, 5, 0.5, 9
+FOLLOW, SETTLED, LEAST, DIGITS = 0.85, 1e-7, 0.5, 4
+
+
+def rounds(follow: float = FOLLOW) -> int:
+    """After so many rounds what still moves is below ``SETTLED``, whatever the graph."""
+    return math.ceil(math.log(SETTLED) / math.log(follow))
+
 
 
 def parsed(df: DataFrame, url: str) -> DataFrame:
@@ -38,14 +46,17 @@ def matched(rules: list[tuple[str, str]], verdict: bool) -> Column:
     return out
 
 
-def judge_urls(pages: DataFrame, rules: list[tuple[str, str]] = RULES, follow: float = FOLLOW, rounds: int = ROUNDS, least: float = LEAST) -> DataFrame:
+def judge_urls(pages: DataFrame, rules: list[tuple[str, str]] = RULES, follow: float = FOLLOW, least: float = LEAST) -> DataFrame:
     """Per page: ``host``, ``path``, ``rule``, ``verdict``, and ``trust`` and ``distrust`` of its host.
 
-    Seeds of a host are the shares of its pages that rules allow and block. Trust is personalised PageRank along links, distrust the same
-    against them; a page without a rule is blocked if its host's distrust is ``least`` or more and above its trust.
+    Seeds of a host are the shares of its pages that rules allow and block. Trust is personalised PageRank along links between hosts,
+    distrust the same against them, both as multiples of what a seed of 1 has by itself; links of a host to itself say nothing and are left
+    out. Rounds go on until no host's trust or distrust moves by more than ``SETTLED``. A page without a rule is blocked if its host's
+    distrust is ``least`` or more and above its trust.
     Links come from ``href`` of ``html``; relative ones lead to the page's own host. Null urls have an empty host and path, no links and no
     seed: allowed. A null ``html`` has no links. Repeated rows are judged each. Other columns are ignored.
-    Only counts by host and pair of hosts are shuffled, after partial sums, so a host with most pages is one row a task.
+    Links and seeds are counted before shuffles, so a host with most pages is one row a task; html is never shuffled. Pages meet their
+    host's figures by a join of page_id, host and path that can be split for a large host.
     """
     judged = parsed(pages.select("page_id", "url", "html"), "url").withColumn("rule", matched(rules, False)).withColumn("verdict", matched(rules, True))
     links = (
@@ -56,7 +67,7 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str]] = RULES, follow: f
     edges = (
         parsed(links, "link")
         .select("src", F.when(F.col("host") != "", F.col("host")).when(F.instr("link", ":") > 0, F.lit(None)).otherwise(F.col("src")).alias("dst"))
-        .filter("dst IS NOT NULL")
+        .filter("dst IS NOT NULL AND dst <> src")
         .groupBy("src", "dst")
         .agg(F.count("*").alias("n"))
     )
@@ -71,16 +82,18 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str]] = RULES, follow: f
     out_n, in_n = edges.groupBy("src").agg(F.sum("n").alias("out_n")), edges.groupBy("dst").agg(F.sum("n").alias("in_n"))
     weighed = written(edges.join(out_n, "src").join(in_n, "dst").select("src", "dst", (F.col("n") / F.col("out_n")).alias("wt"), (F.col("n") / F.col("in_n")).alias("wd")), "host-weights")
     state = hosts.select("host", "s", "b", F.col("s").alias("t"), F.col("b").alias("d"))
-    for k in range(rounds):
+    for k in range(rounds(follow)):
         along = weighed.join(state.select(F.col("host").alias("src"), "t"), "src").select(F.col("dst").alias("host"), (F.col("t") * F.col("wt")).alias("dt"), F.lit(0.0).alias("dd"))
         against = weighed.join(state.select(F.col("host").alias("dst"), "d"), "dst").select(F.col("src").alias("host"), F.lit(0.0).alias("dt"), (F.col("d") * F.col("wd")).alias("dd"))
         got = along.unionByName(against).groupBy("host").agg(F.sum("dt").alias("dt"), F.sum("dd").alias("dd"))
-        state = hosts.join(got, "host", "left").select(
-            "host", "s", "b",
-            ((1 - follow) * F.col("s") + follow * F.coalesce("dt", F.lit(0.0))).alias("t"),
-            ((1 - follow) * F.col("b") + follow * F.coalesce("dd", F.lit(0.0))).alias("d"),
-        )
+        before = state.select("host", F.col("t").alias("t0"), F.col("d").alias("d0"))
+        state = hosts.join(got, "host", "left").join(before, "host").select(
+            "host", "s", "b", (F.col("s") + follow * F.coalesce("dt", F.lit(0.0))).alias("t"), (F.col("b") + follow * F.coalesce("dd", F.lit(0.0))).alias("d"), "t0", "d0"
+        )
         state = written(state, f"host-trust-{k}")
+        moved = state.agg(F.max(F.greatest(F.abs(F.col("t") - F.col("t0")), F.abs(F.col("d") - F.col("d0"))))).first()[0]
+        if (moved or 0) < SETTLED:
+            break
     ranks = state.select("host", F.round("t", DIGITS).alias("trust"), F.round("d", DIGITS).alias("distrust"))
     by_method = F.when((F.col("distrust") >= least) & (F.col("distrust") > F.col("trust")), "block").otherwise("allow")
     return judged.drop("url", "html").join(ranks, "host", "left").select("page_id", "host", "path", "rule", F.coalesce("verdict", by_method).alias("verdict"), "trust", "distrust")
