@@ -112,6 +112,7 @@ def repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> Data
     known = keyed.filter("k IS NOT NULL")
     spans = anchor_spans(known, window, anchor)
     shared = spans.groupBy("anchor").agg(F.min("k").alias("a"), F.max("k").alias("b")).filter("a < b").select("anchor")
+    shared = written(shared, "shared-anchors")  # so that the spans of a common anchor may be split among tasks
     seeds = written(spans.join(shared, "anchor"), "seeds")
     firsts = written(seeds.groupBy("anchor", "s1", "s2").agg(F.min("k").alias("first")), "first-spans")
     several = firsts.groupBy("anchor").agg(F.count("*").alias("c")).filter("c > 1").select("anchor")
