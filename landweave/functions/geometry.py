@@ -59,6 +59,14 @@ def area(geom: Column) -> Column:
     return F.aggregate(geom["parts"], F.lit(0.0), lambda a, p: a + part(p)) / 2
 
 
+def is_box(geom: Column) -> Column:
+    """Whether a polygon is its own bounding box (``minx`` to ``maxy``): one ring of five vertices at the corners, with the box's area."""
+    ring = F.get(F.get(geom["parts"], F.lit(0)), F.lit(0))
+    corners = F.forall(ring, lambda v: ((v["x"] == F.col("minx")) | (v["x"] == F.col("maxx"))) & ((v["y"] == F.col("miny")) | (v["y"] == F.col("maxy"))))
+    whole = F.abs(ring_area(ring)) == 2 * (F.col("maxx") - F.col("minx")) * (F.col("maxy") - F.col("miny"))
+    return F.coalesce((F.size(vertices(geom)) == 5) & (F.size(geom["parts"]) == 1) & (F.size(ring) == 5) & corners & whole, F.lit(False))
+
+
 def vertices(geom: Column) -> Column:
     return F.flatten(F.flatten(geom["parts"]))
 

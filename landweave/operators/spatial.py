@@ -6,7 +6,9 @@ execution splits hot cells. A pair that meets in several cells is kept in one: t
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
@@ -36,11 +38,50 @@ def candidates(left: DataFrame, right: DataFrame, cell: float = CELL) -> DataFra
     return met.filter(home).drop("cx", "cy")
 
 
+def sided(polygons: DataFrame, *columns: str) -> DataFrame:
+    """Polygons as the right side of a point join: ``square`` tells axis-parallel boxes, which need no edges."""
+    square = G.is_box(F.col("geom"))
+    return polygons.select(*columns, *BOX, square.alias("square"), F.when(~square, G.edges(F.col("geom"))).alias("edges"))
+
+
+def quadrant(right: bool, up: bool) -> Column:
+    """Whether the polygon of a candidate pair covers what lies just beside its point, to the right or left and above or below."""
+    x, y = F.col("minx"), F.col("miny")
+    across = (F.col("r_minx") <= x) & (x < F.col("r_maxx")) if right else (F.col("r_minx") < x) & (x <= F.col("r_maxx"))
+    along = (F.col("r_miny") <= y) & (y < F.col("r_maxy")) if up else (F.col("r_miny") < y) & (y <= F.col("r_maxy"))
+    return F.when(F.col("r_square"), across & along).otherwise(G.covers(F.col("r_edges"), x, y, right, up) == 1)
+
+
+QUADRANTS = [(True, True), (False, True), (True, False), (False, False)]
+
+
+def held() -> Column:
+    """Whether the polygon of a candidate pair holds its point, the boundary included."""
+    e, x, y = F.col("r_edges"), F.col("minx"), F.col("miny")
+    return F.col("r_square") | (G.covers(e, x, y, True, True) == 1) | G.on_boundary(e, x, y)
+
+
 def touching(points: DataFrame, polygons: DataFrame, cell: float = CELL) -> DataFrame:
     """Pairs of points and polygons that hold them, the boundary included."""
-    e, x, y = F.col("r_edges"), F.col("minx"), F.col("miny")
-    pairs = candidates(points, polygons.withColumn("edges", G.edges(F.col("geom"))), cell)
-    return pairs.filter((G.covers(e, x, y, True, True) == 1) | G.on_boundary(e, x, y)).drop("r_edges")
+    others = [c for c in polygons.columns if c not in (*BOX, "geom")]
+    pairs = candidates(points, sided(polygons, *others), cell)
+    return pairs.filter(held()).drop("r_edges", "r_square")
+
+
+def located(points: DataFrame, masks: dict[str, DataFrame], areas: dict[str, DataFrame], specs: dict[str, tuple[DataFrame, list[str]]], key: str = "fid", order: str = "fid", cell: float = CELL) -> DataFrame:
+    """Where points lie among many layers, found by one join: key and a column for each name, for points that any polygon's box holds.
+
+    ``masks``: strictly inside the union; ``areas``: inside or on the edge; ``specs``: the columns of the first polygon (least ``order``) that
+    holds the point, as a struct (null: none). Layers are told apart by a tag, so however many there are, points are read and dealt once.
+    """
+    sides = [sided(df).withColumn("tag", F.lit(name)) for name, df in (masks | areas).items()]
+    sides += [sided(df.withColumns({"ord": F.col(order).cast("long"), name: F.struct(*columns)}), "ord", name).withColumn("tag", F.lit(name)) for name, (df, columns) in specs.items()]
+    pairs = candidates(points.select(key, *BOX), reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), sides), cell)
+    of = lambda name, what: F.when(F.col("r_tag") == name, what)
+    found = [reduce(lambda a, b: a & b, (F.coalesce(F.bool_or(of(n, quadrant(*q))), F.lit(False)) for q in QUADRANTS)).alias(n) for n in masks]
+    found += [F.coalesce(F.bool_or(of(n, held())), F.lit(False)).alias(n) for n in areas]
+    found += [F.min_by(f"r_{n}", F.when((F.col("r_tag") == n) & held(), F.col("r_ord"))).alias(n) for n in specs]
+    return pairs.groupBy(key).agg(*found)
 
 
 def within_union(points: DataFrame, mask: DataFrame, key: str = "fid", cell: float = CELL) -> DataFrame:
@@ -48,10 +89,7 @@ def within_union(points: DataFrame, mask: DataFrame, key: str = "fid", cell: flo
 
     A point is inside if the union covers all four quadrants beside it (exact where edges through it are parallel to the axes).
     """
-    e, x, y = F.col("r_edges"), F.col("minx"), F.col("miny")
-    pairs = candidates(points.select(key, *BOX), mask.select("geom", *BOX).withColumn("edges", G.edges(F.col("geom"))).drop("geom"), cell)
-    sides = {f"q{i}": F.max(G.covers(e, x, y, right, up)) for i, (right, up) in enumerate([(True, True), (False, True), (True, False), (False, False)])}
-    return pairs.groupBy(key).agg(*(c.alias(n) for n, c in sides.items())).filter("q0 * q1 * q2 * q3 = 1").select(key)
+    return located(points, {"mask": mask}, {}, {}, key, cell=cell).filter("mask").select(key)
 
 
 def keep_within(points: DataFrame, mask: DataFrame, key: str = "fid", cell: float = CELL) -> DataFrame:
@@ -67,14 +105,18 @@ def subtract(points: DataFrame, mask: DataFrame, key: str = "fid", cell: float =
 
 def clip_points(points: DataFrame, aoi: DataFrame, key: str = "fid", cell: float = CELL) -> DataFrame:
     """Points inside the area or on its edge."""
-    return points.join(touching(points.select(key, *BOX), aoi.select("geom", *BOX), cell).select(key).distinct(), key, "left_semi")
+    return points.join(located(points, {}, {"aoi": aoi}, {}, key, cell=cell).filter("aoi").select(key), key, "left_semi")
 
 
 def join_first(points: DataFrame, right: DataFrame, columns: list[str], key: str = "fid", order: str = "fid", cell: float = CELL) -> DataFrame:
     """Left outer join with the first polygon (least ``order``) that holds each point; rows never multiply, unmatched ones get nulls."""
-    pairs = touching(points.select(key, *BOX), right.select(F.col(order).alias("ord"), "geom", *BOX, *columns), cell)
-    first = pairs.groupBy(key).agg(F.min_by(F.struct(*(F.col(f"r_{c}").alias(c) for c in columns)), "r_ord").alias("_m"))
-    return points.join(first, key, "left").select(*points.columns, *(F.col(f"_m.{c}").alias(c) for c in columns))
+    return join_all(points, {"first": (right, columns)}, key, order, cell)
+
+
+def join_all(points: DataFrame, specs: dict[str, tuple[DataFrame, list[str]]], key: str = "fid", order: str = "fid", cell: float = CELL) -> DataFrame:
+    """``join_first`` for many layers in one pass; ``specs``: layers and their columns, under names that are no columns of ``points``."""
+    first = located(points, {}, {}, specs, key, order, cell)
+    return points.join(first, key, "left").select(*points.columns, *(F.col(f"{n}.{c}").alias(c) for n, (_, columns) in specs.items() for c in columns))
 
 
 def near_segments(points: DataFrame, lines: DataFrame, distance: str, key: str = "fid", cell: float = CELL) -> DataFrame:

@@ -11,7 +11,9 @@ from .. import fixtures
 from ..functions import geometry as G
 from ..operators import scoring as S
 from ..operators import spatial as X
+from ..operators.storage import written
 
+# Metres around a waterline, by its type.
 BUFFERS = {"District": 50, "Local": 30, "National": 150, "Regional": 100}
 
 
@@ -61,10 +63,11 @@ def constraints(spark: SparkSession, sf_dir: str, land_cover: bool = True) -> Da
 
 def leaky(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Candidate points in High or Medium flood extent, outside constraints, runoff attenuation and flood zone 3, inside the boundary."""
-    flood = boxes(spark, sf_dir, "fx_flood")
-    found = X.keep_within(points(spark, sf_dir), flood.filter("risk_band IN ('High', 'Medium')"))
-    mask = constraints(spark, sf_dir).select("geom", *X.BOX).unionByName(boxes(spark, sf_dir, "fx_raf").select("geom", *X.BOX)).unionByName(flood.filter("risk_band = 'Low'").select("geom", *X.BOX))
-    return X.clip_points(X.subtract(found, mask), boxes(spark, sf_dir, "fx_boundary"))
+    flood, candidates = boxes(spark, sf_dir, "fx_flood"), points(spark, sf_dir)
+    out = constraints(spark, sf_dir).select("geom", *X.BOX).unionByName(boxes(spark, sf_dir, "fx_raf").select("geom", *X.BOX)).unionByName(flood.filter("risk_band = 'Low'").select("geom", *X.BOX))
+    where = X.located(candidates, {"flooded": flood.filter("risk_band IN ('High', 'Medium')"), "ruled_out": out}, {"bounded": boxes(spark, sf_dir, "fx_boundary")}, {})
+    # Points are read again by each stage that follows, so they are written once.
+    return written(candidates.join(where.filter("flooded AND NOT ruled_out AND bounded").select("fid"), "fid", "left_semi"), "leaky-points")
 
 
 ENRICH = [
@@ -76,11 +79,8 @@ ENRICH = [
 
 def enrich(spark: SparkSession, sf_dir: str, layer: DataFrame, specs=ENRICH) -> DataFrame:
     """Attributes of the first polygon (least fid) of each layer that holds the point; nothing there: nulls."""
-    out = layer
-    for name, columns in specs:
-        side = boxes(spark, sf_dir, name).select("fid", "geom", *X.BOX, *(F.col(a).cast("string").alias(b) for a, b in columns.items()))
-        out = X.join_first(out, side, list(columns.values()))
-    return out
+    sides = {name: (boxes(spark, sf_dir, name).select("fid", "geom", *X.BOX, *(F.col(a).cast("string").alias(b) for a, b in columns.items())), list(columns.values())) for name, columns in specs}
+    return X.join_all(layer, sides)
 
 
 def leaky_prioritised(spark: SparkSession, sf_dir: str) -> DataFrame:
