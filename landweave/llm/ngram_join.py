@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.graph import connected_components
@@ -191,7 +191,7 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, share: int) -> Data
     return joined.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-FEW, FINE, BLOCK_BYTES, MATRIX = 32, 4, 1 << 15, 1 << 22
+FEW, FINE, BLOCK_BYTES, MATRIX = 64, 4, 1 << 15, 1 << 22
 
 
 def sketches(texts: DataFrame, words: int, share: int) -> DataFrame:
@@ -276,7 +276,7 @@ def near_in_blocks(mixed: DataFrame, texts: DataFrame, words: int, share: int) -
 
     spark = mixed.sparkSession
     own = written(sketches(texts.join(mixed.select("s").distinct(), "s"), words, share), "sketches")
-    dealt = mixed.join(own, "s")
+    dealt = written(mixed.join(own, "s"), "sketched")
     sizes = dealt.groupBy("key").agg(F.ceil(F.sum(F.length("own") + F.length("above")) / BLOCK_BYTES).alias("blocks"))
     blocks = dealt.join(written(sizes, "key-sizes"), "key").groupBy("key", "blocks", F.pmod(F.xxhash64("s"), "blocks").alias("block"))
     blocks = written(blocks.agg(F.collect_list(F.struct("s", "root", "n", "band", "own", "above")).alias("sets")), "blocks")
@@ -306,8 +306,8 @@ def link_classes(docs: DataFrame, words: int = WORDS, share: int = SHARE) -> tup
     shared = written(keys.groupBy("key").agg(F.min("s").alias("lo"), F.max("s").alias("hi"), F.count("*").alias("c")).filter("lo < hi"), "shared-keys")
     members = written(keys.join(shared.filter("c > 2").select("key"), "key").select("key", "s").distinct(), "key-members")
     # A key's sets are compared with the one among them that has most shared keys, likely the least edited of a group.
-    degrees = members.groupBy("s").agg(F.count("*").alias("degree"))
-    hub = members.join(degrees, "s").groupBy("key").agg(F.max(F.struct("degree", "s")).alias("hub")).select("key", F.col("hub.s").alias("hub"))
+    degree = F.count("*").over(Window.partitionBy("s"))  # a set has no more keys than shingles, give or take
+    hub = members.withColumn("degree", degree).groupBy("key").agg(F.max(F.struct("degree", "s")).alias("hub")).select("key", F.col("hub.s").alias("hub"))
     hub = written(hub, "hubs")
     pairs = members.join(hub, "key").filter("s <> hub").select(F.least("s", "hub").alias("a"), F.greatest("s", "hub").alias("b"))
     tried = written(shared.filter("c = 2").select(F.col("lo").alias("a"), F.col("hi").alias("b")).unionByName(pairs).distinct(), "hub-pairs")
