@@ -118,3 +118,18 @@ def covers(e: Column, x: Column, y: Column, right: bool, up: bool) -> Column:
 
 def on_boundary(e: Column, x: Column, y: Column) -> Column:
     return F.exists(e, lambda s: ((s["x2"] - s["x1"]) * (y - s["y1"]) == (s["y2"] - s["y1"]) * (x - s["x1"])) & x.between(F.least(s["x1"], s["x2"]), F.greatest(s["x1"], s["x2"])) & y.between(F.least(s["y1"], s["y2"]), F.greatest(s["y1"], s["y2"])))
+
+
+def canonical_ring(ring: Column) -> Column:
+    """The vertices of a closed ring once each, anticlockwise, from the least (x, y) on."""
+    once = F.slice(ring, 1, F.size(ring) - 1)
+    turned = F.when(ring_area(ring) < 0, F.reverse(once)).otherwise(once)
+    first = F.array_position(turned, F.array_min(turned)).cast("int")
+    return F.concat(F.slice(turned, first, F.size(turned) - first + 1), F.slice(turned, F.lit(1), first - 1))
+
+
+def geometry_hash(geom: Column) -> Column:
+    """SHA-256 of a polygon, the same wherever its rings start, whichever way they run, and however its holes and parts are ordered."""
+    ring = lambda r: F.array_join(F.transform(canonical_ring(r), lambda v: F.concat_ws(" ", v["x"].cast("string"), v["y"].cast("string"))), ",")
+    part = lambda p: F.concat_ws(";", ring(p[0]), F.array_join(F.array_sort(F.transform(F.slice(p, 2, F.size(p)), ring)), ";"))
+    return F.sha2(F.concat_ws("|", geom["kind"], F.array_join(F.array_sort(F.transform(geom["parts"], part)), "|")), 256)

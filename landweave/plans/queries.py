@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .. import fixtures
 from ..functions import geometry as G
+from ..functions import reproject as R
 from ..operators import graph, ledger, storage
 from ..operators import overlay as O
 from ..operators import scoring as S
@@ -714,12 +715,32 @@ def rep_point(spark, d):
     return O.representative_points(L.boxes(spark, d, "fx_spz"), "fid")
 
 
-@query("SELECT shape_kind, count(*) AS n FROM fx_shape GROUP BY 1", "fx_shape")
+#: Rings of each kind as they are hashed: anticlockwise, from the least vertex on.
+HASHED = [["0 0,1 0,0 1"], ["0 0,1 0,1 0.5,0.5 0.5,0.5 1,0 1"], ["0 0,1 0,1 1,0 1", "0.25 0.25,0.75 0.25,0.75 0.75,0.25 0.75"], ["0 0.5,0.5 0,1 0.5,0.5 1"]]
+
+
+def hashed_text(kind: list[str]) -> str:
+    at = lambda v: f"CAST(CAST(ox+s*{v.split()[0]} AS DOUBLE) AS VARCHAR) || ' ' || CAST(CAST(oy+s*{v.split()[1]} AS DOUBLE) AS VARCHAR)"
+    rings = [" || ',' || ".join(at(v) for v in ring.split(",")) for ring in kind]
+    return "'polygon|' || " + " || ';' || ".join([*rings, *["''"] * (len(rings) == 1)])
+
+
+@query("SELECT fid, sha256(CASE shape_kind " + " ".join(f"WHEN {k} THEN {hashed_text(x)}" for k, x in enumerate(HASHED)) + " END) AS hash, 2 AS n FROM fx_shape", "fx_shape")
 def geom_hash(spark, d):
-    df = fx(spark, d, "fx_shape").withColumn("geom", G.shape_polygon())
-    ring = F.col("geom.parts")[0][0]
-    hashed = df.withColumn("hash", F.sha2(F.to_json(F.array_sort(F.slice(ring, 1, F.size(ring) - 1))), 256))
-    return hashed.groupBy("shape_kind").agg(F.count("hash").alias("n"))
+    df = fx(spark, d, "fx_shape").select("fid", G.shape_polygon().alias("geom"))
+    # The same polygons with rings that run the other way and start at their second vertex.
+    turned = F.transform("geom.parts", lambda p: F.transform(p, lambda r: F.reverse(F.concat(F.slice(r, 2, F.size(r) - 1), F.slice(r, 2, 1)))))
+    both = df.unionByName(df.select("fid", G.make("polygon", turned).alias("geom")))
+    return both.groupBy("fid", G.geometry_hash(F.col("geom")).alias("hash")).agg(F.count("*").cast("int").alias("n"))
+
+
+DEGREES = "(SELECT c_custkey AS fid, CAST(50 + (c_custkey*53 % 900)/100.0 AS DOUBLE) AS lat, CAST(-6 + (c_custkey*37 % 780)/100.0 AS DOUBLE) AS lon FROM customer)"
+
+
+@query(f"SELECT fid, round(east, 2) AS east, round(north, 2) AS north FROM {R.grid_sql(DEGREES, 'lat', 'lon')}")
+def reproject(spark, d):
+    places = spark.read.parquet(f"{d}/customer.parquet").select(F.col("c_custkey").alias("fid"), F.expr("CAST(50 + (c_custkey*53 % 900)/100.0 AS DOUBLE)").alias("lat"), F.expr("CAST(-6 + (c_custkey*37 % 780)/100.0 AS DOUBLE)").alias("lon"))
+    return R.to_grid(places, "lat", "lon").select("fid", F.round("east", 2).alias("east"), F.round("north", 2).alias("north"))
 
 
 PARITY = "a AS (SELECT layer, count(*) AS n FROM fx_status WHERE event_id % 2 = 0 GROUP BY 1), b AS (SELECT layer, count(*) AS n FROM fx_status WHERE event_id % 3 = 0 AND layer <> 'bunds' GROUP BY 1)"
@@ -809,6 +830,19 @@ def scan_geojson_pages(spark, d):
     return landing.geojson_pages(spark, page_files(spark, d)).groupBy(F.col("properties")["dataset"].alias("dataset"), F.col("id").alias("objectid")).agg(F.count("*").alias("n"))
 
 
+@query("SELECT dataset, objectid, count(*) AS n, CAST(sum(objectid % 1000) AS DOUBLE) AS xs, CAST(2*count(*) AS BIGINT) AS vertices FROM fx_page WHERE dataset <> 'ds2' GROUP BY 1, 2", "fx_page")
+def scan_gml_pages(spark, d):
+    rows = fx(spark, d, "fx_page")
+    member = F.format_string('<wfs:member><ms:feature gml:id="f%d"><ms:objectid>%d</ms:objectid><ms:dataset>%s</ms:dataset><gml:posList>%d 0 0 5</gml:posList></ms:feature></wfs:member>', "objectid", "objectid", "dataset", F.col("objectid") % 1000)
+    by = rows.groupBy("dataset", "page").agg(F.array_join(F.collect_list(member), "").alias("members"))
+    head = '<wfs:FeatureCollection xmlns:wfs="http://www.opengis.net/wfs/2.0" xmlns:gml="http://www.opengis.net/gml/3.2" xmlns:ms="http://x/">'
+    body = F.when(F.col("dataset") == "ds2", F.lit("<ows:ExceptionReport>busy</ows:ExceptionReport>")).otherwise(F.concat(F.lit(head), "members", F.lit("</wfs:FeatureCollection>")))
+    path = landed(spark, "gml")
+    by.select("dataset", "page", body.alias("value")).repartition("dataset", "page").write.partitionBy("dataset", "page").text(path)  # a file a page
+    found = landing.gml_features(spark, path)
+    return found.groupBy("dataset", "objectid").agg(F.count("*").alias("n"), F.sum(F.get("vertices", F.lit(0))["x"]).alias("xs"), F.sum(F.size("vertices")).alias("vertices"))
+
+
 @query("SELECT count(*) AS more FROM (SELECT DISTINCT dataset, page FROM fx_page WHERE page % 10 = 0)", "fx_page")
 def scan_arcgis_pages(spark, d):
     return landing.cut_off(spark, page_files(spark, d)).agg(F.count("*").alias("more"))

@@ -27,6 +27,25 @@ def cut_off(spark: SparkSession, path: str) -> DataFrame:
     return _pages(spark, path).filter(F.coalesce("exceededTransferLimit", "properties.exceededTransferLimit", F.lit(False))).select("page")
 
 
+MEMBER = "`ms:feature` struct<`_gml:id`: string, `ms:objectid`: long, `ms:dataset`: string, `gml:posList`: string>"
+
+
+def gml_features(spark: SparkSession, path: str) -> DataFrame:
+    """Features of GML pages, a file each: (gml_id, objectid, dataset, vertices). Bodies without members (ExceptionReport, HTML) give none; see ``gml_rejected``.
+
+    ``gml:posList`` holds x and y in turn; a feature without it has no vertices.
+    """
+    rows = spark.read.format("xml").option("rowTag", "wfs:member").schema(MEMBER).load(path).select("`ms:feature`.*")
+    numbers = F.filter(F.split(F.coalesce("`gml:posList`", F.lit("")), r"\s+"), lambda x: x != "")
+    vertices = F.when(F.size(numbers) >= 2, F.transform(F.sequence(F.lit(0), F.size(numbers) - 2, F.lit(2)), lambda i: F.struct(F.get(numbers, i).cast("double").alias("x"), F.get(numbers, i + 1).cast("double").alias("y"))))
+    return rows.select(F.col("`_gml:id`").alias("gml_id"), F.col("`ms:objectid`").alias("objectid"), F.col("`ms:dataset`").alias("dataset"), F.coalesce(vertices, F.array().cast("array<struct<x:double,y:double>>")).alias("vertices"))
+
+
+def gml_rejected(spark: SparkSession, path: str) -> DataFrame:
+    """Pages (one a line) that are no feature collection."""
+    return spark.read.text(path).filter(~F.col("value").contains("<wfs:FeatureCollection")).select(F.substring("value", 1, 200).alias("body"))
+
+
 def write_stage(df: DataFrame, path: str, layer: str, stage: str, run_date: str) -> str:
     """Writes a stage under layer, stage and date; a second run of a day replaces that day's, and no rows still make a readable table."""
     out = f"{path}/layer={layer}/stage={stage}/run_date={run_date}"
