@@ -191,7 +191,7 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, share: int) -> Data
     return joined.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-FEW, FINE, BLOCK_BYTES, MATRIX = 24, 4, 1 << 15, 1 << 22
+FEW, FINE, BLOCK_BYTES, MATRIX = 4, 4, 1 << 15, 1 << 22
 
 
 def sketches(texts: DataFrame, words: int, share: int) -> DataFrame:
