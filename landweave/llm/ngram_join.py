@@ -307,9 +307,11 @@ def link_classes(docs: DataFrame, words: int = WORDS, share: int = SHARE) -> tup
     members = written(keys.join(shared.filter("c > 2").select("key"), "key").select("key", "s").distinct(), "key-members")
     # A key's sets are compared with the one among them that has most shared keys, likely the least edited of a group.
     degree = F.count("*").over(Window.partitionBy("s"))  # a set has no more keys than shingles, give or take
-    hub = members.withColumn("degree", degree).groupBy("key").agg(F.max(F.struct("degree", "s")).alias("hub")).select("key", F.col("hub.s").alias("hub"))
-    hub = written(hub, "hubs")
-    pairs = members.join(hub, "key").filter("s <> hub").select(F.least("s", "hub").alias("a"), F.greatest("s", "hub").alias("b"))
+    hub = members.withColumn("degree", degree).groupBy("key").agg(F.max(F.struct("degree", "s")).alias("hub"), F.count("*").alias("c"), *(F.bit_xor(F.xxhash64("s", F.lit(i))).alias(f"x{i}") for i in (0, 1)))
+    # Keys of the same sets give the same pairs, so one of them is enough.
+    hub = written(hub.groupBy("c", "x0", "x1").agg(F.min("key").alias("key"), F.first("hub.s").alias("hub")).select("key", "hub"), "hubs")
+    members = written(members.join(hub, "key"), "hub-members")
+    pairs = members.filter("s <> hub").select(F.least("s", "hub").alias("a"), F.greatest("s", "hub").alias("b"))
     tried = written(shared.filter("c = 2").select(F.col("lo").alias("a"), F.col("hi").alias("b")).unionByName(pairs).distinct(), "hub-pairs")
     wanted = tried.select(F.col("a").alias("s")).unionByName(tried.select(F.col("b").alias("s"))).distinct()
     # A null doc_id is taken only where a set has no other, and is joined as a value.
