@@ -2,7 +2,7 @@
 
 Sets fall into size bands. Sets of a band, and those of the band below that are near its lower end, split the universe of hashed shingles into
 segments, more than the largest symmetric difference d that linked sets of that size can have; so linked sets agree on a segment and share its
-key. Segments that both leave empty say nothing and have no key. Keys are allocated by their cost: where few segments make empty ones matter
+key. A key that only sets of the band below share is left out, as these meet in their own band. Segments that both leave empty say nothing and have no key. Keys are allocated by their cost: where few segments make empty ones matter
 (up to ``NEIGHBOURS``), a set that has some also emits one-deletion neighbourhoods, its segments with one element left out; with more segments
 there are some to spare instead. Candidates are verified on whole texts.
 
@@ -78,17 +78,17 @@ class Sets:
         out[self.sizes() == 0] = 0
         return out
 
-    def keys(self, share: int) -> tuple[np.ndarray, np.ndarray]:
-        """Segment keys and the set of each."""
+    def keys(self, share: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Segment keys, the set of each, and whether it is a key of the band above the set's own."""
         low, segments, spare = bands(share)
         n = self.sizes()
         own = np.flatnonzero(n)
         band = np.searchsorted(low, n, "right") - 1
         above = own[100 * n[own] >= share * low[band[own] + 1]]
-        sets, at = np.r_[own, above], np.r_[band[own], band[above] + 1]
+        sets, at, up = np.r_[own, above], np.r_[band[own], band[above] + 1], np.repeat([False, True], [len(own), len(above)])
         stay = segments[at] - spare[at] > 1  # others link with equal sets only
-        sets, at = sets[stay], at[stay]
-        keys, owners, level = [], [], 0
+        sets, at, up = sets[stay], at[stay], up[stay]
+        keys, owners, ups, level = [], [], [], 0
         while len(sets):
             m, size = segments[at], n[sets]
             owner = np.repeat(np.arange(len(sets)), size)
@@ -105,6 +105,7 @@ class Sets:
             which = place(segment[starts], whose)
             keys.append(T.mix(sums ^ which))
             owners.append(sets[whose])
+            ups.append(up[whose])
             empty = m - np.bincount(whose, minlength=len(sets))
             few = m - spare[at] <= NEIGHBOURS
             inside = np.diff(np.r_[starts, len(items)])
@@ -112,6 +113,7 @@ class Sets:
             part = np.repeat(np.arange(len(starts)), inside)[left]
             keys.append(T.mix((sums[part] - scrambled[left]) ^ which[part]))
             owners.append(sets[owner[left]])
+            ups.append(up[owner[left]])
             poor = np.where(few, (empty >= 2) & ((m <= 12) | (4 * empty >= m)), empty > spare[at])
             level += 1
             if level == TRIES and poor.any():
@@ -122,11 +124,12 @@ class Sets:
                 of = np.repeat(np.flatnonzero(poor), m[poor])[~there]
                 keys.append(T.mix(place(np.flatnonzero(~there).astype(U64) - slot[of].astype(U64), of)))
                 owners.append(sets[of])
+                ups.append(up[of])
                 break
-            sets, at = sets[poor], at[poor]
+            sets, at, up = sets[poor], at[poor], up[poor]
         if not keys:
-            return np.zeros(0, U64), np.zeros(0, np.intp)
-        return np.concatenate(keys), np.concatenate(owners)
+            return np.zeros(0, U64), np.zeros(0, np.intp), np.zeros(0, bool)
+        return np.concatenate(keys), np.concatenate(owners), np.concatenate(ups)
 
 
 def _long(x: np.ndarray) -> pa.Array:
@@ -152,10 +155,10 @@ def segment_keys(docs: DataFrame, words: int, share: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in T.chunks(batches, 1 << 20):
             sets = Sets(batch.column(0), words)
-            keys, owner = sets.keys(share)
-            yield pa.RecordBatch.from_arrays([_long(keys), _long(sets.ids()[owner])], ["key", "s"])
+            keys, owner, up = sets.keys(share)
+            yield pa.RecordBatch.from_arrays([_long(keys), _long(sets.ids()[owner]), pa.array(up)], ["key", "s", "up"])
 
-    return docs.select("text").mapInArrow(run, "key long, s long")
+    return docs.select("text").mapInArrow(run, "key long, s long, up boolean")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, words: int, share: int) -> DataFrame:
@@ -303,7 +306,9 @@ def link_classes(docs: DataFrame, words: int = WORDS, share: int = SHARE) -> tup
     """Summaries of the rows, and (node, root) of the sets that link with others."""
     rows = written(summaries(docs, words), "sets")
     keys = segment_keys(docs, words, share)
-    shared = written(keys.groupBy("key").agg(F.min("s").alias("lo"), F.max("s").alias("hi"), F.count("*").alias("c")).filter("lo < hi"), "shared-keys")
+    # Sets that meet in a key of the band above them all meet in their own band too.
+    shared = keys.groupBy("key").agg(F.min("s").alias("lo"), F.max("s").alias("hi"), F.count("*").alias("c"), F.bool_and("up").alias("up")).filter("lo < hi AND NOT up")
+    shared = written(shared.select("key", "lo", "hi", "c"), "shared-keys")
     members = written(keys.join(shared.filter("c > 2").select("key"), "key").select("key", "s").distinct(), "key-members")
     # A key's sets are compared with the one among them that has most shared keys, likely the least edited of a group.
     degree = F.count("*").over(Window.partitionBy("s"))  # a set has no more keys than shingles, give or take
