@@ -2,9 +2,10 @@
 
 Sets fall into size bands. Sets of a band, and those of the band below that are near its lower end, split the universe of hashed shingles into
 segments, more than the largest symmetric difference d that linked sets of that size can have; so linked sets agree on a segment and share its
-key. A key that only sets of the band below share is left out, as these meet in their own band. Segments that both leave empty say nothing and have no key. Keys are allocated by their cost: where few segments make empty ones matter
-(up to ``NEIGHBOURS``), a set that has some also emits one-deletion neighbourhoods, its segments with one element left out; with more segments
-there are some to spare instead. Candidates are verified on whole texts.
+key. A key that only sets of the band below share is left out, as these meet in their own band. Segments that both leave empty say nothing and
+have no key. Keys are allocated by their cost: where few segments make empty ones matter (up to ``NEIGHBOURS``), a set that has some also emits
+one-deletion neighbourhoods, its segments with one element left out; with more segments there are some to spare instead. Candidates are verified
+on whole texts.
 
 Why no link is lost. With s segments to spare, d + 1 + s in all: sets that agree on empty segments only differ in all others, so they share
 s + 1 empty ones at least, and both are ``poor``: they have more than s. With neighbourhoods, let m = d + 1 be the segments and e, f the
