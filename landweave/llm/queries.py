@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import conversation_repair, decontamination, fingerprints, licenses, line_dedup, ngram_join, sentencepiece, substring_dedup, toxicity, url_filters, warc
+from . import conversation_repair, decontamination, fingerprints, licenses, line_dedup, ngram_join, quality_rules, sentencepiece, substring_dedup, toxicity, url_filters, warc
 from .sql import ORACLE_SQL  # noqa: F401
 
 
@@ -67,11 +67,16 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.repair_report(rows, conversation_repair.damage(rows))
 
 
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_covered", "base_failed", "kept"]
+    return quality_rules.judge_quality(table(spark, sf_dir, "documents")).select(*columns)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_fingerprints, op2_toxicity, op3_substring_dedup, op4_sentencepiece, op5_url_filters,
         op6_ngram_join, op7_decontamination, op8_line_dedup, op9_warc, op10_license_scan,
-        op11_conversation_repair,
+        op11_conversation_repair, op13_quality_rules,
     )
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import url_filters, warc
+from . import quality_rules, url_filters, warc
 
 
 def _case(rules: list[tuple[str, str]], verdict: bool) -> str:
@@ -50,4 +50,4 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, p.digest AS payload_digest,
 FROM p LEFT JOIN k ON p.digest = k.digest
 """
 
-ORACLE_SQL = {"op5_url_filters": url_filter_sql(), "op9_warc": WARC}
+ORACLE_SQL = {"op5_url_filters": url_filter_sql(), "op9_warc": WARC, "op13_quality_rules": quality_rules.quality_sql()}
