@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import conversation_repair, decontamination, fingerprints, licenses, line_dedup, ngram_join, quality_rules, sentencepiece, substring_dedup, toxicity, url_filters, warc
+from . import conversation_repair, decontamination, fingerprints, licenses, line_dedup, ngram_join, quality_rules, sentencepiece, spelling, substring_dedup, toxicity, url_filters, warc
 from .sql import ORACLE_SQL  # noqa: F401
+from .storage import written
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,6 +68,11 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.repair_report(rows, conversation_repair.damage(rows))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = written(spelling.word_counts(table(spark, sf_dir, "documents")), "spelling-words")
+    return spelling.spelling_groups(words)
+
+
 def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_covered", "base_failed", "kept"]
     return quality_rules.judge_quality(table(spark, sf_dir, "documents")).select(*columns)
@@ -77,6 +83,6 @@ QUERIES = {
     for f in (
         op1_fingerprints, op2_toxicity, op3_substring_dedup, op4_sentencepiece, op5_url_filters,
         op6_ngram_join, op7_decontamination, op8_line_dedup, op9_warc, op10_license_scan,
-        op11_conversation_repair, op13_quality_rules,
+        op11_conversation_repair, op12_spelling_variants, op13_quality_rules,
     )
 }
