@@ -1,93 +1,116 @@
-"""Exact polygon overlay as a relational plan.
+"""Exact polygon overlay: layers are cut to the cells of a grid, cells are swept, and rings are stitched from what is kept.
 
-Edges of a feature and of the mask polygons near it are cut into horizontal slabs at every vertex and crossing. In a slab edges don't cross, so
-ordered by x they open and close polygons: windows count, from left to right, how many polygons of either side are open. What lies between
-two edges is a trapezoid; those where the counts fit the operation are summed. Groups are features, so no step sees the whole layer at once.
+A group is a feature with the mask polygons near it, a cluster that is merged, or a whole layer. Its cells are swept one by one, so no step sees
+a group at once but the last, which holds the boundary of one result.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
+from .cells import ENDS, PLACE, cell_boxes, cut, sweep
+from .rings import half_edges, stitched
+from .spatial import BOX, CELL
 from .storage import written
-from .spatial import BOX, CELL, candidates
 
 KINDS = {"difference": "a > 0 AND b = 0", "intersection": "a > 0 AND b > 0", "union": "a + b > 0"}
 
 
-def edge_rows(df: DataFrame, group: str, side: str, polygon: str) -> DataFrame:
-    """(grp, side, poly, x1, y1, x2, y2) with y1 < y2; horizontal edges bound nothing."""
-    out = df.select(F.col(group).alias("grp"), F.lit(side).alias("side"), F.col(polygon).alias("poly"), F.explode(G.edges(F.col("geom"))).alias("e")).filter("e.y1 <> e.y2")
-    up = F.col("e.y1") < F.col("e.y2")
-    pick = lambda a, b: F.when(up, F.col(f"e.{a}")).otherwise(F.col(f"e.{b}"))
-    return out.select("grp", "side", "poly", pick("x1", "x2").alias("x1"), pick("y1", "y2").alias("y1"), pick("x2", "x1").alias("x2"), pick("y2", "y1").alias("y2"))
-
-
-def trapezoids(edges: DataFrame) -> DataFrame:
-    """(grp, y, top, a, b, c, area): what lies between neighbouring edges of each slab, and how many polygons of each side cover it."""
-    edges = written(edges.withColumn("m", (F.col("x2") - F.col("x1")) / (F.col("y2") - F.col("y1"))), "overlay-edges")
-    left, right = edges.alias("l"), edges.alias("r")
-    y = F.col("l.y1") + F.try_divide(F.col("r.x1") - F.col("l.x1") + (F.col("l.y1") - F.col("r.y1")) * F.col("r.m"), F.col("l.m") - F.col("r.m"))
-    crossings = left.join(right, F.expr("l.grp = r.grp AND l.m < r.m AND l.y1 < r.y2 AND r.y1 < l.y2")).select(F.col("l.grp").alias("grp"), y.alias("y"), F.greatest("l.y1", "r.y1").alias("lo"), F.least("l.y2", "r.y2").alias("hi")).filter("y > lo AND y < hi").select("grp", "y")
-    breaks = edges.select("grp", F.col("y1").alias("y")).unionByName(edges.select("grp", F.col("y2").alias("y"))).unionByName(crossings).distinct()
-    slabs = breaks.withColumn("top", F.lead("y").over(Window.partitionBy("grp").orderBy("y"))).filter("top IS NOT NULL")
-    there = slabs.join(edges, "grp").filter("y1 <= y AND y2 >= top")
-    at = lambda v: F.col("x1") + (v - F.col("y1")) * F.col("m")
-    there = there.select("grp", "y", "top", "side", "poly", at(F.col("y")).alias("low"), at(F.col("top")).alias("high"), at((F.col("y") + F.col("top")) / 2).alias("mid"))
-    order = ["mid", "side", "poly", "low"]
-    own = Window.partitionBy("grp", "y", "side", "poly").orderBy("mid", "low").rowsBetween(Window.unboundedPreceding, 0)
-    there = there.withColumn("step", F.when(F.count("*").over(own) % 2 == 1, 1).otherwise(-1))
-    slab = Window.partitionBy("grp", "y").orderBy(*order)
-    running = slab.rowsBetween(Window.unboundedPreceding, 0)
-    count = lambda s: F.sum(F.when(F.col("side") == s, F.col("step")).otherwise(0)).over(running)
-    there = there.withColumns({"a": count("a"), "b": count("b"), "c": count("c"), "low2": F.lead("low").over(slab), "high2": F.lead("high").over(slab)})
-    return there.filter("low2 IS NOT NULL").withColumn("area", ((F.col("low2") - F.col("low")) + (F.col("high2") - F.col("high"))) / 2 * (F.col("top") - F.col("y"))).filter("area > 0")
-
-
-def overlay(features: DataFrame, mask: DataFrame, kind: str, key: str = "fid", cell: float = CELL, same_key: bool = False) -> DataFrame:
-    """Features with the ``area`` that is left of them; attributes stay, what has none is dropped.
-
-    ``difference`` and ``intersection`` are with the union of the mask. Features that no mask polygon comes near skip the overlay.
-    ``same_key``: a feature meets only the mask polygon of its own key.
-    """
-    plain = features.select(key, "geom", *BOX)
-    near = candidates(plain.select(key, *BOX), mask.select(F.col(key).alias("id"), "geom", *BOX), cell)
+def _side(pieces: DataFrame, group: str, side: str, polygon: str) -> DataFrame:
+    return pieces.select(F.col(group).cast("long").alias("grp"), F.lit(side).alias("side"), F.col(polygon).cast("long").alias("poly"), *PLACE, "e", *ENDS)
+
+
+def regions(edges: DataFrame, keep: str, cell: float = CELL) -> DataFrame:
+    """(grp, geom, area) of each group's region where ``keep`` holds; groups that have none are left out."""
+    region = written(sweep(edges, cell).filter(keep), "region")
+    return stitched(half_edges(region)).join(region.groupBy("grp").agg(F.sum("area").alias("area")), "grp")
+
+
+def _near(own: DataFrame, key: str, other: DataFrame, cell: float, same_key: bool = False) -> DataFrame:
+    """Pieces of ``other`` in the cells where their polygon's box overlaps that of a feature, with its ``key``."""
+    a, b = cell_boxes(own, key, cell=cell), cell_boxes(other, "poly", cell=cell)
+    b = b.select(*PLACE, "poly", *(F.col(c).alias(f"r_{c}") for c in BOX))
+    met = a.join(b, PLACE).filter("maxx > r_minx AND minx < r_maxx AND maxy > r_miny AND miny < r_maxy")
     if same_key:
-        near = near.filter(F.col(key) == F.col("r_id"))
-    near = near.select(F.col(key), F.col("r_id").alias("poly"), F.col("r_geom").alias("geom"))
-    touched = near.select(key).distinct()
-    edges = edge_rows(plain.join(touched, key, "left_semi").withColumn("poly", F.col(key)), key, "a", "poly").unionByName(edge_rows(near, key, "b", "poly"))
-    area = trapezoids(edges).filter(KINDS[kind]).groupBy("grp").agg(F.sum("area").alias("area")).withColumnRenamed("grp", key)
-    out = features.join(area, key)
+        met = met.filter(F.col(key) == F.col("poly"))
+    return met.select(key, "poly", *PLACE).join(other.drop("maxx"), ["poly", *PLACE])
+
+
+def _mask(polygons: DataFrame, cell: float, key: str | None = None) -> DataFrame:
+    """Polygons cut to cells, told apart by ``key`` or by numbers of their own."""
+    numbered = polygons.select((F.col(key).cast("long") if key else F.monotonically_increasing_id()).alias("poly"), "geom", *BOX)
+    return written(cut(numbered, "poly", cell=cell), "mask-pieces")
+
+
+def with_region(features: DataFrame, found: DataFrame, key: str) -> DataFrame:
+    """Features with the geometry, box and ``area`` that ``found`` (grp, geom, area) has for them; others are left out."""
+    out = features.drop("geom", "area", *BOX).join(found.withColumnRenamed("grp", key), key)
+    return G.with_bounds(out)
+
+
+def overlay(features: DataFrame, mask: DataFrame, kind: str, key: str = "fid", cell: float = CELL, same_key: bool = False, min_area: float = 0.0) -> DataFrame:
+    """Features with the ``geom``, box and ``area`` that is left of them; attributes stay, what has none or less than ``min_area`` is dropped.
+
+    ``difference`` and ``intersection`` are with the union of the mask; ``union`` is each feature with whole mask polygons whose box overlaps its own in a cell.
+    Features that no mask polygon comes near skip the overlay. ``same_key``: a feature meets only the mask polygon of its own key.
+    """
+    own, other = written(cut(features.select(key, "geom", *BOX), key, cell=cell), "feature-pieces"), _mask(mask, cell, key if same_key else None)
+    if kind == "union":
+        return _joined(features, own, other, key, cell, min_area)
+    near = written(_near(own, key, other, cell, same_key), "near-pieces")
+    touched = near.select(key, *(PLACE if kind == "intersection" else [])).distinct()
+    edges = _side(own.join(touched, touched.columns, "left_semi"), key, "a", key).unionByName(_side(near, key, "b", "poly"))
+    out = with_region(features, regions(edges, KINDS[kind], cell), key)
     if kind == "difference":
-        out = out.unionByName(features.join(touched, key, "left_anti").withColumn("area", G.area(F.col("geom"))))
-    return out
+        alone = features.join(near.select(key).distinct(), key, "left_anti").withColumn("area", G.area(F.col("geom")))
+        out = out.unionByName(alone.select(*out.columns))
+    return out.filter(F.col("area") >= min_area) if min_area else out
+
+
+def _joined(features: DataFrame, own: DataFrame, other: DataFrame, key: str, cell: float, min_area: float) -> DataFrame:
+    pairs = _near(own, key, other, cell).select(key, "poly").distinct()
+    edges = _side(own, key, "a", key).unionByName(_side(other.join(pairs, "poly"), key, "b", "poly"))
+    out = with_region(features, regions(edges, KINDS["union"], cell), key)
+    return out.filter(F.col("area") >= min_area)
 
 
 def remainder(features: DataFrame, mask: DataFrame, area_of_interest: DataFrame, key: str = "fid", cell: float = CELL) -> DataFrame:
-    """(key, area) of features minus the mask, inside the union of the area of interest; a layer's first stage for each feature."""
-    plain = features.select(key, "geom", *BOX)
-    sides = []
-    for side, other in (("b", mask), ("c", area_of_interest)):
-        near = candidates(plain.select(key, *BOX), other.select(F.monotonically_increasing_id().alias("id"), "geom", *BOX), cell)
-        sides.append(near.select(F.col(key), F.col("r_id").alias("poly"), F.col("r_geom").alias("geom")).transform(lambda d, s=side: edge_rows(d, key, s, "poly")))
-    inside = sides[1].select("grp").distinct()
-    edges = edge_rows(plain.withColumn("poly", F.col(key)), key, "a", "poly").unionByName(sides[0]).join(inside, "grp", "left_semi").unionByName(sides[1])
-    return trapezoids(edges).filter("a > 0 AND b = 0 AND c > 0").groupBy(F.col("grp").alias(key)).agg(F.sum("area").alias("area"))
-
-
-def union_area(polygons: DataFrame, by: str, key: str = "fid") -> DataFrame:
-    """Area of the union of each group's polygons."""
-    return trapezoids(edge_rows(polygons, by, "a", key)).filter("a > 0").groupBy(F.col("grp").alias(by)).agg(F.sum("area").alias("area"))
-
-
-def iou(left: DataFrame, right: DataFrame, key: str = "fid", cell: float = CELL) -> DataFrame:
-    """(iou, shared) of two layers whose polygons don't overlap among themselves; two empty layers agree."""
-    shared = overlay(left, right, "intersection", key, cell).agg(F.coalesce(F.sum("area"), F.lit(0.0)).alias("shared"))
-    total = left.select(G.area(F.col("geom")).alias("t")).unionByName(right.select(G.area(F.col("geom")).alias("t"))).agg(F.coalesce(F.sum("t"), F.lit(0.0)).alias("t"))
-    return shared.crossJoin(total).select(F.when(F.col("t") == 0, 1.0).otherwise(F.col("shared") / (F.col("t") - F.col("shared"))).alias("iou"), "shared")
+    """(key, geom, box, area) of features minus the mask, inside the union of the area of interest; a layer's first stage for each feature."""
+    own, out, aoi = written(cut(features.select(key, "geom", *BOX), key, cell=cell), "feature-pieces"), _mask(mask, cell), _mask(area_of_interest, cell)
+    inside = written(_near(own, key, aoi, cell), "near-pieces")
+    cells = inside.select(key, *PLACE).distinct()
+    there = own.join(cells, cells.columns, "left_semi")
+    edges = [_side(there, key, "a", key), _side(_near(there, key, out, cell), key, "b", "poly"), _side(inside, key, "c", "poly")]
+    return with_region(features.select(key, "geom", *BOX), regions(reduce(DataFrame.unionByName, edges), "a > 0 AND b = 0 AND c > 0", cell), key)
+
+
+def union(polygons: DataFrame, by: str, key: str = "fid", cell: float = CELL) -> DataFrame:
+    """(by, geom, box, area) of the union of each group's polygons, which ``key`` tells apart."""
+    pieces = cut(polygons.select(by, key, "geom", *BOX), by, key, cell=cell)
+    return G.with_bounds(regions(_side(pieces, by, "a", key), "a > 0", cell).withColumnRenamed("grp", by))
+
+
+def dissolve(polygons: DataFrame, roots: DataFrame, key: str = "fid", cell: float = CELL) -> DataFrame:
+    """(root, part, geom, box, area): single polygons of the union of each cluster; ``roots``: (node, root) of the polygons' keys.
+
+    A polygon that isn't in ``roots`` is its own cluster. Parts that only meet in a corner stay apart.
+    """
+    led = polygons.select(key, "geom", *BOX).join(roots.select(F.col("node").alias(key), "root"), key, "left").withColumn("root", F.coalesce("root", key))
+    merged = union(led, "root", key, cell)
+    parts = merged.select("root", F.posexplode("geom.parts").alias("part", "p")).select("root", "part", G.make("polygon", F.array("p")).alias("geom"))
+    return G.with_bounds(parts).withColumn("area", G.area(F.col("geom")))
+
+
+def iou(left: DataFrame, right: DataFrame, cell: float = CELL) -> DataFrame:
+    """(iou, shared, area_left, area_right) of the unions of two layers, whose polygons may overlap among themselves; two empty layers agree."""
+    sides = [_side(cut(df.select(F.lit(0).alias("all"), F.monotonically_increasing_id().alias("poly"), "geom", *BOX), "all", "poly", cell=cell), "all", s, "poly") for df, s in ((left, "a"), (right, "b"))]
+    total = lambda where: F.coalesce(F.sum(F.when(F.expr(where), F.col("area"))), F.lit(0.0))
+    sums = sweep(sides[0].unionByName(sides[1]), cell).agg(total("a > 0 AND b > 0").alias("shared"), total("a > 0").alias("area_left"), total("b > 0").alias("area_right"), total("a + b > 0").alias("either"))
+    return sums.select(F.when(F.col("either") == 0, 1.0).otherwise(F.col("shared") / F.col("either")).alias("iou"), "shared", "area_left", "area_right")
 
 
 def validity(polygons: DataFrame, key: str) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import fixtures
 from ..functions import geometry as G
+from ..operators import overlay as O
 from ..operators import scoring as S
 from ..operators import spatial as X
 from ..operators.storage import written
@@ -94,6 +95,14 @@ def area_of_interest(spark: SparkSession) -> DataFrame:
     return spark.range(1).select(*(F.lit(v).alias(c) for c, v in zip(X.BOX, AREA, strict=True))).withColumn("geom", G.box_polygon())
 
 
+def aoi_union(tiles: DataFrame, boundary: DataFrame, cell: float = X.CELL) -> DataFrame:
+    """(area_id, geom, box, area): one polygon of the whole tiles that overlap the boundary with some area; ValueError where none does."""
+    there = written(O.overlay(tiles, boundary, "intersection", cell=cell).filter("area > 0").select("fid"), "aoi-tiles")
+    if there.isEmpty():
+        raise ValueError("no tile overlaps the boundary")
+    return O.union(tiles.join(there, "fid", "left_semi").withColumn("area_id", F.lit(0).cast("long")), "area_id", cell=cell)
+
+
 def shapes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return G.with_bounds(fixtures.layer(spark, sf_dir, "fx_shape").withColumn("geom", G.shape_polygon()))
 

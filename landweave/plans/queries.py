@@ -3,36 +3,20 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import fixtures
 from ..functions import geometry as G
 from ..functions import reproject as R
-from ..operators import graph, ledger, storage
+from ..operators import ledger, storage
 from ..operators import overlay as O
 from ..operators import scoring as S
 from ..operators import spatial as X
 from ..sources import landing, pages
 from . import layers as L
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None, *names: str):
-    """Registers a query; ``names``: stand-ins that its SQL starts with."""
-
-    def keep(f):
-        QUERIES[f.__name__] = f
-        if sql is not None:
-            ORACLE_SQL[f.__name__] = (fixtures.cte(*names) if names else "") + sql if not sql.startswith(",") else fixtures.cte(*names).rstrip() + sql
-        return f
-
-    return keep
-
+from . import polygons  # noqa: F401  registers its queries
+from .registry import ORACLE_SQL, QUERIES, query  # noqa: F401
 
 fx = fixtures.layer
 
@@ -235,25 +219,6 @@ def self_join_overlap(spark, d):
     return X.overlap_pairs(tiles, tiles, 2000.0).filter("fid < r_fid").agg(F.count("*").alias("pairs"), F.sum("overlap").alias("overlap"))
 
 
-@query("SELECT a.fid AS a, b.fid AS b FROM fx_raf a JOIN fx_raf b ON a.fid<b.fid AND a.maxx>=b.minx AND a.minx<=b.maxx AND a.maxy>=b.miny AND a.miny<=b.maxy", "fx_raf")
-def touch_pairs(spark, d):
-    raf = L.boxes(spark, d, "fx_raf").select("fid", *X.BOX)
-    return X.candidates(raf, raf).filter("fid < r_fid").select(F.col("fid").alias("a"), F.col("r_fid").alias("b"))
-
-
-PAIRS = "e AS (SELECT a.fid AS a, b.fid AS b FROM fx_raf a JOIN fx_raf b ON a.fid<>b.fid AND a.maxx>=b.minx AND a.minx<=b.maxx AND a.maxy>=b.miny AND a.miny<=b.maxy)"
-
-
-@query(None)
-def connected_components(spark, d):
-    pairs = touch_pairs(spark, d)
-    raf = fx(spark, d, "fx_raf").select("fid")
-    return raf.join(graph.connected_components(pairs).withColumnRenamed("node", "fid"), "fid", "left").select("fid", F.coalesce("root", "fid").alias("root"))
-
-
-ORACLE_SQL["connected_components"] = fixtures.cte("fx_raf").replace("WITH ", "WITH RECURSIVE ", 1).rstrip() + f", {PAIRS}, r(fid, root) AS (SELECT fid, fid FROM fx_raf UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.fid) SELECT fid, min(root) AS root FROM r GROUP BY 1"
-
-
 @query(f"SELECT DISTINCT b.fid FROM fx_waterbody b JOIN fx_boundary a ON {AREA} > 0", "fx_waterbody", "fx_boundary")
 def filter_area_positive(spark, d):
     return X.overlap_pairs(L.boxes(spark, d, "fx_waterbody").select("fid", *X.BOX), L.boxes(spark, d, "fx_boundary").select(*X.BOX), 2000.0).filter("overlap > 0").select("fid").distinct()
@@ -270,41 +235,6 @@ def overlay_area(spark, d):
 # Overlay of polygons
 
 
-def compressed(keep: str) -> str:
-    """Area of each flood box in (or out of) the union of the mask, by coordinate compression."""
-    return (
-        ", f AS (SELECT * FROM fx_flood WHERE risk_band='High'), m AS (SELECT f.fid, greatest(f.minx,r.minx) AS minx, greatest(f.miny,r.miny) AS miny, least(f.maxx,r.maxx) AS maxx, least(f.maxy,r.maxy) AS maxy FROM f JOIN fx_raf r "
-        "ON f.maxx>r.minx AND f.minx<r.maxx AND f.maxy>r.miny AND f.miny<r.maxy), xs AS (SELECT DISTINCT fid, x FROM (SELECT fid, minx AS x FROM m UNION ALL SELECT fid, maxx FROM m)), ys AS (SELECT DISTINCT fid, y FROM (SELECT fid, miny AS y FROM m UNION ALL SELECT fid, maxy FROM m)), "
-        "xc AS (SELECT fid, x, lead(x) OVER (PARTITION BY fid ORDER BY x) AS x2 FROM xs), yc AS (SELECT fid, y, lead(y) OVER (PARTITION BY fid ORDER BY y) AS y2 FROM ys), "
-        "c AS (SELECT xc.fid, sum((x2-x)*(y2-y)) AS covered FROM xc JOIN yc ON xc.fid=yc.fid WHERE x2 IS NOT NULL AND y2 IS NOT NULL AND EXISTS (SELECT 1 FROM m WHERE m.fid=xc.fid AND m.minx<=x AND m.maxx>=x2 AND m.miny<=y AND m.maxy>=y2) GROUP BY 1) " + keep
-    )
-
-
-def raf_overlay(spark, d, kind):
-    high = L.boxes(spark, d, "fx_flood").filter("risk_band = 'High'")
-    return O.overlay(high, L.boxes(spark, d, "fx_raf"), kind)
-
-
-@query(compressed("SELECT f.fid, CAST((f.maxx-f.minx)*(f.maxy-f.miny)-coalesce(covered,0) AS DOUBLE) AS area FROM f LEFT JOIN c ON c.fid=f.fid WHERE (f.maxx-f.minx)*(f.maxy-f.miny)-coalesce(covered,0) > 0"), "fx_flood", "fx_raf")
-def subtract_polys(spark, d):
-    return raf_overlay(spark, d, "difference").select("fid", "area")
-
-
-@query(compressed("SELECT fid, CAST(covered AS DOUBLE) AS area FROM c"), "fx_flood", "fx_raf")
-def keep_within_polys(spark, d):
-    return raf_overlay(spark, d, "intersection").select("fid", "area")
-
-
-@query(compressed("SELECT f.fid, f.risk_band, CAST(coalesce(covered,0) AS DOUBLE) AS area FROM f JOIN c ON c.fid=f.fid"), "fx_flood", "fx_raf")
-def spatial_overlay(spark, d):
-    return raf_overlay(spark, d, "intersection").select("fid", "risk_band", "area")
-
-
-@query("SELECT region, CAST(sum((maxx-minx)*(maxy-miny)) AS DOUBLE) AS area FROM fx_waterbody GROUP BY 1", "fx_waterbody")
-def union_geom(spark, d):
-    return O.union_area(L.boxes(spark, d, "fx_waterbody"), "region")
-
-
 @query(f", s AS (SELECT fid, ox, oy, s FROM fx_shape WHERE shape_kind = 3) SELECT fid, CAST(s*s/2.0 AS DOUBLE) AS own, CAST(s*s/4.0 AS DOUBLE) AS cut, CAST(s*s/4.0 AS DOUBLE) AS rest FROM s", "fx_shape")
 def exactness_report(spark, d):
     diamonds = shapes(spark, d).filter("shape_kind = 3")
@@ -314,12 +244,6 @@ def exactness_report(spark, d):
     return diamonds.select("fid", G.area(F.col("geom")).alias("own")).join(cut, "fid").join(rest, "fid")
 
 
-@query("SELECT CAST(1.0 AS DOUBLE) AS iou, CAST(sum((maxx-minx)*(maxy-miny)) AS DOUBLE) AS shared FROM fx_waterbody", "fx_waterbody")
-def agg_iou(spark, d):
-    water = L.boxes(spark, d, "fx_waterbody")
-    return O.iou(water, water, "fid")
-
-
 # Constraints and layers
 
 
@@ -662,29 +586,6 @@ def layer_peat(spark, d):
     return polygon_layer(spark, d, "peat").withColumn("area", F.round("area", 6))
 
 
-COMPONENTS = ", e AS (SELECT a.fid AS a, b.fid AS b FROM fx_raf a JOIN fx_raf b ON a.fid<>b.fid AND a.maxx>=b.minx AND a.minx<=b.maxx AND a.maxy>=b.miny AND a.miny<=b.maxy), rr(fid, root) AS (SELECT fid, fid FROM fx_raf UNION SELECT e.b, rr.root FROM rr JOIN e ON e.a = rr.fid), cc AS (SELECT fid, min(root) AS root FROM rr GROUP BY 1)"
-UNION_SQL = (
-    ", m AS (SELECT cc.root AS fid, minx, miny, maxx, maxy FROM fx_raf JOIN cc ON cc.fid = fx_raf.fid), xs AS (SELECT DISTINCT fid, x FROM (SELECT fid, minx AS x FROM m UNION ALL SELECT fid, maxx FROM m)), ys AS (SELECT DISTINCT fid, y FROM (SELECT fid, miny AS y FROM m UNION ALL SELECT fid, maxy FROM m)), "
-    "xc AS (SELECT fid, x, lead(x) OVER (PARTITION BY fid ORDER BY x) AS x2 FROM xs), yc AS (SELECT fid, y, lead(y) OVER (PARTITION BY fid ORDER BY y) AS y2 FROM ys), "
-    "cells AS (SELECT DISTINCT xc.fid, x, x2, y, y2 FROM xc JOIN yc ON xc.fid=yc.fid JOIN m ON m.fid=xc.fid AND m.minx<=x AND m.maxx>=x2 AND m.miny<=y AND m.maxy>=y2 WHERE x2 IS NOT NULL AND y2 IS NOT NULL) "
-    "SELECT fid AS root, CAST(sum((x2-x)*(y2-y)) AS DOUBLE) AS area FROM cells GROUP BY 1"
-)
-
-
-@query(None)
-def dissolve_connected(spark, d):
-    raf = L.boxes(spark, d, "fx_raf")
-    return O.union_area(raf.join(connected_components(spark, d), "fid"), "root")
-
-
-ORACLE_SQL["dissolve_connected"] = fixtures.cte("fx_raf").replace("WITH ", "WITH RECURSIVE ", 1).rstrip() + COMPONENTS + UNION_SQL
-
-
-@query(f"SELECT b.fid, CAST((b.maxx-b.minx)*(b.maxy-b.miny) AS DOUBLE) AS area FROM fx_waterbody b WHERE EXISTS (SELECT 1 FROM fx_boundary a WHERE {AREA} > 0)", "fx_waterbody", "fx_boundary")
-def aoi_waterbody_union(spark, d):
-    return L.boxes(spark, d, "fx_waterbody").join(filter_area_positive(spark, d), "fid", "left_semi").select("fid", G.area(F.col("geom")).alias("area"))
-
-
 @query("SELECT wb_id AS tile_id, wb_id, fid FROM fx_waterbody", "fx_waterbody")
 def tile_index(spark, d):
     return ledger.tile_ids(fx(spark, d, "fx_waterbody"), "wb_id", "fid").select("tile_id", "wb_id", "fid")
