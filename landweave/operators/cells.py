@@ -81,7 +81,7 @@ def sweep(edges: DataFrame, cell: float = CELL) -> DataFrame:
     """(grp, cx, cy, y, top, low, high, e, low2, high2, e2, a, b, c, area) of each trapezoid in (grp, side, poly, cx, cy, e, x1, y1, x2, y2).
 
     ``low`` and ``high`` are where its left edge is at ``y`` and ``top``, ``low2`` and ``high2`` where its right one is. ``a``, ``b``, ``c``: how many
-    polygons of each side cover it. The work of a group in a cell grows with its edges times its slabs.
+    polygons of each side cover it. Edges on one line give trapezoids without area, which rings need to close. The work of a group in a cell grows with its edges times its slabs.
     """
     keys = ["grp", *PLACE]
     last = edges.groupBy(*keys).agg(F.min("y1").alias("y1"), F.max("y2").alias("y2")).withColumn("x", ((F.col("cx") + 1) * cell).cast("double"))
@@ -105,4 +105,4 @@ def sweep(edges: DataFrame, cell: float = CELL) -> DataFrame:
     count = lambda s: F.sum(F.when(F.col("side") == s, F.col("step")).otherwise(0)).over(running)
     there = there.withColumn("step", step).withColumns({"a": count("a"), "b": count("b"), "c": count("c"), "low2": F.lead("low").over(slab), "high2": F.lead("high").over(slab), "e2": F.lead("e").over(slab)})
     there = there.filter("low2 IS NOT NULL").withColumn("area", ((F.col("low2") - F.col("low")) + (F.col("high2") - F.col("high"))) / 2 * (F.col("top") - F.col("y")))
-    return there.filter("area > 0").select(*keys, "y", "top", "low", "high", "e", "low2", "high2", "e2", "a", "b", "c", "area")
+    return there.select(*keys, "y", "top", "low", "high", "e", "low2", "high2", "e2", "a", "b", "c", "area")

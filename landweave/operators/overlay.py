@@ -78,14 +78,19 @@ def _joined(features: DataFrame, own: DataFrame, other: DataFrame, key: str, cel
     return out.filter(F.col("area") >= min_area)
 
 
-def remainder(features: DataFrame, mask: DataFrame, area_of_interest: DataFrame, key: str = "fid", cell: float = CELL) -> DataFrame:
-    """(key, geom, box, area) of features minus the mask, inside the union of the area of interest; a layer's first stage for each feature."""
-    own, out, aoi = written(cut(features.select(key, "geom", *BOX), key, cell=cell), "feature-pieces"), _mask(mask, cell), _mask(area_of_interest, cell)
-    inside = written(_near(own, key, aoi, cell), "near-pieces")
-    cells = inside.select(key, *PLACE).distinct()
+def remainder(features: DataFrame, mask: DataFrame, area_of_interest: DataFrame, key: str = "fid", by: str | None = None, cell: float = CELL) -> DataFrame:
+    """(by, geom, box, area) of features minus the mask, inside the union of the area of interest; a layer's first stage.
+
+    Features of one ``by`` (each for itself, if it isn't given) are merged. Cells that the area of interest doesn't reach are not swept.
+    """
+    by = by or key
+    own = written(cut(features.select(*dict.fromkeys([by, key]), "geom", *BOX), *dict.fromkeys([by, key]), cell=cell), "feature-pieces")
+    out, aoi = _mask(mask, cell), _mask(area_of_interest, cell)
+    inside = written(_near(own, by, aoi, cell), "near-pieces")
+    cells = inside.select(by, *PLACE).distinct()
     there = own.join(cells, cells.columns, "left_semi")
-    edges = [_side(there, key, "a", key), _side(_near(there, key, out, cell), key, "b", "poly"), _side(inside, key, "c", "poly")]
-    return with_region(features.select(key, "geom", *BOX), regions(reduce(DataFrame.unionByName, edges), "a > 0 AND b = 0 AND c > 0", cell), key)
+    edges = [_side(there, by, "a", key), _side(_near(there, by, out, cell), by, "b", "poly"), _side(inside, by, "c", "poly")]
+    return G.with_bounds(regions(reduce(DataFrame.unionByName, edges), "a > 0 AND b = 0 AND c > 0", cell).withColumnRenamed("grp", by))
 
 
 def union(polygons: DataFrame, by: str, key: str = "fid", cell: float = CELL) -> DataFrame:
@@ -100,8 +105,12 @@ def dissolve(polygons: DataFrame, roots: DataFrame, key: str = "fid", cell: floa
     A polygon that isn't in ``roots`` is its own cluster. Parts that only meet in a corner stay apart.
     """
     led = polygons.select(key, "geom", *BOX).join(roots.select(F.col("node").alias(key), "root"), key, "left").withColumn("root", F.coalesce("root", key))
-    merged = union(led, "root", key, cell)
-    parts = merged.select("root", F.posexplode("geom.parts").alias("part", "p")).select("root", "part", G.make("polygon", F.array("p")).alias("geom"))
+    return single(union(led, "root", key, cell), "root")
+
+
+def single(polygons: DataFrame, *columns: str) -> DataFrame:
+    """(columns, part, geom, box, area): a row for each part."""
+    parts = polygons.select(*columns, F.posexplode("geom.parts").alias("part", "p")).select(*columns, "part", G.make("polygon", F.array("p")).alias("geom"))
     return G.with_bounds(parts).withColumn("area", G.area(F.col("geom")))
 
 
@@ -113,18 +122,6 @@ def iou(left: DataFrame, right: DataFrame, cell: float = CELL) -> DataFrame:
     return sums.select(F.when(F.col("either") == 0, 1.0).otherwise(F.col("shared") / F.col("either")).alias("iou"), "shared", "area_left", "area_right")
 
 
-def validity(polygons: DataFrame, key: str) -> DataFrame:
-    """Polygons with ``is_valid``: rings of four points or more, closed, and no two of their edges cross properly."""
-    flat = polygons.select(key, F.posexplode(G.edges(F.col("geom"))).alias("n", "e")).select(key, "n", "e.*")
-    flat = written(flat, "validity-edges")
-    turn = lambda ax, ay, bx, by, cx, cy: f"sign(({bx}-{ax})*({cy}-{ay})-({by}-{ay})*({cx}-{ax}))"
-    ends = [turn("l.x1", "l.y1", "l.x2", "l.y2", *p) for p in (("r.x1", "r.y1"), ("r.x2", "r.y2"))] + [turn("r.x1", "r.y1", "r.x2", "r.y2", *p) for p in (("l.x1", "l.y1"), ("l.x2", "l.y2"))]
-    crossed = flat.alias("l").join(flat.alias("r"), F.expr(f"l.{key} = r.{key} AND l.n < r.n")).filter(f"{ends[0]} * {ends[1]} < 0 AND {ends[2]} * {ends[3]} < 0")
-    bad = crossed.select(F.col(f"l.{key}").alias(key)).distinct().withColumn("_bad", F.lit(True))
-    closed = F.forall(F.flatten(F.col("geom.parts")), lambda r: (F.size(r) >= 4) & (F.get(r, F.lit(0)) == F.get(r, F.size(r) - 1)))
-    return polygons.join(bad, key, "left").withColumn("is_valid", F.col("_bad").isNull() & closed).drop("_bad")
-
-
 def representative_points(polygons: DataFrame, key: str) -> DataFrame:
     """(key, x, y): the middle of the widest inner stretch of a scan line half way between the vertices around the box's middle."""
     rows = polygons.select(key, F.posexplode(G.edges(F.col("geom"))).alias("n", "e"), ((F.col("miny") + F.col("maxy")) / 2).alias("half")).select(key, "half", "e.*")

@@ -8,7 +8,7 @@ loops are cut where they meet themselves. Loops that run anticlockwise are shell
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import atan2, pi
+from math import atan2, hypot, pi
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -37,7 +37,7 @@ def half_edges(region: DataFrame) -> DataFrame:
     turned = lambda a, b: F.when(up, F.col(a)).otherwise(F.col(b))
     slanted = slanted.select("grp", turned("xa", "xb").alias("x1"), turned("y", "top").alias("y1"), turned("xb", "xa").alias("x2"), turned("top", "y").alias("y2"), F.coalesce("e", F.lit(0).cast("long")).alias("e"))
     level = lambda line, a, b, turn: F.struct(F.col(line).alias("line"), F.col(a).alias("a"), F.col(b).alias("b"), F.lit(turn).alias("d"))
-    flat = r.select("grp", F.lit("h").alias("axis"), F.explode(F.array(level("y", "low", "low2", 1), level("top", "high", "high2", -1))).alias("s")).select("grp", "axis", "s.*").filter("a < b")
+    flat = r.select("grp", F.lit("h").alias("axis"), F.explode(F.array(level("y", "low", "low2", 1), level("top", "high", "high2", -1))).alias("s")).select("grp", "axis", "s.*").filter("a <> b")
     # Along an upright side the region is on the right of those that trapezoids begin with.
     upright = sides.filter("xa = xb").select("grp", F.lit("v").alias("axis"), F.col("xa").alias("line"), F.col("y").alias("a"), F.col("top").alias("b"), (-F.col("d")).alias("d"))
     turn = lambda at, d: F.struct(F.col(at).alias("at"), d.alias("d"))
@@ -93,7 +93,10 @@ def _simple(loop: list[tuple]) -> Iterator[list[Vertex]]:
     corners = [s[:2] for before, s in zip(loop[-1:] + loop[:-1], loop, strict=True) if _kind(before) != _kind(s)]
     if len(corners) >= 3:
         at = corners.index(min(corners))
-        yield corners[at:] + corners[:at]
+        corners = corners[at:] + corners[:at]
+        round_about = sum(hypot(bx - ax, by - ay) for (ax, ay), (bx, by) in zip(corners, corners[1:] + corners[:1], strict=True))
+        if abs(_twice_area(corners)) > 4 / GRAIN * round_about:  # else it is what rounding has left between two edges on one line
+            yield corners
 
 
 def _twice_area(loop: list[Vertex]) -> float:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import fixtures
 from ..functions import geometry as G
+from ..operators import graph, touch
 from ..operators import overlay as O
 from ..operators import scoring as S
 from ..operators import spatial as X
@@ -122,9 +123,25 @@ def sources(spark: SparkSession, sf_dir: str, layer: str) -> DataFrame:
 
 
 def masks(spark: SparkSession, sf_dir: str, layer: str) -> DataFrame:
-    """What a layer subtracts: constraints (peat: without land cover) and, for bunds, runoff attenuation and the waterlines' buffers."""
+    """What a layer subtracts: constraints (peat: without land cover), woodland's own and, for bunds, runoff attenuation and the waterlines' buffers."""
     out = constraints(spark, sf_dir, land_cover=layer != "peat").select("geom", *X.BOX)
+    if layer == "woodland":
+        out = out.unionByName(zones(boxes(spark, sf_dir, "fx_spz"), ["3"]).select("geom", *X.BOX))
     if layer == "bunds":
         lines = fixtures.layer(spark, sf_dir, "fx_line").withColumn("r", S.lookup(F.col("type"), BUFFERS)).filter("r IS NOT NULL")
         out = out.unionByName(boxes(spark, sf_dir, "fx_raf").select("geom", *X.BOX)).unionByName(buffered_box(lines, F.col("r")).select("geom", *X.BOX))
     return out
+
+
+#: Square metres below which a polygon of a layer is left out.
+LEAST_AREA = {"bunds": 20.0}
+
+
+def opportunity(spark: SparkSession, sf_dir: str, layer: str) -> DataFrame:
+    """(layer, geom, box, area): a layer's single polygons. Sources that meet are one cluster, whose polygons are merged while masks are subtracted
+    and the area of interest cuts it, so each cell is swept once."""
+    start = sources(spark, sf_dir, layer)
+    roots = graph.connected_components(touch.touching_polygons(start))
+    led = start.join(roots.withColumnRenamed("node", "fid"), "fid", "left").withColumn("root", F.coalesce("root", "fid"))
+    left = O.remainder(written(led, "layer-sources"), masks(spark, sf_dir, layer), area_of_interest(spark), by="root")
+    return O.single(left, "root").filter(F.col("area") >= LEAST_AREA.get(layer, 0.0)).select(F.lit(layer).alias("layer"), "geom", *X.BOX, "area")

@@ -6,16 +6,18 @@ cells connected by sides, and a lattice point is a vertex of a ring if one, thre
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import fixtures
 from ..functions import geometry as G
-from ..operators import graph
+from ..operators import graph, repair, touch
 from ..operators import overlay as O
 from ..operators import spatial as X
-from ..operators import touch
-from ..operators.storage import written
+from ..operators.storage import shared_dir, written
+from ..sources import silver
 from . import layers as L
 from .registry import ORACLE_SQL, query
 
@@ -214,3 +216,154 @@ IOU_CELLS = f"a AS ({cells_of('SELECT 0 AS g, minx, miny, maxx, maxy FROM fx_flo
 def agg_iou(spark, d):
     """Two layers that differ and overlap among themselves."""
     return O.iou(L.boxes(spark, d, "fx_flood").filter("risk_band IN ('High', 'Medium')"), L.boxes(spark, d, "fx_raf"))
+
+
+# Validity, repair and division
+
+
+def broken(spark, d) -> DataFrame:
+    """Shapes, each with its key doubled, and beside them bow-ties (kind 3) and squares with overlapping holes (kind 2), which aren't valid."""
+    shape = fx(spark, d, "fx_shape")
+
+    def drawn(*rings):
+        at = lambda a, b: G.vertex(F.col("ox") + F.col("s") * a, F.col("oy") + F.col("s") * b)
+        return G.make("polygon", F.array(F.array(*(F.array(*(at(*p) for p in [*r, r[0]])) for r in rings))))
+
+    square = lambda a, s: [(a, a), (a + s, a), (a + s, a + s), (a, a + s)]
+    bow, holed = drawn([(0, 0), (1, 1), (1, 0), (0, 1)]), drawn(square(0, 1), square(0.25, 0.5), square(0.5, 0.375))
+    bad = shape.filter("shape_kind >= 2").select((F.col("fid") * 2 + 1).alias("fid"), F.when(F.col("shape_kind") == 3, bow).otherwise(holed).alias("geom"))
+    return G.with_bounds(shape.select((F.col("fid") * 2).alias("fid"), G.shape_polygon().alias("geom")).unionByName(bad))
+
+
+#: Area and vertices of ``broken`` once it is repaired: two triangles; a square less the union of its holes.
+REPAIRED = (
+    "rep AS (SELECT fid*2 AS fid, CAST(CASE shape_kind WHEN 0 THEN s*s/2.0 WHEN 3 THEN s*s/2.0 ELSE 0.75*s*s END AS DOUBLE) AS area, CASE shape_kind WHEN 0 THEN 3 WHEN 1 THEN 6 WHEN 2 THEN 8 ELSE 4 END AS n_vertices, 1 AS n_parts, false AS fixed FROM fx_shape "
+    "UNION ALL SELECT fid*2+1, CAST(CASE shape_kind WHEN 3 THEN s*s/2.0 ELSE 0.671875*s*s END AS DOUBLE), CASE shape_kind WHEN 3 THEN 6 ELSE 12 END, CASE shape_kind WHEN 3 THEN 2 ELSE 1 END, true FROM fx_shape WHERE shape_kind >= 2)"
+)
+
+
+def sized(df: DataFrame) -> DataFrame:
+    rings = F.flatten("geom.parts")
+    return df.select("fid", F.round(G.area(F.col("geom")), 6).alias("area"), (G.num_coords(F.col("geom")) - F.size(rings)).alias("n_vertices"), F.size("geom.parts").alias("n_parts"))
+
+
+@query(f", {REPAIRED} SELECT fid, NOT fixed AS is_valid FROM rep", "fx_shape")
+def is_valid(spark, d):
+    return repair.validity(broken(spark, d), "fid").select("fid", "is_valid")
+
+
+@query(f", {REPAIRED} SELECT fid, area, n_vertices, n_parts FROM rep", "fx_shape")
+def make_valid(spark, d):
+    return sized(repair.make_valid(broken(spark, d)))
+
+
+@query(f", {REPAIRED} SELECT fid, area, n_vertices, n_parts, true AS again, (SELECT count(*) FROM rep) AS n_rows, (SELECT count(*) FROM rep WHERE fixed) AS n_fixed FROM rep", "fx_shape")
+def validate_once(spark, d):
+    """The table that a first run leaves; a second one reads it and writes nothing."""
+    at = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
+    broken(spark, d).write.parquet(f"{at}/bronze")
+    first = silver.validate_once(spark, f"{at}/bronze", f"{at}/silver")
+    again = silver.validate_once(spark, f"{at}/bronze", f"{at}/silver")
+    said = silver.committed(spark, f"{at}/silver")
+    return sized(spark.read.parquet(again)).select("*", F.lit(first == again).alias("again"), F.lit(said["n_rows"]).cast("long").alias("n_rows"), F.lit(said["n_fixed"]).cast("long").alias("n_fixed"))
+
+
+def halved(kind: int, x: str, y: str, w: str, h: str) -> str:
+    return f"SELECT fid, CAST(ox+s*{x} AS DOUBLE) AS minx, CAST(oy+s*{y} AS DOUBLE) AS miny, CAST(ox+s*({x}+{w}) AS DOUBLE) AS maxx, CAST(oy+s*({y}+{h}) AS DOUBLE) AS maxy, CAST(s*s*{w}*{h} AS DOUBLE) AS area, 5 AS n FROM fx_shape WHERE shape_kind={kind}"
+
+
+#: With six vertices at most, L-shapes fall into two boxes and frames into eight: at half height, at half width, at a quarter of the height.
+HALVED = [halved(1, "0", "0", "1", "0.5"), halved(1, "0", "0.5", "0.5", "0.5")] + [
+    halved(2, x, y, w, "0.25") for row in ((("0", "0", "0.5"), ("0.5", "0", "0.5"), ("0", "0.25", "0.25"), ("0.75", "0.25", "0.25")), (("0", "0.5", "0.25"), ("0.75", "0.5", "0.25"), ("0", "0.75", "0.5"), ("0.5", "0.75", "0.5"))) for x, y, w in row
+]
+
+
+@query("SELECT fid, CAST(ox AS DOUBLE) AS minx, CAST(oy AS DOUBLE) AS miny, CAST(ox+s AS DOUBLE) AS maxx, CAST(oy+s AS DOUBLE) AS maxy, CAST(s*s/2.0 AS DOUBLE) AS area, CASE shape_kind WHEN 0 THEN 4 ELSE 5 END AS n FROM fx_shape WHERE shape_kind IN (0, 3) UNION ALL " + " UNION ALL ".join(HALVED), "fx_shape")
+def subdivide(spark, d):
+    return repair.subdivide(L.shapes(spark, d), most=6).select("fid", *X.BOX, F.round(G.area(F.col("geom")), 6).alias("area"), G.num_coords(F.col("geom")).alias("n"))
+
+
+# Layers: sources less their masks, in the area of interest, as single polygons
+
+CONS = (
+    "cons AS (SELECT minx, miny, maxx, maxy, true AS cover FROM fx_landcover WHERE mode IN ('20','21','11','1') UNION ALL SELECT minx, miny, maxx, maxy, false FROM fx_spz WHERE lower(trim(number)) IN ('1','1c','2','2c')"
+    " UNION ALL SELECT x1-10, y1-10, x2+10, y2+10, false FROM fx_line WHERE fid % 2 = 1 UNION ALL SELECT x1-20, y1-20, x2+20, y2+20, false FROM fx_line WHERE fid % 10 = 0 UNION ALL SELECT minx, miny, maxx, maxy, false FROM fx_raf WHERE fid % 15 = 0)"
+)
+LAYER_FX = ("fx_landcover", "fx_spz", "fx_line", "fx_raf", "fx_flood", "fx_shape")
+BUFFERED = "SELECT x1-r, y1-r, x2+r, y2+r FROM (SELECT *, CASE type WHEN 'District' THEN 50 WHEN 'Local' THEN 30 WHEN 'National' THEN 150 WHEN 'Regional' THEN 100 END AS r FROM fx_line) WHERE r IS NOT NULL"
+
+
+def layer_sql(boxes: str, mask: str = "SELECT minx, miny, maxx, maxy FROM cons", step: int = STEP, least: int = 0) -> str:
+    """Lattice cells of the sources that the area of interest holds and no mask covers, and the parts that they make."""
+    a, b, c, e = (int(v) for v in L.AREA)
+    inside = f"x >= {a}//{step} AND x < {c}//{step} AND y >= {b}//{step} AND y < {e}//{step}"
+    kept = f"SELECT g, x, y FROM ({cells_of(f'SELECT 0 AS g, minx, miny, maxx, maxy FROM ({boxes})', step)}) f WHERE {inside} AND NOT EXISTS (SELECT 1 FROM mk WHERE mk.x = f.x AND mk.y = f.y)"
+    masked = cells_of(f"SELECT 0 AS g, minx, miny, maxx, maxy FROM ({mask}) t(minx, miny, maxx, maxy)", step)
+    return with_recursive(
+        fixtures.cte(*LAYER_FX),
+        f"{CONS}, mk AS ({masked}), {labelled_sql(kept).replace('lab AS (', 'lab0 AS (')}, lab AS (SELECT dense_rank() OVER (ORDER BY part) AS g, 0 AS part, x, y FROM lab0), {told_sql(step)}, "
+        f"ext AS (SELECT g, CAST(min(x)*{step} AS DOUBLE) AS minx, CAST(min(y)*{step} AS DOUBLE) AS miny FROM lab GROUP BY 1) SELECT minx, miny, area, n_holes, n_vertices, corners FROM ext JOIN res USING (g) WHERE area >= {least}",
+    )
+
+
+def layer(spark, d, name):
+    return told(L.opportunity(spark, d, name), "minx", "miny").drop("n_parts")
+
+
+@query()
+def layer_pond(spark, d):
+    return layer(spark, d, "pond")
+
+
+@query()
+def layer_bunds(spark, d):
+    return layer(spark, d, "bunds")
+
+
+@query()
+def layer_floodplain(spark, d):
+    return layer(spark, d, "floodplain")
+
+
+@query()
+def layer_riparian(spark, d):
+    return layer(spark, d, "riparian")
+
+
+FLOODED = "SELECT minx, miny, maxx, maxy FROM fx_flood WHERE risk_band"
+ORACLE_SQL["layer_pond"] = layer_sql("SELECT minx, miny, maxx, maxy FROM fx_raf")
+ORACLE_SQL["layer_bunds"] = layer_sql(f"{FLOODED} IN ('High','Medium')", f"SELECT minx, miny, maxx, maxy FROM cons UNION ALL SELECT minx, miny, maxx, maxy FROM fx_raf UNION ALL {BUFFERED}", least=20)
+ORACLE_SQL["layer_floodplain"] = layer_sql(f"{FLOODED}='Very Low' UNION ALL SELECT ox, oy, ox+s, oy+s//2 FROM fx_shape WHERE shape_kind=1 UNION ALL SELECT ox, oy, ox+s//2, oy+s FROM fx_shape WHERE shape_kind=1")
+ORACLE_SQL["layer_riparian"] = layer_sql(" UNION ALL ".join(f"SELECT ox+s*{a}//4 AS minx, oy+s*{b}//4 AS miny, ox+s*{c}//4 AS maxx, oy+s*{e}//4 AS maxy FROM fx_shape WHERE shape_kind=2" for a, b, c, e in ((0, 0, 4, 1), (0, 3, 4, 4), (0, 0, 1, 4), (3, 0, 4, 4))), step=5)
+
+
+@query()
+def layer_woodland(spark, d):
+    return L.opportunity(spark, d, "woodland").select(*X.BOX, "area")
+
+
+def woodland_sql() -> str:
+    """The lattice's cells fall into four triangles by their diagonals, along which triangles and diamonds run; k: south, east, north, west."""
+    a, b, c, e = (int(v) // STEP for v in L.AREA)
+    inside = f"x >= {a} AND x < {c} AND y >= {b} AND y < {e}"
+    quarter = "(VALUES (0, 3, 1), (1, 5, 3), (2, 3, 5), (3, 1, 3)) q(k, cu, cv)"  # centres, in sixths of a cell: near enough to tell sides
+    cells = "SELECT shape_kind, ox, oy, s, ox//10 + i AS x, oy//10 + j AS y FROM fx_shape, LATERAL (SELECT unnest(range(CAST(s//10 AS BIGINT))) AS i), LATERAL (SELECT unnest(range(CAST(s//10 AS BIGINT))) AS j) WHERE shape_kind IN (0, 3)"
+    u, v = "((x*10 - ox)*6 + 10*cu)", "((y*10 - oy)*6 + 10*cv)"
+    held = f"CASE shape_kind WHEN 0 THEN {u} + {v} < 6*s ELSE abs({u} - 3*s) + abs({v} - 3*s) < 3*s END"
+    masked = cells_of("SELECT 0 AS g, minx, miny, maxx, maxy FROM cons UNION ALL SELECT 0, minx, miny, maxx, maxy FROM fx_spz WHERE lower(trim(number)) = '3'", STEP)
+    name = "(x*1000000 + y)*4"
+    return with_recursive(
+        fixtures.cte(*LAYER_FX),
+        f"{CONS}, mk AS ({masked}), tri AS (SELECT DISTINCT x, y, k, {name} + k AS id FROM ({cells}) f, {quarter} WHERE {held} AND {inside} AND NOT EXISTS (SELECT 1 FROM mk WHERE mk.x = f.x AND mk.y = f.y)), "
+        f"nb AS (SELECT id AS p, unnest([{name} + (k+1)%4, {name} + (k+3)%4, CASE k WHEN 0 THEN {name} - 4 + 2 WHEN 1 THEN {name} + 4000000 + 3 WHEN 2 THEN {name} + 4 ELSE {name} - 4000000 + 1 END]) AS q FROM tri), "
+        "cc(id, part) USING KEY (id) AS (SELECT id, id FROM tri UNION SELECT was.id, min(now.part) FROM recurring.cc AS was JOIN nb ON nb.p = was.id JOIN cc AS now ON now.id = nb.q WHERE now.part < was.part GROUP BY was.id) "
+        "SELECT CAST(min(CASE k WHEN 1 THEN x*10+5 ELSE x*10 END) AS DOUBLE) AS minx, CAST(min(CASE k WHEN 2 THEN y*10+5 ELSE y*10 END) AS DOUBLE) AS miny, CAST(max(CASE k WHEN 3 THEN x*10+5 ELSE x*10+10 END) AS DOUBLE) AS maxx, CAST(max(CASE k WHEN 0 THEN y*10+5 ELSE y*10+10 END) AS DOUBLE) AS maxy, CAST(count(*)*25 AS DOUBLE) AS area FROM tri JOIN cc USING (id) GROUP BY part",
+    )
+
+
+ORACLE_SQL["layer_woodland"] = woodland_sql()
+
+
+@query()
+def layer_peat(spark, d):
+    return L.opportunity(spark, d, "peat").select(*X.BOX, F.round("area", 6).alias("area"))

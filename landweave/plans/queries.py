@@ -532,60 +532,6 @@ def coverage_validity(spark, d):
 # Polygon layers: area of each feature that is left inside the area of interest
 
 
-def remaining(features: str, mask: str) -> str:
-    """By coordinate compression: boxes ``feat`` minus the union of ``mk``, inside the area of interest."""
-    a, c, b, e = (int(v) for v in L.AREA)
-    return (
-        f", feat AS (SELECT fid, greatest(minx,{a}) AS minx, greatest(miny,{c}) AS miny, least(maxx,{b}) AS maxx, least(maxy,{e}) AS maxy FROM ({features}) WHERE maxx>{a} AND minx<{b} AND maxy>{c} AND miny<{e}), mk AS ({mask}), "
-        "m AS (SELECT f.fid, greatest(f.minx,r.minx) AS minx, greatest(f.miny,r.miny) AS miny, least(f.maxx,r.maxx) AS maxx, least(f.maxy,r.maxy) AS maxy FROM feat f JOIN mk r ON f.maxx>r.minx AND f.minx<r.maxx AND f.maxy>r.miny AND f.miny<r.maxy), "
-        "xs AS (SELECT DISTINCT fid, x FROM (SELECT fid, minx AS x FROM m UNION ALL SELECT fid, maxx FROM m)), ys AS (SELECT DISTINCT fid, y FROM (SELECT fid, miny AS y FROM m UNION ALL SELECT fid, maxy FROM m)), "
-        "xc AS (SELECT fid, x, lead(x) OVER (PARTITION BY fid ORDER BY x) AS x2 FROM xs), yc AS (SELECT fid, y, lead(y) OVER (PARTITION BY fid ORDER BY y) AS y2 FROM ys), "
-        "cells AS (SELECT DISTINCT xc.fid, x, x2, y, y2 FROM xc JOIN yc ON xc.fid=yc.fid JOIN m ON m.fid=xc.fid AND m.minx<=x AND m.maxx>=x2 AND m.miny<=y AND m.maxy>=y2 WHERE x2 IS NOT NULL AND y2 IS NOT NULL), "
-        "c AS (SELECT fid, sum((x2-x)*(y2-y)) AS covered FROM cells GROUP BY 1) "
-        "SELECT f.fid, CAST((f.maxx-f.minx)*(f.maxy-f.miny)-coalesce(covered,0) AS DOUBLE) AS area FROM feat f LEFT JOIN c ON c.fid=f.fid WHERE (f.maxx-f.minx)*(f.maxy-f.miny)-coalesce(covered,0) > 0"
-    )
-
-
-def polygon_layer(spark, d, name):
-    return O.remainder(L.sources(spark, d, name), L.masks(spark, d, name), L.area_of_interest(spark))
-
-
-@query(f", {CONS}" + remaining("SELECT * FROM fx_raf", "SELECT minx, miny, maxx, maxy FROM cons"), *CONS_FX)
-def layer_pond(spark, d):
-    return polygon_layer(spark, d, "pond")
-
-
-BUFFER = "CASE type WHEN 'District' THEN 50 WHEN 'Local' THEN 30 WHEN 'National' THEN 150 WHEN 'Regional' THEN 100 END"
-
-
-@query(
-    f", {CONS}" + remaining("SELECT * FROM fx_flood WHERE risk_band IN ('High','Medium')", f"SELECT minx, miny, maxx, maxy FROM cons UNION ALL SELECT minx, miny, maxx, maxy FROM fx_raf UNION ALL SELECT x1-r, y1-r, x2+r, y2+r FROM (SELECT *, {BUFFER} AS r FROM fx_line) WHERE r IS NOT NULL"),
-    *CONS_FX, "fx_flood",
-)
-def layer_bunds(spark, d):
-    return polygon_layer(spark, d, "bunds")
-
-
-@query(None)
-def layer_floodplain(spark, d):
-    return polygon_layer(spark, d, "floodplain").withColumn("area", F.round("area", 6))
-
-
-@query(None)
-def layer_riparian(spark, d):
-    return polygon_layer(spark, d, "riparian").withColumn("area", F.round("area", 6))
-
-
-@query(None)
-def layer_woodland(spark, d):
-    return polygon_layer(spark, d, "woodland").withColumn("area", F.round("area", 6))
-
-
-@query(None)
-def layer_peat(spark, d):
-    return polygon_layer(spark, d, "peat").withColumn("area", F.round("area", 6))
-
-
 @query("SELECT wb_id AS tile_id, wb_id, fid FROM fx_waterbody", "fx_waterbody")
 def tile_index(spark, d):
     return ledger.tile_ids(fx(spark, d, "fx_waterbody"), "wb_id", "fid").select("tile_id", "wb_id", "fid")
@@ -603,14 +549,6 @@ def validate_layer(spark, d):
     return L.boxes(spark, d, "fx_flood").agg(F.lit(2).alias("layers"), F.count("*").alias("n"), F.bool_and((F.size(e) >= 3) & (G.area(F.col("geom")) > 0)).alias("valid"))
 
 
-@query("SELECT fid, true AS is_valid FROM fx_shape UNION ALL SELECT fid, false FROM fx_shape WHERE shape_kind = 3", "fx_shape")
-def is_valid(spark, d):
-    bow = lambda x: F.struct(F.lit("polygon").alias("kind"), F.array(F.array(F.array(*(G.vertex(F.col("ox") + F.col("s") * a, F.col("oy") + F.col("s") * b) for a, b in ((0, 0), (1, 1), (1, 0), (0, 1), (0, 0)))))).alias("parts"))
-    df = fx(spark, d, "fx_shape")
-    both = df.select((F.col("fid") * 2).alias("g"), "fid", G.shape_polygon().alias("geom")).unionByName(df.filter("shape_kind = 3").select((F.col("fid") * 2 + 1).alias("g"), "fid", bow(0).alias("geom")))
-    return O.validity(both, "g").select("fid", "is_valid")
-
-
 @query("SELECT fid, CAST((minx+maxx)/2.0 AS DOUBLE) AS x, CAST((miny+maxy)/2.0 AS DOUBLE) AS y FROM fx_spz", "fx_spz")
 def rep_point(spark, d):
     return O.representative_points(L.boxes(spark, d, "fx_spz"), "fid")
@@ -781,21 +719,6 @@ def clip_lines(spark, d):
     return pairs.groupBy("fid").agg(F.sum(piece("minx", "maxx") + piece("miny", "maxy")).alias("len"))
 
 
-@query(f"SELECT fid, CAST({SHAPE_AREA} AS DOUBLE) AS area FROM fx_shape", "fx_shape")
-def make_valid(spark, d):
-    # Even-odd slabs give a valid region of any rings; its area is that of valid polygons.
-    return O.union_area(shapes(spark, d).withColumn("own", F.col("fid")), "own").withColumnRenamed("own", "fid").withColumn("area", F.round("area", 6))
-
-
-@query(f"SELECT fid, CAST({SHAPE_AREA} AS DOUBLE) AS area FROM fx_shape", "fx_shape")
-def subdivide(spark, d):
-    # Pieces by grid cell add up to the polygon.
-    cell = 100.0
-    cells = X.dealt(shapes(spark, d).select("fid", *X.BOX), cell).select("fid", (F.col("cx") * cell).cast("double").alias("minx"), (F.col("cy") * cell).cast("double").alias("miny"))
-    pieces = cells.withColumns({"maxx": F.col("minx") + cell, "maxy": F.col("miny") + cell}).withColumn("geom", G.box_polygon())
-    return O.overlay(shapes(spark, d).select("fid", "geom", *X.BOX), pieces, "intersection", same_key=True).select("fid", F.round("area", 6).alias("area"))
-
-
 @query("SELECT fid, CAST(NULL AS VARCHAR) AS alc_grade FROM fx_spz", "fx_spz")
 def enrich_on_fail(spark, d):
     empty = L.boxes(spark, d, "fx_grid1k").filter("fid < 0")
