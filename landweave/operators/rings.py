@@ -42,7 +42,12 @@ def half_edges(region: DataFrame) -> DataFrame:
     upright = sides.filter("xa = xb").select("grp", F.lit("v").alias("axis"), F.col("xa").alias("line"), F.col("y").alias("a"), F.col("top").alias("b"), (-F.col("d")).alias("d"))
     turn = lambda at, d: F.struct(F.col(at).alias("at"), d.alias("d"))
     turns = flat.unionByName(upright).select("grp", "axis", "line", F.explode(F.array(turn("a", F.col("d")), turn("b", -F.col("d")))).alias("t"))
-    turns = turns.groupBy("grp", "axis", "line", F.col("t.at").alias("at")).agg(F.sum("t.d").alias("d")).filter("d <> 0")
+    # Straight sides are also cut where a slanted one ends on them: there the region may be as narrow as a point.
+    ends = slanted.select("grp", F.explode(F.array(F.struct("x1", "y1"), F.struct(F.col("x2").alias("x1"), F.col("y2").alias("y1")))).alias("v"))
+    mark = lambda axis, line, at: F.struct(F.lit(axis).alias("axis"), F.col(line).alias("line"), F.struct(F.col(at).alias("at"), F.lit(0).alias("d")).alias("t"))
+    marks = ends.select("grp", F.explode(F.array(mark("h", "v.y1", "v.x1"), mark("v", "v.x1", "v.y1"))).alias("m")).select("grp", "m.*")
+    turns = turns.withColumn("marked", F.lit(False)).unionByName(marks.withColumn("marked", F.lit(True)))
+    turns = turns.groupBy("grp", "axis", "line", F.col("t.at").alias("at")).agg(F.sum("t.d").alias("d"), F.bool_or("marked").alias("marked")).filter("d <> 0 OR marked")
     along = Window.partitionBy("grp", "axis", "line").orderBy("at")
     run = turns.withColumns({"n": F.sum("d").over(along.rowsBetween(Window.unboundedPreceding, 0)), "to": F.lead("at").over(along)}).filter("n <> 0 AND to IS NOT NULL")
     run = run.withColumns({"p": F.when((F.col("n") > 0) == (F.col("axis") == "h"), F.col("at")).otherwise(F.col("to")), "q": F.when((F.col("n") > 0) == (F.col("axis") == "h"), F.col("to")).otherwise(F.col("at"))})

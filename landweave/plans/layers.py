@@ -13,6 +13,8 @@ from ..operators import graph, touch
 from ..operators import overlay as O
 from ..operators import scoring as S
 from ..operators import spatial as X
+from ..operators.buffer import buffered
+from ..operators.checks import EmptyLayerError
 from ..operators.storage import written
 
 # Metres around a waterline, by its type.
@@ -135,13 +137,20 @@ def masks(spark: SparkSession, sf_dir: str, layer: str) -> DataFrame:
 
 #: Square metres below which a polygon of a layer is left out.
 LEAST_AREA = {"bunds": 20.0}
+#: Metres by which sources are widened first; such layers keep what is left of a cluster together.
+WIDENED = {"peat": 10.0}
 
 
 def opportunity(spark: SparkSession, sf_dir: str, layer: str) -> DataFrame:
     """(layer, geom, box, area): a layer's single polygons. Sources that meet are one cluster, whose polygons are merged while masks are subtracted
     and the area of interest cuts it, so each cell is swept once."""
     start = sources(spark, sf_dir, layer)
+    if start.isEmpty():
+        raise EmptyLayerError(f"{layer}: no sources")
+    if layer in WIDENED:
+        start = written(buffered(start, WIDENED[layer]), "layer-widened")
     roots = graph.connected_components(touch.touching_polygons(start))
     led = start.join(roots.withColumnRenamed("node", "fid"), "fid", "left").withColumn("root", F.coalesce("root", "fid"))
     left = O.remainder(written(led, "layer-sources"), masks(spark, sf_dir, layer), area_of_interest(spark), by="root")
-    return O.single(left, "root").filter(F.col("area") >= LEAST_AREA.get(layer, 0.0)).select(F.lit(layer).alias("layer"), "geom", *X.BOX, "area")
+    whole = left if layer in WIDENED else O.single(left, "root").filter(F.col("area") >= LEAST_AREA.get(layer, 0.0))
+    return whole.select(F.lit(layer).alias("layer"), "geom", *X.BOX, "area")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .. import fixtures
 from ..functions import geometry as G
-from ..operators import graph, repair, touch
+from ..operators import buffer, checks, graph, repair, touch
 from ..operators import overlay as O
 from ..operators import spatial as X
 from ..operators.storage import shared_dir, written
@@ -367,3 +367,27 @@ ORACLE_SQL["layer_woodland"] = woodland_sql()
 @query()
 def layer_peat(spark, d):
     return L.opportunity(spark, d, "peat").select(*X.BOX, F.round("area", 6).alias("area"))
+
+
+# Buffers as polygons
+
+#: A polygon of 64 corners that a circle holds has this share of the circle's radius squared.
+ROUND = "32*sin(pi()/32)"
+
+
+@query(
+    f"SELECT fid, type, CAST(r AS DOUBLE) AS buffer_m, round(2.0*r*(x2-x1+y2-y1) + r*r*{ROUND}, 2) AS area, CAST(x1-r AS DOUBLE) AS minx, CAST(y2+r AS DOUBLE) AS maxy "
+    "FROM (SELECT *, CASE type WHEN 'District' THEN 50 WHEN 'Local' THEN 30 WHEN 'National' THEN 150 WHEN 'Regional' THEN 100 END AS r FROM fx_line) WHERE r IS NOT NULL",
+    "fx_line",
+)
+def buffer_polys(spark, d):
+    """Waterlines as polygons, by the distance of their type."""
+    lines = fx(spark, d, "fx_line").select("fid", "type", G.line(("x1", "y1"), ("x2", "y2")).alias("geom"))
+    known, _ = buffer.keyed(lines, "type", L.BUFFERS)
+    wide = buffer.buffered(known, "buffer_m")
+    return known.drop("geom").join(wide, "fid").select("fid", "type", "buffer_m", F.round("area", 2).alias("area"), F.round("minx", 6).alias("minx"), F.round("maxy", 6).alias("maxy"))
+
+
+@query(f", {REPAIRED} SELECT count(*) AS n, count(*) FILTER (WHERE fixed) AS n_invalid FROM rep", "fx_shape")
+def validate_layer(spark, d):
+    return checks.layer_state(broken(spark, d))

@@ -543,12 +543,6 @@ def tile_halo(spark, d):
     return X.candidates(L.boxes(spark, d, "fx_flood").select("fid", *X.BOX), tiles).groupBy(F.col("r_fid").alias("tile")).agg(F.count("*").alias("n"))
 
 
-@query("SELECT 2 AS layers, count(*) AS n, bool_and(maxx>minx) AS valid FROM fx_flood", "fx_flood")
-def validate_layer(spark, d):
-    e = G.edges(F.col("geom"))
-    return L.boxes(spark, d, "fx_flood").agg(F.lit(2).alias("layers"), F.count("*").alias("n"), F.bool_and((F.size(e) >= 3) & (G.area(F.col("geom")) > 0)).alias("valid"))
-
-
 @query("SELECT fid, CAST((minx+maxx)/2.0 AS DOUBLE) AS x, CAST((miny+maxy)/2.0 AS DOUBLE) AS y FROM fx_spz", "fx_spz")
 def rep_point(spark, d):
     return O.representative_points(L.boxes(spark, d, "fx_spz"), "fid")
@@ -701,14 +695,34 @@ def write_empty_ok(spark, d):
     return spark.read.parquet(landing.write_stage(df, landed(spark, "stages"), "flood", "empty", "2024-01-01"))
 
 
-@query("SELECT DISTINCT dataset, page, objectid FROM fx_page", "fx_page")
+@query("SELECT dataset, count(DISTINCT objectid) AS n, CASE dataset WHEN 'ds1' THEN count(DISTINCT objectid) + 1 WHEN 'ds0' THEN count(DISTINCT objectid) END AS expected, CASE dataset WHEN 'ds1' THEN 'open' ELSE 'closed' END AS state, count(DISTINCT page) AS pages FROM fx_page GROUP BY 1", "fx_page")
 def ingest_pages_stream(spark, d):
+    """Two runs of the stream, the second of which takes up where the first ended; ds1 was told to have one object more, ds2 told nothing."""
     rows, path = fx(spark, d, "fx_page").select("dataset", "page", "objectid"), landed(spark, "landing")
     table, state = landed(spark, "ingested"), landed(spark, "stream")
-    for part in ("page % 2 = 0", "page % 2 = 1"):  # the second run takes up where the first ended
+    for part in ("page % 2 = 0", "page % 2 = 1"):
         rows.filter(part).write.mode("append").json(path)
         landing.ingest_stream(spark, path, table, state)
-    return spark.read.parquet(table)
+    got = landing.ingested(spark, table)
+    told = rows.groupBy("dataset").agg((F.count_distinct("objectid") + F.when(F.first("dataset") == "ds1", 1).otherwise(0)).alias("expected")).filter("dataset <> 'ds2'")
+    pages_got = got.groupBy("dataset").agg(F.count_distinct("page").alias("pages"))
+    return landing.load_state(got, told).join(pages_got, "dataset")
+
+
+TILED = "SELECT fid, risk_band, concat('t', CAST(fid % 7 AS VARCHAR)) AS tile_id FROM fx_flood WHERE risk_band='High'"
+
+
+@query(f"SELECT t.tile_id, CASE t.tile_id WHEN 't6' THEN 0 ELSE count(u.fid) END AS n, CAST(CASE WHEN t.tile_id IN ('t1', 't6') THEN 2 ELSE 1 END AS BIGINT) AS runs, CASE t.tile_id WHEN 't6' THEN 'empty' ELSE concat('ok:', CAST(count(u.fid) AS VARCHAR)) END AS status FROM ({TILED}) t LEFT JOIN ({TILED}) u ON u.fid = t.fid AND (t.tile_id <> 't1' OR t.fid % 2 = 0) GROUP BY 1", "fx_flood")
+def write_tiles(spark, d):
+    """All tiles are written, then two of them anew: t1 with half of its rows, t6 with none. The others' rows stay."""
+    df = fx(spark, d, "fx_flood").filter("risk_band='High'").select("fid", "risk_band", F.concat(F.lit("t"), (F.col("fid") % 7).cast("string")).alias("tile_id"))
+    path, book = landed(spark, "tiles"), landed(spark, "tile-ledger")
+    run = lambda rows, tiles: landing.write_tiles(rows, tiles, path, book, "flood", "opportunity", "2024-01-01")
+    run(df, df.select("tile_id").distinct())
+    run(df.filter("tile_id = 't1' AND fid % 2 = 0"), spark.sql("SELECT explode(array('t1', 't6')) AS tile_id"))
+    state = spark.read.parquet(book).groupBy("tile_id").agg(F.count("*").alias("runs"), F.max_by("status", "at").alias("status"))
+    n = landing.read_tiles(spark, path, df.schema).groupBy("tile_id").agg(F.count("*").alias("n"))
+    return state.join(n, "tile_id", "left").select("tile_id", F.coalesce("n", F.lit(0).cast("long")).alias("n"), "runs", "status")
 
 
 @query("SELECT l.fid, CAST(sum(greatest(0, least(l.x2,b.maxx)-greatest(l.x1,b.minx))+greatest(0, least(l.y2,b.maxy)-greatest(l.y1,b.miny))) AS DOUBLE) AS len FROM fx_line l JOIN fx_waterbody b ON l.x2>=b.minx AND l.x1<=b.maxx AND l.y2>=b.miny AND l.y1<=b.maxy WHERE b.region = 1 GROUP BY 1", "fx_line", "fx_waterbody")

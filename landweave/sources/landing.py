@@ -53,11 +53,73 @@ def write_stage(df: DataFrame, path: str, layer: str, stage: str, run_date: str)
     return out
 
 
+def write_tiles(df: DataFrame, tiles: DataFrame, path: str, ledger: str, layer: str, stage: str, run_date: str) -> None:
+    """Writes the rows of some tiles (column tile_id) under layer, stage, date and tile: only these tiles' folders are replaced, those of others stay.
+
+    ``tiles`` (tile_id) are the tiles that were run; those without rows are emptied. Then one row a tile goes to the ledger (tile_id, layer, stage,
+    run_date, status `ok:n` or `empty`, n), which is what counts: a run that dies before leaves no such row and is simply run again.
+    """
+    spark, part = df.sparkSession, ["layer", "stage", "run_date", "tile_id"]
+    where = {"layer": layer, "stage": stage, "run_date": run_date}
+    rows = df.join(tiles.select("tile_id").distinct(), "tile_id", "left_semi").withColumns({k: F.lit(v) for k, v in where.items()})
+    rows = rows.repartition("tile_id")  # a tile's rows make one file, or few if it is split
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*part).parquet(path)
+    told = read_tiles(spark, path, df.schema).filter(F.expr(" AND ".join(f"{k} = '{v}'" for k, v in where.items()))).groupBy("tile_id").agg(F.count("*").alias("n"))
+    gone = told.join(df.select("tile_id").distinct(), "tile_id", "left_anti").join(tiles.select("tile_id").distinct(), "tile_id", "left_semi")
+    for r in gone.toLocalIterator():  # tiles that had rows and have none now: folders, not rows
+        _remove(spark, f"{path}/" + "/".join(f"{k}={v}" for k, v in where.items()) + f"/tile_id={r.tile_id}")
+    counts = rows.groupBy("tile_id").agg(F.count("*").alias("n"))
+    state = tiles.select("tile_id").distinct().join(counts, "tile_id", "left").withColumn("n", F.coalesce("n", F.lit(0).cast("long")))
+    state = state.withColumn("status", F.when(F.col("n") > 0, F.concat(F.lit("ok:"), F.col("n").cast("string"))).otherwise("empty")).withColumns({k: F.lit(v) for k, v in where.items()})
+    state.withColumn("at", F.current_timestamp()).write.mode("append").parquet(ledger)
+
+
+def read_tiles(spark: SparkSession, path: str, schema) -> DataFrame:
+    """All tiles written so far, typed as ``schema``; an empty table is one too."""
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields if f.name != "tile_id"]
+    return spark.read.schema(", ".join([*fields, "layer string", "stage string", "run_date string", "tile_id string"])).parquet(path)
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+PAGES = "dataset string, page long, objectid long"
+
+
 def ingest_stream(spark: SparkSession, landing: str, table: str, checkpoint: str) -> None:
-    """Adds landed pages (JSON lines: dataset, page, objectid) to a table once each: pages already stored are not read again."""
+    """Adds landed pages (JSON lines: dataset, page, objectid) to a table once each: files already read are not read again.
 
-    def store(batch: DataFrame, _: int) -> None:
-        batch.dropDuplicates(["dataset", "page", "objectid"]).write.mode("append").parquet(table)
+    A batch is written to the folder of its number, in place of what is there, so one that is replayed after a crash is stored once.
+    """
+
+    def store(batch: DataFrame, number: int) -> None:
+        batch.dropDuplicates(["dataset", "page", "objectid"]).write.mode("overwrite").parquet(f"{table}/batch={number}")
 
-    stream = spark.readStream.schema("dataset string, page long, objectid long").json(landing)
+    stream = spark.readStream.schema(PAGES).json(landing)
     stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
+def ingested(spark: SparkSession, table: str) -> DataFrame:
+    """(dataset, page, objectid) of all batches, once each: a page that was landed twice counts once."""
+    return spark.read.schema(PAGES + ", batch long").parquet(table).select("dataset", "page", "objectid").distinct()
+
+
+class PartialLoadError(RuntimeError):
+    """A load that ended has fewer (or more) objects than the service told."""
+
+
+def load_state(got: DataFrame, told: DataFrame) -> DataFrame:
+    """Per dataset of ``told`` (dataset, expected) or ``got``: n, expected and state: `closed` where they agree or none was told, else `open`."""
+    n = got.groupBy("dataset").agg(F.count_distinct("objectid").alias("n"))
+    both = n.join(told, "dataset", "full").withColumn("n", F.coalesce("n", F.lit(0).cast("long")))
+    return both.select("dataset", "n", "expected", F.when(F.col("expected").isNull() | (F.col("n") == F.col("expected")), "closed").otherwise("open").alias("state"))
+
+
+def close_load(got: DataFrame, told: DataFrame) -> DataFrame:
+    """``load_state`` once every dataset is closed; PartialLoadError with dataset, expected and got else."""
+    state = load_state(got, told)
+    if rows := state.filter("state = 'open'").orderBy("dataset").limit(20).collect():
+        raise PartialLoadError("; ".join(f"{r.dataset}: expected {r.expected}, got {r.n}" for r in rows))
+    return state
