@@ -4,6 +4,8 @@ import pytest
 from landweave.plans.queries import ORACLE_SQL, QUERIES
 
 DATA = "/root/testdata/sf0.001"
+#: Round corners have no closed form once they are merged; tested in test_buffer.py and test_layers.py.
+WITHOUT_SQL = {"layer_peat"}
 TABLES = "region nation customer supplier part orders lineitem events".split()
 
 
@@ -20,6 +22,7 @@ def test_query_equals_sql(spark, duck, name):
     df = QUERIES[name](spark, DATA)
     columns = sorted(df.columns)
     got = sorted((tuple(map(str, r)) for r in df.select(*columns).collect()))
+    assert (name in ORACLE_SQL) != (name in WITHOUT_SQL)
     if name in ORACLE_SQL:
         want = duck.execute(f"SELECT {', '.join(columns)} FROM ({ORACLE_SQL[name]})").fetchall()
         assert got == sorted(tuple(map(str, r)) for r in want)
