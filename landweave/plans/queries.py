@@ -15,7 +15,7 @@ from ..operators import scoring as S
 from ..operators import spatial as X
 from ..sources import landing, pages
 from . import layers as L
-from . import polygons  # noqa: F401  registers its queries
+from . import lines, polygons  # noqa: F401  register their queries
 from .registry import ORACLE_SQL, QUERIES, query  # noqa: F401
 
 fx = fixtures.layer
@@ -203,13 +203,6 @@ def buffer_keyed(spark, d):
     return X.near_segments(L.points(spark, d), lines, "r")
 
 
-@query("SELECT fid, k AS n, CAST(x1 + CASE WHEN x2>x1 THEN 100*k ELSE 0 END AS DOUBLE) AS x, CAST(y1 + CASE WHEN y2>y1 THEN 100*k ELSE 0 END AS DOUBLE) AS y FROM (SELECT *, unnest(range(0, CAST(ceil((x2-x1+y2-y1)/100.0) AS BIGINT))) AS k FROM fx_line WHERE type='Local' AND x2-x1+y2-y1 >= 100)", "fx_line")
-def sample_along(spark, d):
-    lines = fx(spark, d, "fx_line").filter("type = 'Local'").withColumn("len", F.hypot(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1"))).filter("len >= 100")
-    at = lines.withColumn("n", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("len") / 100) - 1)))
-    return at.select("fid", "n", (F.col("x1") + (F.col("x2") - F.col("x1")) * (100 * F.col("n") / F.col("len"))).alias("x"), (F.col("y1") + (F.col("y2") - F.col("y1")) * (100 * F.col("n") / F.col("len"))).alias("y"))
-
-
 AREA = "greatest(0, least(a.maxx,b.maxx)-greatest(a.minx,b.minx))*greatest(0, least(a.maxy,b.maxy)-greatest(a.miny,b.miny))"
 
 
@@ -725,14 +718,6 @@ def write_tiles(spark, d):
     return state.join(n, "tile_id", "left").select("tile_id", F.coalesce("n", F.lit(0).cast("long")).alias("n"), "runs", "status")
 
 
-@query("SELECT l.fid, CAST(sum(greatest(0, least(l.x2,b.maxx)-greatest(l.x1,b.minx))+greatest(0, least(l.y2,b.maxy)-greatest(l.y1,b.miny))) AS DOUBLE) AS len FROM fx_line l JOIN fx_waterbody b ON l.x2>=b.minx AND l.x1<=b.maxx AND l.y2>=b.miny AND l.y1<=b.maxy WHERE b.region = 1 GROUP BY 1", "fx_line", "fx_waterbody")
-def clip_lines(spark, d):
-    lines = fx(spark, d, "fx_line").select("fid", F.col("x1").cast("double").alias("minx"), F.col("y1").cast("double").alias("miny"), F.col("x2").cast("double").alias("maxx"), F.col("y2").cast("double").alias("maxy"))
-    pairs = X.candidates(lines, L.boxes(spark, d, "fx_waterbody").filter("region = 1").select(*X.BOX))
-    piece = lambda lo, hi: F.greatest(F.lit(0.0), F.least(hi, f"r_{hi}") - F.greatest(lo, f"r_{lo}"))
-    return pairs.groupBy("fid").agg(F.sum(piece("minx", "maxx") + piece("miny", "maxy")).alias("len"))
-
-
 @query("SELECT fid, CAST(NULL AS VARCHAR) AS alc_grade FROM fx_spz", "fx_spz")
 def enrich_on_fail(spark, d):
     empty = L.boxes(spark, d, "fx_grid1k").filter("fid < 0")
