@@ -15,6 +15,7 @@ from ..operators import scoring as S
 from ..operators import spatial as X
 from ..operators.buffer import buffered
 from ..operators.checks import EmptyLayerError
+from ..operators.enrich import Join, enriched, resolve  # noqa: F401
 from ..operators.storage import written
 
 # Metres around a waterline, by its type.
@@ -36,12 +37,6 @@ def zones(df: DataFrame, wanted: list[str], column: str = "number") -> DataFrame
     return df if found is None else df.filter(F.lower(F.trim(found)).isin([w.strip().lower() for w in wanted]))
 
 
-def resolve(columns: list[str], name: str, part: str | None = None) -> str | None:
-    """The column of that name in any case, else the first that contains ``part``; geometry never."""
-    known = [c for c in columns if c != "geom"]
-    return next((c for c in known if c.lower() == name.lower()), None) or (next((c for c in known if part.lower() in c.lower()), None) if part else None)
-
-
 def buffered_box(lines: DataFrame, distance) -> DataFrame:
     """Axis-parallel lines widened by a distance, square at the ends, as polygons."""
     d = F.lit(distance) if not hasattr(distance, "alias") else distance
@@ -74,17 +69,36 @@ def leaky(spark: SparkSession, sf_dir: str) -> DataFrame:
     return written(candidates.join(where.filter("flooded AND NOT ruled_out AND bounded").select("fid"), "fid", "left_semi"), "leaky-points")
 
 
-ENRICH = [
-    ("fx_waterbody", {"wb_id": "WB_ID", "wb_name": "WB_NAME"}),
-    ("fx_landcover", {"mode": "CEH_LU"}),
-    ("fx_grid1k", {"alc_grade": "alc_grade", "soil_group": "sl_grp", "prioritisation": "rch_pt", "class": "prio_hb"}),
+#: The seven joins in their order.
+JOINS = [
+    Join("water bodies", rename={"WB_ID": "WB_ID", "WB_NAME": "WB_NAME"}),
+    Join("land cover", rename={"mode": "CEH_LU"}),
+    Join("agricultural land", rename={"alc_grade": "alc_grade"}),
+    Join("soil", rename={"SOIL_GROUP": "sl_grp", "SOIL_TEX": "sl_tex", "SOIL_DEPTH": "sl_dep"}),
+    Join("recharge", column_match={"prioriti": "rch_pt"}, on_fail="raise", repaired=True, report=True),
+    Join("habitats", column_match={"class": "prio_hb"}),
+    Join("woodland sensitivity", column_match={"sensit": "wood_s"}, repaired=True),
 ]
 
 
-def enrich(spark: SparkSession, sf_dir: str, layer: DataFrame, specs=ENRICH) -> DataFrame:
-    """Attributes of the first polygon (least fid) of each layer that holds the point; nothing there: nulls."""
-    sides = {name: (boxes(spark, sf_dir, name).select("fid", "geom", *X.BOX, *(F.col(a).cast("string").alias(b) for a, b in columns.items())), list(columns.values())) for name, columns in specs}
-    return X.join_all(layer, sides)
+def joined_layer(spark: SparkSession, sf_dir: str, dataset: str) -> DataFrame:
+    """The stand-in for a dataset that is joined; KeyError for others. Soil has no depth, recharge covers two thirds of the square."""
+    grid = boxes(spark, sf_dir, "fx_grid1k")
+    found = {
+        "water bodies": lambda: boxes(spark, sf_dir, "fx_waterbody"),
+        "land cover": lambda: boxes(spark, sf_dir, "fx_landcover"),
+        "agricultural land": lambda: grid.select("fid", "alc_grade", "geom", *X.BOX),
+        "soil": lambda: grid.select("fid", "soil_group", F.concat(F.lit("TEX"), F.col("fid") % 3).alias("Soil_Tex"), "geom", *X.BOX),
+        "recharge": lambda: grid.filter("fid % 3 <> 0").select("fid", F.col("prioritisation").alias("PRIORITISATION"), "geom", *X.BOX),
+        "habitats": lambda: grid.select("fid", "class", "geom", *X.BOX),
+        "woodland sensitivity": lambda: boxes(spark, sf_dir, "fx_spz").withColumnRenamed("number", "sensitivit"),
+    }
+    return found[dataset]()
+
+
+def enrich(spark: SparkSession, sf_dir: str, layer: DataFrame, joins: list[Join] = JOINS, **options) -> DataFrame:
+    """Attributes of the first polygon (least fid) of each of the joined layers that holds the point; nothing there: nulls."""
+    return enriched(layer, joins, lambda dataset: joined_layer(spark, sf_dir, dataset), **options)
 
 
 def leaky_prioritised(spark: SparkSession, sf_dir: str) -> DataFrame:

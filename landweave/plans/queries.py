@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from dataclasses import replace
 
 from pyspark.sql import functions as F
 
@@ -13,6 +14,7 @@ from ..operators import ledger, storage
 from ..operators import overlay as O
 from ..operators import scoring as S
 from ..operators import spatial as X
+from ..operators.enrich import Join, report
 from ..sources import landing, pages
 from . import layers as L
 from . import lines, polygons  # noqa: F401  register their queries
@@ -259,17 +261,26 @@ LEAKY = f", {FLOOD}, {CONS}, mk AS (SELECT minx, miny, maxx, maxy FROM cons UNIO
 LEAKY_FX = ("fx_point", "fx_flood", *CONS_FX, "fx_boundary")
 
 
-def at(layer: str, alias: str, columns: dict[str, str]) -> str:
-    firsts = ", ".join(f"min_by({c}, m.fid) AS {n}" for c, n in columns.items())
-    return f"{alias} AS (SELECT p.fid AS pid, {firsts} FROM lk p JOIN {layer} m ON p.x BETWEEN m.minx AND m.maxx AND p.y BETWEEN m.miny AND m.maxy GROUP BY 1)"
+def first_in(layer: str, alias: str, columns: dict[str, str], of: str = "lk") -> str:
+    firsts = ", ".join(f"min_by(struct_pack(v := {c}), m.fid) AS {n}" for c, n in columns.items())
+    return f"{alias} AS (SELECT p.fid AS pid, {firsts} FROM {of} p JOIN {layer} m ON p.x BETWEEN m.minx AND m.maxx AND p.y BETWEEN m.miny AND m.maxy GROUP BY 1)"
 
 
-ENRICHED = (
-    LEAKY + ", " + at("fx_waterbody", "e1", {"wb_id": "WB_ID", "wb_name": "WB_NAME"}) + ", " + at("fx_landcover", "e2", {"mode": "CEH_LU"}) + ", "
-    + at("fx_grid1k", "e3", {"struct_pack(v := alc_grade)": "a", "struct_pack(v := soil_group)": "b", "struct_pack(v := prioritisation)": "c", "struct_pack(v := class)": "dd"})
-    + ", en AS (SELECT fid, x, y, WB_ID, WB_NAME, CEH_LU, a.v AS alc_grade, b.v AS sl_grp, c.v AS rch_pt, dd.v AS prio_hb FROM lk LEFT JOIN e1 ON e1.pid=fid LEFT JOIN e2 ON e2.pid=fid LEFT JOIN e3 ON e3.pid=fid)"
-)
-ENRICHED_FX = (*LEAKY_FX, "fx_waterbody", "fx_grid1k")
+SEVEN = ("WB_ID", "WB_NAME", "CEH_LU", "alc_grade", "sl_grp", "sl_tex", "sl_dep", "rch_pt", "prio_hb", "wood_s")
+
+
+def enriched_sql(of: str = "lk") -> str:
+    """CTEs up to ``en``: fid, x, y of ``of`` with the columns of the seven joins."""
+    return (
+        first_in("fx_waterbody", "e1", {"wb_id": "a1", "wb_name": "a2"}, of) + ", " + first_in("fx_landcover", "e2", {"mode": "a3"}, of) + ", "
+        + first_in("fx_grid1k", "e3", {"alc_grade": "a4", "soil_group": "a5", "'TEX' || (m.fid % 3)": "a6", "class": "a9"}, of) + ", " + first_in("(SELECT * FROM fx_grid1k WHERE fid % 3 <> 0)", "e4", {"prioritisation": "a8"}, of) + ", " + first_in("fx_spz", "e5", {"number": "a10"}, of)
+        + f", en AS (SELECT fid, x, y, a1.v AS WB_ID, a2.v AS WB_NAME, a3.v AS CEH_LU, a4.v AS alc_grade, a5.v AS sl_grp, a6.v AS sl_tex, CAST(NULL AS VARCHAR) AS sl_dep, a8.v AS rch_pt, a9.v AS prio_hb, a10.v AS wood_s FROM {of} "
+        "LEFT JOIN e1 ON e1.pid=fid LEFT JOIN e2 ON e2.pid=fid LEFT JOIN e3 ON e3.pid=fid LEFT JOIN e4 ON e4.pid=fid LEFT JOIN e5 ON e5.pid=fid)"
+    )
+
+
+ENRICHED = LEAKY + ", " + enriched_sql()
+ENRICHED_FX = (*LEAKY_FX, "fx_waterbody", "fx_grid1k")  # land cover and zones are among the constraints
 CODE = "TRY_CAST(CEH_LU AS INT)"
 SUB = [S.sql_case(CODE, S.LAND_COVER_SCORES), S.sql_case("alc_grade", S.GRADE_SCORES), f"coalesce({S.sql_case('prio_hb', S.HABITAT_SCORES)}, 0.5)", S.sql_case("sl_grp", S.SOIL_SCORES), f"coalesce({S.sql_case('rch_pt', S.RECHARGE_SCORES)}, 0.0)"]
 SCORED = ENRICHED + ", sc AS (SELECT *, " + ", ".join(f"CAST({s} AS DOUBLE) AS s{i}" for i, s in enumerate(SUB)) + " FROM en)"
@@ -277,14 +288,20 @@ COUNT = "(" + " + ".join(f"(CASE WHEN s{i} IS NULL THEN 0 ELSE 1 END)" for i in
 MEAN = "round((" + " + ".join(f"coalesce(s{i}, 0)" for i in range(5)) + f")/{COUNT}, 6)"
 
 
-@query(f"{SCORED} SELECT fid, x, y, WB_ID, WB_NAME, {S.sql_case(CODE, S.LAND_COVER)} AS CEH_LU, alc_grade, sl_grp, rch_pt, prio_hb, CAST({COUNT} AS INT) AS n_prio_scores, {MEAN} AS tot_prio FROM sc", *ENRICHED_FX)
+@query(f"{SCORED} SELECT fid, x, y, WB_ID, WB_NAME, {S.sql_case(CODE, S.LAND_COVER)} AS CEH_LU, {', '.join(SEVEN[3:])}, CAST({COUNT} AS INT) AS n_prio_scores, {MEAN} AS tot_prio FROM sc", *ENRICHED_FX)
 def layer_leaky(spark, d):
     return L.leaky_prioritised(spark, d).withColumn("tot_prio", F.round("tot_prio", 6)).drop(*X.BOX)
 
 
-@query(f"{ENRICHED} SELECT fid, WB_ID, WB_NAME, CEH_LU, alc_grade, sl_grp, rch_pt, prio_hb FROM en", *ENRICHED_FX)
+@query(f"{ENRICHED} SELECT fid, {', '.join(SEVEN)} FROM en", *ENRICHED_FX)
 def enrich_seven(spark, d):
-    return L.enrich(spark, d, L.leaky(spark, d)).drop("x", "y", *X.BOX)
+    return L.enrich(spark, d, L.leaky(spark, d)).select("fid", *SEVEN)
+
+
+@query(f", rp AS (SELECT fid, minx+20 AS x, miny+15 AS y FROM fx_raf), {enriched_sql('rp')} SELECT fid, {', '.join(SEVEN)} FROM en", "fx_raf", "fx_waterbody", "fx_landcover", "fx_grid1k", "fx_spz")
+def enrich_polygons(spark, d):
+    """The seven joins for polygons, by their representative points."""
+    return L.enrich(spark, d, L.boxes(spark, d, "fx_raf"), area=L.boxes(spark, d, "fx_boundary")).select("fid", *SEVEN)
 
 
 GRID_SCORES = f"SELECT fid, {S.sql_case('alc_grade', S.GRADE_SCORES)} AS alc, {S.sql_case('soil_group', S.SOIL_SCORES)} AS sl, {S.sql_case('class', S.HABITAT_SCORES)} AS hb0, {S.sql_case('prioritisation', S.RECHARGE_SCORES)} AS rch0 FROM fx_grid1k"
@@ -386,9 +403,11 @@ def zonal_mean(spark, d):
     return X.zonal_mean(fx(spark, d, "fx_pixel"), L.boxes(spark, d, "fx_waterbody"), "value", -9999.0).withColumn("mean_value", F.round("mean_value", 6))
 
 
-@query(f"{ENRICHED} SELECT count(*) AS n, count(CEH_LU) AS with_cover, count(alc_grade) AS with_grade FROM en", *ENRICHED_FX)
+@query(f"{ENRICHED}, c AS (SELECT 'recharge' AS dataset, 'rch_pt' AS \"column\", rch_pt AS value FROM en UNION ALL SELECT 'land cover', 'CEH_LU', CEH_LU FROM en), t AS (SELECT dataset, count(*) AS n, count(value) AS n_hit FROM c GROUP BY 1) SELECT c.dataset, \"column\" AS name, value, n, n_hit, round(100.0*n_hit/n, 6) AS pct, count(*) AS n_value, n_hit = 0 AS no_match FROM c JOIN t ON t.dataset=c.dataset GROUP BY ALL", *ENRICHED_FX)
 def enrich_report(spark, d):
-    return L.enrich(spark, d, L.leaky(spark, d)).agg(F.count("*").alias("n"), F.count("CEH_LU").alias("with_cover"), F.count("alc_grade").alias("with_grade"))
+    joins = [replace(j, report=j.dataset in ("recharge", "land cover")) for j in L.JOINS]
+    rows = report(L.enrich(spark, d, L.leaky(spark, d), joins), joins)
+    return rows.withColumnRenamed("column", "name").withColumn("pct", F.round(100 * F.col("n_hit") / F.col("n"), 6))
 
 
 # Ledger, merge and run control
@@ -718,8 +737,10 @@ def write_tiles(spark, d):
     return state.join(n, "tile_id", "left").select("tile_id", F.coalesce("n", F.lit(0).cast("long")).alias("n"), "runs", "status")
 
 
-@query("SELECT fid, CAST(NULL AS VARCHAR) AS alc_grade FROM fx_spz", "fx_spz")
+@query(f", rp AS (SELECT fid, minx AS x, miny AS y FROM fx_spz), {enriched_sql('rp')} SELECT fid, alc_grade, CAST(NULL AS VARCHAR) AS sl_grp, CAST(NULL AS VARCHAR) AS rch_pt, CAST(NULL AS VARCHAR) AS no_such FROM en", "fx_spz", "fx_waterbody", "fx_landcover", "fx_grid1k")
 def enrich_on_fail(spark, d):
-    empty = L.boxes(spark, d, "fx_grid1k").filter("fid < 0")
-    points = X.as_points(fx(spark, d, "fx_spz").select("fid", F.col("minx").alias("x"), F.col("miny").alias("y")))
-    return X.join_first(points, empty, ["alc_grade"]).select("fid", "alc_grade")
+    """A dataset that can't be loaded and one that only warns give nulls, and so does one without coverage on a tile; the others are joined."""
+    points = fx(spark, d, "fx_spz").select("fid", F.col("minx").alias("x"), F.col("miny").alias("y"))
+    joins = [Join("unknown", rename={"SOIL_GROUP": "sl_grp"}), Join("recharge", column_match={"prioriti": "rch_pt"}, on_fail="raise"), Join("agricultural land", rename={"alc_grade": "alc_grade", "other": "no_such"})]
+    far = L.area_of_interest(spark).withColumns({c: F.col(c) + 1e6 for c in X.BOX})
+    return L.enrich(spark, d, points, joins, area=far, tile=True).drop("x", "y")
