@@ -78,15 +78,16 @@ def _joined(features: DataFrame, own: DataFrame, other: DataFrame, key: str, cel
     return out.filter(F.col("area") >= min_area)
 
 
-def remainder(features: DataFrame, mask: DataFrame, area_of_interest: DataFrame, key: str = "fid", by: str | None = None, cell: float = CELL) -> DataFrame:
+def remainder(features: DataFrame, mask: DataFrame, area_of_interest: DataFrame, key: str = "fid", by: str | None = None, cell: float = CELL, same_key: bool = False) -> DataFrame:
     """(by, geom, box, area) of features minus the mask, inside the union of the area of interest; a layer's first stage.
 
     Features of one ``by`` (each for itself, if it isn't given) are merged. Cells that the area of interest doesn't reach are not swept.
+    ``same_key``: what is merged meets only the area of its own ``by``.
     """
     by = by or key
     own = written(cut(features.select(*dict.fromkeys([by, key]), "geom", *BOX), *dict.fromkeys([by, key]), cell=cell), "feature-pieces")
-    out, aoi = _mask(mask, cell), _mask(area_of_interest, cell)
-    inside = written(_near(own, by, aoi, cell), "near-pieces")
+    out, aoi = _mask(mask, cell), _mask(area_of_interest, cell, by if same_key else None)
+    inside = written(_near(own, by, aoi, cell, same_key), "near-pieces")
     cells = inside.select(by, *PLACE).distinct()
     there = own.join(cells, cells.columns, "left_semi")
     edges = [_side(there, by, "a", key), _side(_near(there, by, out, cell), by, "b", "poly"), _side(inside, by, "c", "poly")]

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .. import fixtures
 from ..functions import geometry as G
-from ..operators import buffer, checks, graph, repair, touch
+from ..operators import buffer, checks, graph, repair, tiles, touch
 from ..operators import overlay as O
 from ..operators import spatial as X
 from ..operators.storage import shared_dir, written
@@ -391,3 +391,39 @@ def buffer_polys(spark, d):
 @query(f", {REPAIRED} SELECT count(*) AS n, count(*) FILTER (WHERE fixed) AS n_invalid FROM rep", "fx_shape")
 def validate_layer(spark, d):
     return checks.layer_state(broken(spark, d))
+
+
+# Tiles that are worked out with what lies around them
+
+WIDE = "SELECT 0 AS g, minx-20 AS minx, miny-20 AS miny, maxx+20 AS maxx, maxy+20 AS maxy FROM fx_flood WHERE risk_band='High'"
+
+
+@query()
+def tile_halo(spark, d):
+    """High flood extent widened by 20 m, less runoff attenuation, tile by tile."""
+    part = tiles.dealt_to_tiles(L.boxes(spark, d, "fx_flood").filter("risk_band = 'High'"), waterbodies(spark, d), 250.0)
+    wide = part.withColumns({c: F.col(c) + (-20 if c.startswith("min") else 20) for c in X.BOX}).withColumn("geom", G.box_polygon())
+    return told(tiles.polygons_by_tile(wide, L.boxes(spark, d, "fx_raf"), waterbodies(spark, d)), "tile_id", "status")
+
+
+def waterbodies(spark, d):
+    return L.boxes(spark, d, "fx_waterbody").withColumnRenamed("wb_id", "tile_id")
+
+
+ORACLE_SQL["tile_halo"] = with_recursive(
+    fixtures.cte("fx_flood", "fx_raf", "fx_waterbody"),
+    f"f AS ({cells_of(WIDE, STEP)}), m AS ({cells_of(RAF, STEP)}), k AS (SELECT w.fid AS g, f.x, f.y FROM (SELECT x, y FROM f ANTI JOIN m USING (x, y)) f JOIN fx_waterbody w ON f.x*10>=w.minx AND f.x*10<w.maxx AND f.y*10>=w.miny AND f.y*10<w.maxy), "
+    f"{labelled_sql('SELECT * FROM k')}, {told_sql(STEP)} SELECT w.wb_id AS tile_id, CASE WHEN g IS NULL THEN 'empty' ELSE concat('ok:', n_parts::VARCHAR) END AS status, {SHAPED} FROM fx_waterbody w LEFT JOIN res ON res.g=w.fid",
+)
+
+
+@query("SELECT w.wb_id AS tile_id, count(p.fid) AS n, CASE count(p.fid) WHEN 0 THEN 'empty' ELSE concat('ok:', CAST(count(p.fid) AS VARCHAR)) END AS status FROM fx_waterbody w LEFT JOIN fx_point p ON p.x BETWEEN w.minx AND w.maxx AND p.y BETWEEN w.miny AND w.maxy AND p.fid IN (SELECT q.fid FROM fx_point q JOIN fx_spz s ON q.x > s.minx-30 AND q.x < s.maxx+30 AND q.y > s.miny-30 AND q.y < s.maxy+30) GROUP BY 1", "fx_waterbody", "fx_point", "fx_spz")
+def tile_halo_points(spark, d):
+    """Points within zones widened by 30 m, tile by tile."""
+    part = tiles.dealt_to_tiles(L.points(spark, d), waterbodies(spark, d), 250.0)
+    wide = L.boxes(spark, d, "fx_spz").withColumns({c: F.col(c) + (-30 if c.startswith("min") else 30) for c in X.BOX}).withColumn("geom", G.box_polygon())
+    near = part.join(X.touching(part.select("copy", *X.BOX), wide.select("geom", *X.BOX)).filter(STRICT).select("copy").distinct(), "copy", "left_semi")
+    return tiles.states(tiles.points_by_tile(near, waterbodies(spark, d)).groupBy("tile_id").agg(F.count("*").alias("n")), waterbodies(spark, d))
+
+
+STRICT = "minx > r_minx AND minx < r_maxx AND miny > r_miny AND miny < r_maxy"

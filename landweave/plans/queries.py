@@ -15,7 +15,7 @@ from ..operators import overlay as O
 from ..operators import scoring as S
 from ..operators import spatial as X
 from ..operators.enrich import Join, report
-from ..sources import landing, pages
+from ..sources import landing, page_cache, pages
 from . import layers as L
 from . import lines, polygons  # noqa: F401  register their queries
 from .registry import ORACLE_SQL, QUERIES, query  # noqa: F401
@@ -527,12 +527,22 @@ def page_cap_audit(spark, d):
     return fx(spark, d, "fx_page").groupBy("page", "dataset").agg(F.count("*").alias("n")).filter("n = 34")
 
 
-@query("SELECT dataset, page FROM (SELECT DISTINCT dataset, page FROM fx_page) WHERE page % 10 = 9", "fx_page")
+CACHE = (
+    ", q AS (SELECT dataset AS layer, count(*) AS told FROM fx_page GROUP BY 1), led AS (SELECT DISTINCT dataset AS layer, page*34 AS pos FROM fx_page WHERE page % 10 <> 9), "
+    "off AS (SELECT layer, unnest(range(0, told, 34)) AS pos FROM q WHERE layer IN ('ds0', 'ds1') UNION ALL SELECT layer, unnest(range(0, max(pos) + 35, 34)) FROM led WHERE layer = 'ds2' GROUP BY 1), "
+    "gap AS (SELECT layer, pos FROM off WHERE layer = 'ds1' OR (layer, pos) NOT IN (SELECT (layer, pos) FROM led))"
+)
+
+
+@query(f"{CACHE} SELECT layer, pos, 'fetch' AS what FROM gap WHERE layer <> 'ds2' UNION ALL SELECT layer, min(pos), 'fetch' FROM gap WHERE layer = 'ds2' GROUP BY 1 UNION ALL SELECT layer, pos, 'stale' FROM led WHERE layer = 'ds1'", "fx_page")
 def page_cache_identity(spark, d):
-    want = fx(spark, d, "fx_page").select("dataset", "page").distinct()
-    identity = F.sha2(F.to_json(F.struct(F.col("dataset").alias("layer"), F.lit(34).alias("page_size"))), 256)
-    stored = want.filter("page % 10 <> 9").withColumn("identity", identity)
-    return want.withColumn("identity", identity).join(stored, ["identity", "page"], "left_anti").select("dataset", "page")
+    """Pages were got under three queries, but for every tenth. Since then ds1 has another filter; how many objects ds2 has was never told."""
+    rows = fx(spark, d, "fx_page")
+    asked = rows.groupBy(F.col("dataset").alias("layer")).agg(F.when(F.first("dataset") != "ds2", F.count("*")).alias("told"))
+    asked = asked.withColumns({"box": F.array(*(F.lit(v) for v in L.AREA)), "condition": F.lit(None).cast("string"), "page_size": F.lit(34).cast("long")})
+    stored = page_cache.identified(asked).join(rows.select(F.col("dataset").alias("layer"), (F.col("page") * 34).alias("offset"), "page").distinct(), "layer").filter("page % 10 <> 9").select("layer", "identity", "offset")
+    now = asked.withColumn("condition", F.when(F.col("layer") == "ds1", "risk = 'High'"))
+    return page_cache.missing(now, stored).select("layer", F.col("offset").alias("pos"), F.lit("fetch").alias("what")).unionByName(page_cache.stale(now, stored).select("layer", F.col("offset").alias("pos"), F.lit("stale").alias("what")))
 
 
 @query("SELECT a.page, a.n AS a, b.n AS b FROM (SELECT page, count(*) FILTER (dataset='ds0' AND page % 5 <> 0) AS n FROM fx_page GROUP BY 1) a JOIN (SELECT page, count(*) FILTER (dataset='ds1') AS n FROM fx_page GROUP BY 1) b ON a.page=b.page WHERE a.n = 0 AND b.n > 0", "fx_page")
@@ -549,12 +559,6 @@ def tile_index(spark, d):
     return ledger.tile_ids(fx(spark, d, "fx_waterbody"), "wb_id", "fid").select("tile_id", "wb_id", "fid")
 
 
-@query("SELECT w.fid AS tile, count(*) AS n FROM fx_waterbody w JOIN fx_flood f ON f.maxx>=w.minx-250 AND f.minx<=w.maxx+250 AND f.maxy>=w.miny-250 AND f.miny<=w.maxy+250 GROUP BY 1", "fx_waterbody", "fx_flood")
-def tile_halo(spark, d):
-    tiles = L.boxes(spark, d, "fx_waterbody").select("fid", (F.col("minx") - 250).alias("minx"), (F.col("miny") - 250).alias("miny"), (F.col("maxx") + 250).alias("maxx"), (F.col("maxy") + 250).alias("maxy"))
-    return X.candidates(L.boxes(spark, d, "fx_flood").select("fid", *X.BOX), tiles).groupBy(F.col("r_fid").alias("tile")).agg(F.count("*").alias("n"))
-
-
 @query("SELECT fid, CAST((minx+maxx)/2.0 AS DOUBLE) AS x, CAST((miny+maxy)/2.0 AS DOUBLE) AS y FROM fx_spz", "fx_spz")
 def rep_point(spark, d):
     return O.representative_points(L.boxes(spark, d, "fx_spz"), "fid")
