@@ -212,15 +212,18 @@ def repeated_lines(docs: DataFrame, least: int = LEAST_CHARS, exact: int | None
     return equal.unionByName(near).distinct().groupBy("k", "h").agg(F.sort_array(F.collect_list("line")).alias("lines"))
 
 
-def line_dedup(docs: DataFrame, least: int = LEAST_CHARS, exact: int | None = None) -> DataFrame:
+def line_dedup(docs: DataFrame, least: int = LEAST_CHARS, exact: int | None = None, added: tuple[str, str] = ("n_lines", "removed_lines")) -> DataFrame:
     """The rows and columns of ``docs`` with lines removed from ``text``, and ``n_lines`` (before) and ``removed_lines`` (their numbers from 0).
 
+    ``added`` gives these two other names; columns of ``docs`` that have the names are replaced by them.
+
     A line of ``least`` characters or more goes if an earlier line, by doc_id and place, is equal or one edit (a character inserted, left
     out or replaced) away, whether that one stays or not. Of shorter lines, where one edit is no evidence, those of ``exact`` characters or
     more that are not blank go if an earlier one is equal; without ``exact`` they all stay. Lines end at a new line. A null doc_id is the last.
     Documents of one doc_id with different texts are ordered by the hash of the text; equal rows are one document and keep the
-    same lines. A null text stays null, with no lines; an empty one has one line. Columns may have any names but the two that are added.
+    same lines. A null text stays null, with no lines; an empty one has one line. Other columns may have any names.
     """
+    docs = docs.drop(*added)
     taken = repeated_lines(docs, least, exact)
     columns = docs.columns
     at = columns.index("text")
@@ -244,7 +247,7 @@ def line_dedup(docs: DataFrame, least: int = LEAST_CHARS, exact: int | None = No
                 n.append(len(own))
                 texts.append("\n".join(x for i, x in enumerate(own) if i not in drop) if drop else "\n".join(own))
                 gone.append(sorted(drop))
-            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if i == at else batch.column(i) for i in range(len(columns))] + [pa.array(n, pa.int64()), pa.array(gone, pa.list_(pa.int64()))], [*columns, "n_lines", "removed_lines"])
+            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if i == at else batch.column(i) for i in range(len(columns))] + [pa.array(n, pa.int64()), pa.array(gone, pa.list_(pa.int64()))], [*columns, *added])
 
-    schema = ", ".join(f"`{c}` {kinds[c]}" for c in columns) + ", n_lines long, removed_lines array<long>"
+    schema = ", ".join(f"`{c}` {kinds[c]}" for c in columns) + f", `{added[0]}` long, `{added[1]}` array<long>"
     return joined.mapInArrow(run, schema)

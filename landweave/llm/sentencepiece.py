@@ -111,8 +111,9 @@ class Codec:
         return out
 
     def decode(self, ids: list[int]) -> str:
+        """The text of ids, without the mark in front if they start with one. An id that isn't in the vocabulary raises KeyError; bytes that are no UTF-8 raise ValueError."""
         surface = self.surface
-        return b"".join(map(surface.__getitem__, ids))[1:].decode("utf-8")
+        return b"".join(map(surface.__getitem__, ids)).removeprefix(b" ").decode("utf-8")
 
 
 _CODEC: dict = {}

@@ -57,6 +57,15 @@ def test_small_lengths_and_columns(spark, documents):
     assert ld.line_dedup(documents(rows)).columns == [*documents(rows).columns, "n_lines", "removed_lines"]
 
 
+def test_names_of_added_columns(spark, documents):
+    from pyspark.sql import functions as F
+
+    docs = documents([(1, "a" * 30 + "\nb"), (2, "a" * 30)]).withColumns({"n_lines": F.lit("own"), "removed_lines": F.lit(7)})
+    assert {r.doc_id: (r.n_lines, r.removed_lines) for r in ld.line_dedup(docs).collect()} == {1: (2, []), 2: (1, [0])}
+    got = {r.doc_id: (r.n_lines, r.removed_lines, r.n, r.gone) for r in ld.line_dedup(docs, added=("n", "gone")).collect()}
+    assert got == {1: ("own", 7, 2, []), 2: ("own", 7, 1, [0])}
+
+
 def test_empty_table(spark, documents):
     assert run(documents([])) == []
 

@@ -27,3 +27,17 @@ def test_stages_and_run(spark, tmp_path):
     assert ids[3] == [i for i in ids[2] if i != 42]
     got = cp.run(spark, str(tmp_path)).collect()
     assert sorted(r.doc_id for r in got) == ids[3] and all(r.restored for r in got)
+
+
+def test_clashing_names_and_odd_rows(spark):
+    """Columns of any name come back as they were; null and empty texts, a null doc_id and repeated rows stay in line dedup."""
+    rows = [(1, "one line\ntwo", 7), (2, "one line\nthree", 7), (3, None, None), (4, "", 0), (None, "four", 4), (None, "four", 4), (5, "one line", 8)]
+    schema = "doc_id long, text string, n_chars long"
+    docs = spark.createDataFrame(rows, schema).selectExpr("*", "'own' AS n_lines", "'own' AS removed_lines", "'own' AS h", "'own' AS lines", "'own' AS text_hash", "'own' AS rank")
+    got = cp.line_dedup_stage(spark, docs, "")
+    assert got.columns == docs.columns
+    want = [(1, "one line\ntwo", 7), (2, "three", 5), (3, None, None), (4, "", 0), (None, "four", 4), (None, "four", 4)]
+    assert sorted(map(str, got.select("doc_id", "text", "n_chars").collect())) == sorted(map(str, spark.createDataFrame(want, schema).collect()))
+    assert {tuple(r) for r in got.drop("doc_id", "text", "n_chars").collect()} == {("own",) * 6}
+    one = cp.ngram_join_stage(spark, docs, "")
+    assert one.columns == docs.columns and sorted(str(r.doc_id) for r in one.collect()) == ["1", "2", "3", "4", "5", "None"]

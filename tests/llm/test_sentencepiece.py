@@ -37,6 +37,16 @@ def test_best_score_and_round_trip(vocabulary):
         assert abs(sum(score[i] for i in ids if i in score) + unknown * len(in_bytes) - brute(vocabulary, text)) < 1e-6
 
 
+def test_ids_that_no_text_gave(vocabulary):
+    own = sp.Codec(vocabulary)
+    ids = {p: i for p, i, _ in vocabulary["pieces"]}
+    assert own.decode([ids["a"]]) == "a" and own.decode([ids[sp.SPACE + "a"], ids["a"]]) == "aa" and own.decode([]) == ""
+    with pytest.raises(KeyError):
+        own.decode([10**9])
+    with pytest.raises(ValueError, match="utf-8"):
+        own.decode([own.in_bytes[0xFF]])
+
+
 def test_mark_in_text(vocabulary):
     own = sp.Codec(vocabulary)
     for text in ("▁", "a▁ b▁▁", " ▁\n▁"):
