@@ -10,16 +10,23 @@ from landweave.llm.storage import fresh, text_key, written
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents predicted to be toxic go. The machine is fitted on labelled documents of this stage's input."""
+    """Documents predicted to be toxic go. The machine is fitted on labelled documents of this stage's input.
+
+    Null and empty texts and rows without a doc_id are judged by their text alone: null ones stay. Equal texts stay or go together.
+    """
     machine = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return toxicity.drop_toxic(docs, machine)
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that repeat an earlier one go; n_chars is counted anew. Documents of which nothing is left go too."""
-    kept = line_dedup.line_dedup(docs, exact=1)
-    lost = (F.size("removed_lines") > 0) & (F.trim(F.regexp_replace("text", r"\s+", " ")) == "")
-    text_length = F.when(F.size("removed_lines") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+    """Lines that repeat an earlier one go; n_chars is counted anew. Documents of which nothing is left go too.
+
+    Null and empty texts stay. Repeated rows are one document and keep the same lines.
+    """
+    n_lines, removed = fresh(docs, "n_lines"), fresh(docs, "removed_lines")
+    kept = line_dedup.line_dedup(docs, exact=1, added=(n_lines, removed))
+    lost = (F.size(removed) > 0) & (F.trim(F.regexp_replace("text", r"\s+", " ")) == "")
+    text_length = F.when(F.size(removed) > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
     return kept.filter(~F.coalesce(lost, F.lit(False))).withColumn("n_chars", text_length).select(*docs.columns)
 
 
@@ -41,12 +48,12 @@ def ngram_join_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
+    """Documents that hold a benchmark item go. Null and empty texts stay; equal texts stay or go together."""
     return decontamination.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def sentencepiece_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document, with whether decoding restores its text."""
+    """Token ids of each document, with whether decoding restores its text. A null text has no ids, as an empty one; repeated rows have a row each."""
     return sentencepiece.encode(docs)
 
 
