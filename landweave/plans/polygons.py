@@ -413,7 +413,9 @@ def waterbodies(spark, d):
 ORACLE_SQL["tile_halo"] = with_recursive(
     fixtures.cte("fx_flood", "fx_raf", "fx_waterbody"),
     f"f AS ({cells_of(WIDE, STEP)}), m AS ({cells_of(RAF, STEP)}), k AS (SELECT w.fid AS g, f.x, f.y FROM (SELECT x, y FROM f ANTI JOIN m USING (x, y)) f JOIN fx_waterbody w ON f.x*10>=w.minx AND f.x*10<w.maxx AND f.y*10>=w.miny AND f.y*10<w.maxy), "
-    f"{labelled_sql('SELECT * FROM k')}, {told_sql(STEP)} SELECT w.wb_id AS tile_id, CASE WHEN g IS NULL THEN 'empty' ELSE concat('ok:', n_parts::VARCHAR) END AS status, {SHAPED} FROM fx_waterbody w LEFT JOIN res ON res.g=w.fid",
+    f"{labelled_sql('SELECT * FROM k')}, {told_sql(STEP)}, pinch AS (SELECT g AS pg, count(*) AS closed FROM pts WHERE m IN (6,9) GROUP BY 1) "
+    # Where a part meets itself in a corner it closes one more hole, which Euler's number of cells connected by sides doesn't count.
+    "SELECT w.wb_id AS tile_id, CASE WHEN g IS NULL THEN 'empty' ELSE concat('ok:', n_parts::VARCHAR) END AS status, area, n_parts, n_holes + coalesce(closed, 0) AS n_holes, n_vertices, corners FROM fx_waterbody w LEFT JOIN res ON res.g=w.fid LEFT JOIN pinch ON pg=w.fid",
 )
 
 
