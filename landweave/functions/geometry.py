@@ -24,6 +24,10 @@ def box_polygon() -> Column:
     return make("polygon", F.array(F.array(ring)))
 
 
+def point(x: str = "x", y: str = "y") -> Column:
+    return make("point", F.array(F.array(F.array(vertex(F.col(x), F.col(y))))))
+
+
 def line(*ends: tuple[str, str]) -> Column:
     return make("line", F.array(F.array(F.array(*(vertex(x, y) for x, y in ends)))))
 

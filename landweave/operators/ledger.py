@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from datetime import datetime
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 KINDS = ["ok", "empty", "missing", "error", "skip"]
@@ -38,6 +40,35 @@ def crosscheck(rows: DataFrame) -> DataFrame:
     return out.withColumn("warn", F.col("contributing") != F.col("ok"))
 
 
+def crosscheck_stages(contributions: DataFrame, rows: DataFrame) -> DataFrame:
+    """(layer, stage, contributing, ok, warn): tiles that contributed to a stage (tile_id, layer, stage) against those that the ledger says are ok.
+
+    Later stages must agree. Of an opportunity stage a tile may have something in its halo only, so it warns of fewer. An empty ledger warns of nothing.
+    """
+    ok = with_kind(rows).filter("kind = 'ok'").groupBy("layer").agg(F.count_distinct("tile_id").alias("ok"))
+    both = contributions.groupBy("layer", "stage").agg(F.count_distinct("tile_id").alias("contributing")).join(ok, "layer", "left").withColumn("ok", F.coalesce("ok", F.lit(0).cast("long")))
+    off = F.when(F.col("stage").isin("supplemented", "prioritised"), F.col("contributing") != F.col("ok")).otherwise((F.col("stage") == "opportunity") & (F.col("contributing") < F.col("ok")))
+    return both.select("layer", "stage", "contributing", "ok", (F.lit(not rows.isEmpty()) & F.coalesce(off, F.lit(False))).alias("warn"))
+
+
+def error_tiles(rows: DataFrame) -> DataFrame:
+    """(tile_id, n): tiles with an error in some layer, and in how many."""
+    return with_kind(rows).filter("kind = 'error'").groupBy("tile_id").agg(F.count_distinct("layer").alias("n"))
+
+
+def progress(tiles: DataFrame, now: Column | datetime, late_after: float) -> DataFrame:
+    """One row of tiles (tile_id, started, ended; null: not yet) at ``now``: total, done, running, minutes since the first start, tiles a minute, minutes left (null: unknown), late (running for over ``late_after`` minutes)."""
+    now = now if isinstance(now, Column) else F.lit(now)
+    minutes = lambda a, b: (F.unix_micros(b.cast("timestamp")) - F.unix_micros(a.cast("timestamp"))) / 6e7
+    going = F.col("started").isNotNull() & F.col("ended").isNull()
+    sums = tiles.agg(
+        F.count("*").alias("total"), F.count("ended").alias("done"), F.count_if(going).alias("running"), minutes(F.min("started"), now).alias("minutes"),
+        F.count_if(going & (minutes(F.col("started"), now) > late_after)).alias("late"),
+    )
+    sums = sums.withColumn("rate", F.when(F.col("minutes") > 0, F.col("done") / F.col("minutes")).otherwise(0.0))
+    return sums.withColumn("minutes_left", F.try_divide(F.col("total") - F.col("done"), F.col("rate")))
+
+
 def tile_ids(rows: DataFrame, name: str, order: str) -> DataFrame:
     """``tile_id``: the name with runs of other characters as underscores (``wb`` and the order where nothing is left); repeats are numbered."""
     plain = F.regexp_replace(F.regexp_replace(name, "[^A-Za-z0-9]+", "_"), "^_+|_+$", "")

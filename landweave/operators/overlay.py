@@ -123,6 +123,34 @@ def iou(left: DataFrame, right: DataFrame, cell: float = CELL) -> DataFrame:
     return sums.select(F.when(F.col("either") == 0, 1.0).otherwise(F.col("shared") / F.col("either")).alias("iou"), "shared", "area_left", "area_right")
 
 
+def iou_by(left: DataFrame, right: DataFrame, by: str, cell: float = CELL) -> DataFrame:
+    """(by, iou, shared, area_left, area_right) for each ``by`` that either layer has, as ``iou`` has them for whole layers; 0 where there is no area."""
+    group = F.xxhash64(by).alias("_g")
+    sides = [_side(cut(df.select(group, F.monotonically_increasing_id().alias("poly"), "geom", *BOX), "_g", "poly", cell=cell), "_g", s, "poly") for df, s in ((left, "a"), (right, "b"))]
+    total = lambda where: F.coalesce(F.sum(F.when(F.expr(where), F.col("area"))), F.lit(0.0))
+    sums = sweep(sides[0].unionByName(sides[1]), cell).groupBy("grp").agg(total("a > 0 AND b > 0").alias("shared"), total("a > 0").alias("area_left"), total("b > 0").alias("area_right"), total("a + b > 0").alias("either"))
+    names = left.select(by).unionByName(right.select(by)).distinct().withColumn("grp", F.xxhash64(by))
+    iou = F.when(F.col("either") > 0, F.col("shared") / F.col("either")).otherwise(0.0).alias("iou")
+    return names.join(sums, "grp", "left").select(by, iou, *(F.coalesce(c, F.lit(0.0)).alias(c) for c in ("shared", "area_left", "area_right")))
+
+
+def overlaps(polygons: DataFrame, key: str = "fid", cell: float = CELL) -> DataFrame:
+    """(a, b, area), a < b: pairs of a layer's polygons that share some area. Only pieces of two that are near in a cell are swept, a pair in a cell at a time."""
+    pieces = written(cut(polygons.select(key, "geom", *BOX), key, cell=cell), "overlap-pieces")
+    boxes = cell_boxes(pieces, key, cell=cell)
+    met = boxes.join(boxes.select(F.col(key).alias("b"), *PLACE, *(F.col(c).alias(f"r_{c}") for c in BOX)), PLACE).filter(f"{key} < b AND maxx > r_minx AND minx < r_maxx AND maxy > r_miny AND miny < r_maxy")
+    met = written(met.select(F.col(key).alias("a"), "b", F.xxhash64(key, "b").alias("grp"), *PLACE), "overlap-pairs")
+    side = lambda of: _side(pieces.withColumnRenamed(key, of).join(met.select("grp", of, *PLACE), [of, *PLACE]), "grp", of, of)
+    areas = sweep(side("a").unionByName(side("b")), cell).filter("a > 0 AND b > 0").groupBy("grp").agg(F.sum("area").alias("area")).filter("area > 0")
+    return met.select("grp", "a", "b").distinct().join(areas, "grp").select("a", "b", "area")
+
+
+def doubled_area(polygons: DataFrame, cell: float = CELL) -> float:
+    """Summed area that pairs of a layer's polygons share: one sweep of the layer, whatever number of pairs."""
+    pieces = cut(polygons.select(F.lit(0).alias("all"), F.monotonically_increasing_id().alias("poly"), "geom", *BOX), "all", "poly", cell=cell)
+    return sweep(_side(pieces, "all", "a", "poly"), cell).agg(F.coalesce(F.sum(F.col("area") * F.col("a") * (F.col("a") - 1) / 2), F.lit(0.0)).alias("area")).first().area
+
+
 def representative_points(polygons: DataFrame, key: str) -> DataFrame:
     """(key, x, y): the middle of the widest inner stretch of a scan line half way between the vertices around the box's middle."""
     rows = polygons.select(key, F.posexplode(G.edges(F.col("geom"))).alias("n", "e"), ((F.col("miny") + F.col("maxy")) / 2).alias("half")).select(key, "half", "e.*")

@@ -17,7 +17,7 @@ from ..operators import spatial as X
 from ..operators.enrich import Join, report
 from ..sources import landing, page_cache, pages
 from . import layers as L
-from . import lines, polygons  # noqa: F401  register their queries
+from . import lines, polygons, reports  # noqa: F401  register their queries
 from .registry import ORACLE_SQL, QUERIES, query  # noqa: F401
 
 fx = fixtures.layer
@@ -436,11 +436,6 @@ def tile_todo(spark, d):
     return ledger.todo(fx(spark, d, "fx_waterbody").select(F.col("wb_id").alias("tile_id")), ledger.latest(fx(spark, d, "fx_status")))
 
 
-@query("SELECT layer, count(*) AS n, min(ts) AS first_ts, max(ts) AS last_ts FROM fx_status GROUP BY 1", *LEDGER)
-def tile_progress(spark, d):
-    return fx(spark, d, "fx_status").groupBy("layer").agg(F.count("*").alias("n"), F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"))
-
-
 @query("SELECT DISTINCT layer FROM fx_status WHERE contains(lower(layer), 'pond') OR contains(lower(layer), 'peat')", *LEDGER)
 def tile_refetch(spark, d):
     subs = F.array(F.lit("POND"), F.lit("peat"))
@@ -475,21 +470,11 @@ def merge_latest(spark, d):
     return X.newest(fx(spark, d, "fx_status"), ["tile_id", "layer"], [F.to_date("ts").desc(), F.desc("event_id")]).select("tile_id", "layer", "event_id")
 
 
-@query("SELECT layer, count(DISTINCT tile_id) AS tiles, count(*) AS features FROM fx_status GROUP BY 1", *LEDGER)
-def merge_tiles(spark, d):
-    return fx(spark, d, "fx_status").groupBy("layer").agg(F.countDistinct("tile_id").alias("tiles"), F.count("*").alias("features"))
-
-
 @query("SELECT x, y, min(fid) AS fid FROM fx_point GROUP BY 1, 2", "fx_point")
 def merge_dedup_points(spark, d):
     return fx(spark, d, "fx_point").groupBy("x", "y").agg(F.min("fid").alias("fid"))
 
 
-@query(f"{LATEST} SELECT layer, count(DISTINCT tile_id) FILTER (status LIKE 'ok:%' OR status='empty') AS contributing, count(DISTINCT tile_id) FILTER (status LIKE 'ok:%') AS ok, count(DISTINCT tile_id) FILTER (status LIKE 'ok:%' OR status='empty') <> count(DISTINCT tile_id) FILTER (status LIKE 'ok:%') AS warn FROM lt GROUP BY 1", *LEDGER)
-def merge_crosscheck(spark, d):
-    return ledger.crosscheck(ledger.latest(fx(spark, d, "fx_status")))
-
-
 @query(f"{LATEST} SELECT status, count(*) AS n FROM (SELECT split_part(status,':',1) AS status FROM lt) GROUP BY 1", *LEDGER)
 def fetch_manifest(spark, d):
     return ledger.with_kind(ledger.latest(fx(spark, d, "fx_status"))).groupBy(F.col("kind").alias("status")).agg(F.count("*").alias("n"))
@@ -592,29 +577,6 @@ def reproject(spark, d):
     return R.to_grid(places, "lat", "lon").select("fid", F.round("east", 2).alias("east"), F.round("north", 2).alias("north"))
 
 
-PARITY = "a AS (SELECT layer, count(*) AS n FROM fx_status WHERE event_id % 2 = 0 GROUP BY 1), b AS (SELECT layer, count(*) AS n FROM fx_status WHERE event_id % 3 = 0 AND layer <> 'bunds' GROUP BY 1)"
-
-
-@query(f", {PARITY} SELECT a.layer, a.n, b.n AS ref, CASE WHEN b.n IS NULL THEN 'no_reference' WHEN abs(a.n-b.n)*10 > b.n THEN 'count' ELSE '' END AS flags FROM a LEFT JOIN b ON a.layer=b.layer", *LEDGER)
-def agg_parity(spark, d):
-    rows = fx(spark, d, "fx_status")
-    own = rows.filter("event_id % 2 = 0").groupBy("layer").agg(F.count("*").alias("n"))
-    ref = rows.filter("event_id % 3 = 0 AND layer <> 'bunds'").groupBy("layer").agg(F.count("*").alias("ref"))
-    return own.join(ref, "layer", "left").withColumn("flags", F.when(F.col("ref").isNull(), "no_reference").when(F.abs(F.col("n") - F.col("ref")) * 10 > F.col("ref"), "count").otherwise(""))
-
-
-@query("SELECT layer, count(DISTINCT tile_id) AS tiles, count(*) AS features, bool_and(status <> 'error:KeyError:x') AS valid FROM fx_status GROUP BY 1", *LEDGER)
-def agg_merge_report(spark, d):
-    return fx(spark, d, "fx_status").groupBy("layer").agg(F.countDistinct("tile_id").alias("tiles"), F.count("*").alias("features"), F.bool_and(F.col("status") != "error:KeyError:x").alias("valid"))
-
-
-@query("SELECT layer, count(*) AS n, round(100.0*count(*)/sum(count(*)) OVER (), 6) AS pct FROM fx_status GROUP BY 1", *LEDGER)
-def review_pack(spark, d):
-    rows = fx(spark, d, "fx_status")
-    by, total = rows.groupBy("layer").agg(F.count("*").alias("n")), rows.agg(F.count("*").alias("t"))
-    return by.crossJoin(F.broadcast(total)).select("layer", "n", F.round(100 * F.col("n") / F.col("t"), 6).alias("pct"))
-
-
 @query("SELECT split_part(status,':',1) AS result, count(*) AS n, round(100.0*count(*)/sum(count(*)) OVER (),6) AS pct FROM fx_status GROUP BY 1", *LEDGER)
 def audit_summary(spark, d):
     kind = ledger.with_kind(fx(spark, d, "fx_status"))
