@@ -5,22 +5,25 @@ Layers are rows (layer, geom, box, others); ``geom.kind`` is `polygon` or `point
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
 from . import overlay as O
 from .repair import validity
 from .spatial import BOX, CELL
+from .storage import written
 
 # Percent of area, and share of the union, that a layer may be off before it is flagged.
 AREA_TOLERANCE, LEAST_IOU = 10.0, 0.8
 
 
-def measured(rows: DataFrame, *by: str) -> DataFrame:
-    """(by, n, area_ha): features and, for groups of polygons only, their summed hectares (null else)."""
+def measured(rows: DataFrame, *by: str, more: Sequence[Column] = ()) -> DataFrame:
+    """(by, n, area_ha, more): features and, for groups of polygons only, their summed hectares (null else), with ``more`` aggregates."""
     polygon = F.bool_and(F.coalesce(F.col("geom.kind") == "polygon", F.lit(False)))
-    return rows.groupBy(*by).agg(F.count("*").alias("n"), F.when(polygon, F.sum(G.area(F.col("geom"))) / 10000).alias("area_ha"))
+    return rows.groupBy(*by).agg(F.count("*").alias("n"), F.when(polygon, F.sum(G.area(F.col("geom"))) / 10000).alias("area_ha"), *more)
 
 
 def parity(own: DataFrame, reference: DataFrame, by: str = "layer", cell: float = CELL) -> DataFrame:
@@ -61,7 +64,7 @@ def merged(rows: DataFrame, key: str = "fid") -> DataFrame:
     Of a tile's runs the newest counts. A point on the edge of two tiles is in both: layers of points keep one of each place (least tile, then key).
     """
     newest = rows.groupBy(*STAGE, "tile_id").agg(F.max("run_date").alias("run_date"))
-    rows = rows.join(newest, [*STAGE, "tile_id", "run_date"], "left_semi")
+    rows = written(rows.join(newest, [*STAGE, "tile_id", "run_date"], "left_semi").select(*rows.columns), "newest-tiles")
     points = rows.groupBy(*STAGE).agg(F.bool_and(F.coalesce(F.col("geom.kind") == "point", F.lit(False))).alias("points"))
     told = rows.join(points, STAGE)
     one = told.filter("points").groupBy(*STAGE, "minx", "miny").agg(F.min_by(F.struct(*rows.columns), F.struct("tile_id", key)).alias("row")).select("row.*")
@@ -71,7 +74,7 @@ def merged(rows: DataFrame, key: str = "fid") -> DataFrame:
 def merge_report(rows: DataFrame, key: str = "fid", cell: float = CELL) -> DataFrame:
     """(layer, stage, tiles, features, area_ha, valid) of ``merged`` rows; area is 0 for layers that aren't polygons only, points are valid."""
     own = rows.select(*STAGE, "tile_id", "geom", *BOX, F.xxhash64(*STAGE, "tile_id", key).alias("row_key"))
+    own = written(own, "merge-rows")
     bad = validity(own.filter("geom.kind = 'polygon'"), "row_key", cell).filter("NOT is_valid").groupBy(*STAGE).agg(F.count("*").alias("n_bad"))
-    tiles = own.groupBy(*STAGE).agg(F.count_distinct("tile_id").alias("tiles"))
-    out = measured(own, *STAGE).join(tiles, STAGE).join(bad, STAGE, "left")
+    out = measured(own, *STAGE, more=[F.count_distinct("tile_id").alias("tiles")]).join(bad, STAGE, "left")
     return out.select(*STAGE, "tiles", F.col("n").alias("features"), F.coalesce("area_ha", F.lit(0.0)).alias("area_ha"), F.col("n_bad").isNull().alias("valid"))
