@@ -56,6 +56,7 @@ def review_pack(own: DataFrame, reference: DataFrame, path: str, by: str = "laye
 
 
 STAGE = ["layer", "stage"]
+BROADCAST_LAYERS = 1 << 16
 
 
 def merged(rows: DataFrame, key: str = "fid") -> DataFrame:
@@ -66,7 +67,9 @@ def merged(rows: DataFrame, key: str = "fid") -> DataFrame:
     newest = rows.groupBy(*STAGE, "tile_id").agg(F.max("run_date").alias("run_date"))
     rows = written(rows.join(newest, [*STAGE, "tile_id", "run_date"], "left_semi").select(*rows.columns), "newest-tiles")
     points = rows.groupBy(*STAGE).agg(F.bool_and(F.coalesce(F.col("geom.kind") == "point", F.lit(False))).alias("points"))
-    told = rows.join(points, STAGE)
+    points = written(points, "point-layers")
+    # A layer may hold most rows, so they aren't dealt by it while the list of layers is small.
+    told = rows.join(F.broadcast(points) if points.count() <= BROADCAST_LAYERS else points, STAGE)
     one = told.filter("points").groupBy(*STAGE, "minx", "miny").agg(F.min_by(F.struct(*rows.columns), F.struct("tile_id", key)).alias("row")).select("row.*")
     return told.filter("NOT points").select(*rows.columns).unionByName(one)
 
