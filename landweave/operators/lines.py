@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
-from .cells import PLACE, cut
+from .cells import PLACE, cut, numbered
 from .spatial import BOX, CELL, QUADRANTS
 from .storage import written
 
@@ -93,7 +93,7 @@ def clip(lines: DataFrame, mask: DataFrame, key: str = "fid", cell: float = CELL
     empty mask, null and empty lines give no rows. Keys are distinct.
     """
     pieces = _dealt(segments(lines, key).filter("x1 <> x2 OR y1 <> y2"), cell)
-    polygons = cut(mask.select(F.monotonically_increasing_id().alias("poly"), "geom", *BOX), "poly", cell=cell)
+    polygons = cut(numbered(mask), "poly", cell=cell)
     right = F.least(F.max("maxx"), ((F.col("cx") + 1) * cell).cast("double"))
     sides = polygons.groupBy("poly", *PLACE).agg(
         F.collect_list(F.struct(*ENDS)).alias("edges"), F.min(F.least("x1", "x2")).alias("minx"), F.min("y1").alias("miny"), right.alias("maxx"), F.max("y2").alias("maxy")

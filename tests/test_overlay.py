@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from landweave.functions import geometry as G
@@ -115,3 +116,18 @@ def test_boundary_rules(spark):
     assert ids(X.clip_points(points, mask)) == [1, 2, 3, 4]
     assert ids(X.keep_within(points, mask.limit(0))) == [] and ids(X.subtract(points, mask.limit(0))) == [1, 2, 3, 4, 5]
     assert {r.fid: r.name for r in X.join_first(points, mask.withColumn("name", F.concat(F.lit("m"), "fid")), ["name"]).collect()} == {1: "m0", 2: "m0", 3: "m0", 4: "m0", 5: None}
+
+
+def test_rows_in_another_order_each_time(spark):
+    """Rows that come from a shuffle have no order of their own: polygons keep their numbers all the same."""
+    rng = random.Random(9)
+    a, b = layer(spark, shapes(rng, 12)), layer(spark, shapes(rng, 20)).coalesce(1)
+
+    def dealt(batches):
+        for batch in batches:
+            yield batch.take(random.sample(range(batch.num_rows), batch.num_rows))
+
+    moved = b.mapInArrow(dealt, b.schema)
+    with_cell = {"cell": 60.0}
+    assert areas(O.overlay(a, moved, "intersection", **with_cell)) == pytest.approx(areas(O.overlay(a, b, "intersection", **with_cell)))
+    assert abs(O.doubled_area(moved, **with_cell) - O.doubled_area(b, **with_cell)) < 1e-6
