@@ -195,7 +195,7 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, share: int) -> Data
     return joined.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-FEW, FINE, BLOCK_BYTES, MATRIX = 24, 4, 1 << 15, 1 << 22
+FEW, FINE, BLOCK_BYTES, MATRIX = 4, 2, 1 << 15, 1 << 22
 
 
 def sketches(texts: DataFrame, words: int, share: int) -> DataFrame:
@@ -281,15 +281,19 @@ def near_in_blocks(mixed: DataFrame, texts: DataFrame, words: int, share: int) -
     spark = mixed.sparkSession
     own = written(sketches(texts.join(mixed.select("s").distinct(), "s"), words, share), "sketches")
     dealt = written(mixed.join(own, "s"), "sketched")
-    sizes = dealt.groupBy("key").agg(F.ceil(F.sum(F.length("own") + F.length("above")) / BLOCK_BYTES).alias("blocks"))
-    blocks = dealt.join(written(sizes, "key-sizes"), "key").groupBy("key", "blocks", F.pmod(F.xxhash64("s"), "blocks").alias("block"))
-    blocks = written(blocks.agg(F.collect_list(F.struct("s", "root", "n", "band", "own", "above")).alias("sets")), "blocks")
+    sizes = dealt.groupBy("key").agg(F.ceil(F.sum(F.length("own") + F.length("above")) / BLOCK_BYTES).alias("blocks"), F.collect_set("band").alias("bands"))
+    dealt, sets = dealt.join(written(sizes, "key-sizes"), "key"), F.collect_list(F.struct("s", "root", "n", "band", "own", "above")).alias("sets")
+    # The sketch for the band above is for sets of that band only.
+    dealt = dealt.withColumn("above", F.when(F.array_contains("bands", F.col("band") + 1), F.col("above")).otherwise(F.lit(b""))).drop("bands")
+    one = dealt.filter("blocks = 1").groupBy("key").agg(sets).select(F.lit(True).alias("same"), F.col("sets").alias("x"), F.col("sets").alias("y"))
+    blocks = dealt.filter("blocks > 1").groupBy("key", "blocks", F.pmod(F.xxhash64("s"), "blocks").alias("block"))
+    blocks = written(blocks.agg(sets), "blocks")
     # The blocks of a large key meet in as many tasks as there are pairs of them.
     x = blocks.select("key", F.col("block").alias("i"), F.expr("explode(sequence(block, blocks - 1))").alias("j"), F.col("sets").alias("x"))
     y = blocks.select("key", F.expr("explode(sequence(0, block))").alias("i"), F.col("block").alias("j"), F.col("sets").alias("y"))
-    met = x.join(y, ["key", "i", "j"])
+    met = x.join(y, ["key", "i", "j"]).select((F.col("i") == F.col("j")).alias("same"), "x", "y").unionByName(one)
     with rows_a_batch(spark, 256):  # of two blocks each
-        return written(met.select((F.col("i") == F.col("j")).alias("same"), "x", "y").mapInArrow(compare, "a long, b long").distinct(), "near-pairs")
+        return written(met.mapInArrow(compare, "a long, b long").distinct(), "near-pairs")
 
 
 def packed_texts(docs: DataFrame) -> DataFrame:

@@ -51,6 +51,24 @@ def test_large_group_of_near_copies_in_blocks(spark, documents, monkeypatch):
     assert run(documents(rows)) == want and 3 < len({r[2] for r in want}) < 50
 
 
+def test_unlinked_sets_of_a_key_are_no_pairs(spark, documents, monkeypatch):
+    rng = random.Random(4)
+    rows = []
+    for i in range(20):
+        words = [f"w{j}" for j in range(150)]
+        for at in rng.sample(range(150), 3):
+            words[at] = f"x{i}-{at}"
+        rows.append((i, " ".join(words)))
+    pairs, verified = [], nj.verified
+
+    def counted(tried, *rest):
+        pairs.append(tried.count())
+        return verified(tried, *rest)
+
+    monkeypatch.setattr(nj, "verified", counted)
+    assert run(documents(rows)) == brute(rows) and sum(pairs) < 100  # all pairs that share a key: 190
+
+
 def test_small_sets_of_all_sizes(spark, documents):
     rng = random.Random(7)
     rows = []
