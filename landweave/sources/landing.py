@@ -31,11 +31,14 @@ MEMBER = "`ms:feature` struct<`_gml:id`: string, `ms:objectid`: long, `ms:datase
 
 
 def gml_features(spark: SparkSession, path: str) -> DataFrame:
-    """Features of GML pages, a file each: (gml_id, objectid, dataset, vertices). Bodies without members (ExceptionReport, HTML) give none; see ``gml_rejected``.
+    """Features of GML pages, any number to a file: (gml_id, objectid, dataset, vertices). Bodies without members (ExceptionReport, HTML) give none; see ``gml_rejected``.
 
     ``gml:posList`` holds x and y in turn; a feature without it has no vertices.
     """
-    rows = spark.read.format("xml").option("rowTag", "wfs:member").schema(MEMBER).load(path).select("`ms:feature`.*")
+    # Files are split where members end, so their number and size don't matter; what stands before a member's start is the page around it.
+    text = spark.read.option("lineSep", "</wfs:member>").text(path).filter(F.col("value").rlike(r"<wfs:member[\s>]"))
+    member = F.concat(F.lit("<wfs:member"), F.substring_index("value", "<wfs:member", -1), F.lit("</wfs:member>"))
+    rows = text.select(F.from_xml(member, MEMBER, {"rowTag": "wfs:member"}).alias("m")).select("m.`ms:feature`.*")
     numbers = F.filter(F.split(F.coalesce("`gml:posList`", F.lit("")), r"\s+"), lambda x: x != "")
     vertices = F.when(F.size(numbers) >= 2, F.transform(F.sequence(F.lit(0), F.size(numbers) - 2, F.lit(2)), lambda i: F.struct(F.get(numbers, i).cast("double").alias("x"), F.get(numbers, i + 1).cast("double").alias("y"))))
     return rows.select(F.col("`_gml:id`").alias("gml_id"), F.col("`ms:objectid`").alias("objectid"), F.col("`ms:dataset`").alias("dataset"), F.coalesce(vertices, F.array().cast("array<struct<x:double,y:double>>")).alias("vertices"))

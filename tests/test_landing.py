@@ -45,3 +45,13 @@ def test_other_tiles_stay(spark, tmp_path):
     run(df.limit(0), "b")
     assert read() == [("a", 2)]
     assert sorted((r.tile_id, r.status) for r in spark.read.parquet(book).collect()) == [("a", "ok:1"), ("a", "ok:2"), ("b", "empty"), ("b", "ok:1"), ("c", "empty")]
+
+
+def test_gml_pages_that_share_a_file(spark, tmp_path):
+    member = lambda i, at: f'<wfs:member><ms:feature gml:id="f{i}"><ms:objectid>{i}</ms:objectid>\n<ms:dataset>a &amp; b</ms:dataset>{at}</ms:feature></wfs:member>'
+    page = lambda *members: '<wfs:FeatureCollection xmlns:wfs="http://www.opengis.net/wfs/2.0">' + "\n".join(members) + "</wfs:FeatureCollection>\n"
+    place = "<gml:posList>1 2 3 4</gml:posList>"
+    (tmp_path / "one.xml").write_text(page(member(1, place), member(2, "")) + "<ows:ExceptionReport>busy</ows:ExceptionReport>\n" + page() + page(member(3, place)))
+    (tmp_path / "two.xml").write_text("<html>wfs:member</html>\n")
+    got = sorted((r.gml_id, r.objectid, r.dataset, [tuple(v) for v in r.vertices]) for r in landing.gml_features(spark, str(tmp_path)).collect())
+    assert got == [("f1", 1, "a & b", [(1.0, 2.0), (3.0, 4.0)]), ("f2", 2, "a & b", []), ("f3", 3, "a & b", [(1.0, 2.0), (3.0, 4.0)])]
