@@ -384,7 +384,7 @@ def buffer_polys(spark, d):
     lines = fx(spark, d, "fx_line").select("fid", "type", G.line(("x1", "y1"), ("x2", "y2")).alias("geom"))
     known, _ = buffer.keyed(lines, "type", L.BUFFERS)
     wide = buffer.buffered(known, "buffer_m")
-    return known.drop("geom").join(wide, "fid").select("fid", "type", "buffer_m", F.round("area", 2).alias("area"), F.round("minx", 6).alias("minx"), F.round("maxy", 6).alias("maxy"))
+    return known.drop("geom").join(wide.hint("merge"), "fid").select("fid", "type", "buffer_m", F.round("area", 2).alias("area"), F.round("minx", 6).alias("minx"), F.round("maxy", 6).alias("maxy"))
 
 
 @query(f", {REPAIRED} SELECT count(*) AS n, count(*) FILTER (WHERE fixed) AS n_invalid FROM rep", "fx_shape")

@@ -46,3 +46,22 @@ def test_checks(spark):
         checks.validated(good.unionByName(bad), "step", strict=True)
     with pytest.raises(checks.EmptyLayerError):
         checks.validated(good.limit(0), "step")
+
+
+def test_single_segments_skip_the_union(spark, monkeypatch):
+    """A capsule by itself is what the union makes of it; only keys with more than one piece are swept."""
+    one, two = [(0.0, 0.0), (70.0, 40.0)], [(0.0, 0.0), (50.0, 0.0), (50.0, 80.0)]
+    rows = [(1, "a", ("line", [[one]])), (2, "a", ("line", [[two]])), (3, "a", ("line", [[[(5.0, 5.0), (5.0, 5.0)]]])), (4, "a", ("line", [[one]])), (4, "a", ("line", [[one[::-1]]]))]
+    df, swept, union = spark.createDataFrame(rows, SCHEMA), [], buffer.O.union
+
+    def kept(pieces, *options):
+        swept.extend(r.fid for r in pieces.collect())
+        return union(pieces, *options)
+
+    monkeypatch.setattr(buffer.O, "union", kept)
+    got = {r.fid: r for r in buffer.buffered(df, 10.0).collect()}
+    assert sorted(swept) == [2, 2, 3, 4, 4] and set(got) == {1, 2, 3, 4}
+    # The same capsule from either end has to be swept, which gives corners and area alike.
+    ring, other = ([(p.x, p.y) for p in got[i].geom.parts[0][0]] for i in (1, 4))
+    assert len(ring) == len(other) and all(abs(a - c) < 1e-5 and abs(b - d) < 1e-5 for (a, b), (c, d) in zip(ring, other, strict=True))
+    assert abs(got[1].area - got[4].area) < 1e-3 and abs(got[1].minx - got[4].minx) < 1e-5
