@@ -57,6 +57,8 @@ def review_pack(own: DataFrame, reference: DataFrame, path: str, by: str = "laye
 
 STAGE = ["layer", "stage"]
 BROADCAST_LAYERS = 1 << 16
+#: Points that one task compares, so that its memory doesn't grow with the layers.
+POINTS_A_TASK = 1 << 18
 
 
 def merged(rows: DataFrame, key: str = "fid") -> DataFrame:
@@ -64,13 +66,16 @@ def merged(rows: DataFrame, key: str = "fid") -> DataFrame:
 
     Of a tile's runs the newest counts. A point on the edge of two tiles is in both: layers of points keep one of each place (least tile, then key).
     """
-    newest = rows.groupBy(*STAGE, "tile_id").agg(F.max("run_date").alias("run_date"))
-    rows = written(rows.join(newest, [*STAGE, "tile_id", "run_date"], "left_semi").select(*rows.columns), "newest-tiles")
+    # Neither runs nor layers are what rows are dealt by while their lists are small: most rows may be of one.
+    small = lambda df: F.broadcast(df) if df.count() <= BROADCAST_LAYERS else df
+    runs = rows.select(*STAGE, "tile_id", "run_date").distinct()
+    newest = written(runs.groupBy(*STAGE, "tile_id").agg(F.max("run_date").alias("run_date")), "newest-runs")
+    rows = written(rows.join(small(newest), [*STAGE, "tile_id", "run_date"], "left_semi").select(*rows.columns), "newest-tiles")
     points = rows.groupBy(*STAGE).agg(F.bool_and(F.coalesce(F.col("geom.kind") == "point", F.lit(False))).alias("points"))
-    points = written(points, "point-layers")
-    # A layer may hold most rows, so they aren't dealt by it while the list of layers is small.
-    told = rows.join(F.broadcast(points) if points.count() <= BROADCAST_LAYERS else points, STAGE)
-    one = told.filter("points").groupBy(*STAGE, "minx", "miny").agg(F.min_by(F.struct(*rows.columns), F.struct("tile_id", key)).alias("row")).select("row.*")
+    told = rows.join(small(written(points, "point-layers")), STAGE)
+    dots = told.filter("points").select(*rows.columns)
+    dots = dots.repartition(max(1, -(-dots.count() // POINTS_A_TASK)), "minx", "miny")
+    one = dots.groupBy(*STAGE, "minx", "miny").agg(F.min_by(F.struct(*rows.columns), F.struct("tile_id", key)).alias("row")).select("row.*")
     return told.filter("NOT points").select(*rows.columns).unionByName(one)
 
 

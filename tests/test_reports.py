@@ -105,3 +105,14 @@ def test_crosscheck_and_progress(spark):
     r = ledger.progress(tiles, at(40), 15.0).first()
     assert (r.total, r.done, r.running, r.minutes, r.rate, r.minutes_left, r.late) == (5, 2, 2, 40.0, 0.05, 60.0, 1)
     assert ledger.progress(tiles.filter("ended IS NULL"), at(40), 15.0).first().minutes_left is None and ledger.progress(tiles.limit(0), at(40), 15.0).first().total == 0
+
+
+def test_points_are_dealt_by_their_number(spark, monkeypatch):
+    """Tasks that compare points get no more of them as layers grow; the result stays."""
+    rows = dots(spark, [(i % 40, i % 50) for i in range(400)]).select(F.lit("a").alias("tile_id"), F.lit("p").alias("layer"), F.lit("s").alias("stage"), F.lit("2024-01-01").alias("run_date"), "fid", "geom", *X.BOX)
+    sides = rows.filter("fid < 1003").withColumn("layer", F.lit("q")).unionByName(rows)
+    want = sorted((r.layer, r.minx, r.miny, r.fid) for r in R.merged(sides).collect())
+    monkeypatch.setattr(R, "POINTS_A_TASK", 20)
+    got = R.merged(sides)
+    assert got.withColumn("task", F.spark_partition_id()).select("task").distinct().count() > 8  # of the session's shuffle partitions
+    assert sorted((r.layer, r.minx, r.miny, r.fid) for r in got.collect()) == want and len(want) == 203
