@@ -116,3 +116,10 @@ def test_points_are_dealt_by_their_number(spark, monkeypatch):
     got = R.merged(sides)
     assert got.withColumn("task", F.spark_partition_id()).select("task").distinct().count() > 8  # of the session's shuffle partitions
     assert sorted((r.layer, r.minx, r.miny, r.fid) for r in got.collect()) == want and len(want) == 203
+
+
+def test_within_boxes_needs_no_sweep(spark, monkeypatch):
+    left = layer(spark, [[square(10, 10, 20)], [[(0, 0), (100, 0), (0, 100)]], [square(90, 90, 20)]])
+    right = layer(spark, [[square(0, 0, 100)], [square(5, 5, 30)]])
+    monkeypatch.setattr(joins, "_within", lambda *a: pytest.fail("swept"))
+    assert sorted(map(tuple, joins.pairs(left, right, "within").collect())) == [(0, 0), (0, 1), (1, 0)]
