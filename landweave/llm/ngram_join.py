@@ -307,6 +307,20 @@ def packed_texts(docs: DataFrame) -> DataFrame:
     return _keyed(docs).mapInArrow(run, "doc_id long, h long, packed binary")
 
 
+def _hubs(members: DataFrame) -> DataFrame:
+    """(s, hubs): the two hubs of most keys of each set that has others than itself."""
+    spokes = members.filter("s <> hub").groupBy("s", "hub").agg(F.sum("w").alias("w"))
+    best = F.slice(F.sort_array(F.collect_list(F.struct("w", "hub")), asc=False), 1, 2)  # a set has no more hubs than keys
+    return spokes.groupBy("s").agg(best.alias("best")).select("s", F.col("best.hub").alias("hubs"))
+
+
+def _mixed(members: DataFrame, roots: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The members with their roots so far, and (key, c, hub_root) of keys that have several roots."""
+    marked = members.join(roots.select(F.col("node").alias("s"), "root"), "s", "left").withColumn("root", F.coalesce("root", "s"))
+    mixed = marked.groupBy("key").agg(F.min("root").alias("p"), F.max("root").alias("q"), F.count("*").alias("c"), F.max(F.when(F.col("s") == F.col("hub"), F.col("root"))).alias("hub_root"))
+    return marked, written(mixed.filter("p < q").select("key", "c", "hub_root"), "mixed")
+
+
 def link_classes(docs: DataFrame, words: int = WORDS, share: int = SHARE) -> tuple[DataFrame, DataFrame]:
     """Summaries of the rows, and (node, root) of the sets that link with others."""
     rows = written(summaries(docs, words), "sets")
@@ -315,25 +329,34 @@ def link_classes(docs: DataFrame, words: int = WORDS, share: int = SHARE) -> tup
     shared = keys.groupBy("key").agg(F.min("s").alias("lo"), F.max("s").alias("hi"), F.count("*").alias("c"), F.bool_and("up").alias("up")).filter("lo < hi AND NOT up")
     shared = written(shared.select("key", "lo", "hi", "c"), "shared-keys")
     members = written(keys.join(shared.filter("c > 2").select("key"), "key").select("key", "s").distinct(), "key-members")
-    # A key's sets are compared with the one among them that has most shared keys, likely the least edited of a group.
+    # A key's hub is the one among its sets that has most shared keys, likely the least edited of a group.
     degree = F.count("*").over(Window.partitionBy("s"))  # a set has no more keys than shingles, give or take
     hub = members.withColumn("degree", degree).groupBy("key").agg(F.max(F.struct("degree", "s")).alias("hub"), F.count("*").alias("c"), *(F.bit_xor(F.xxhash64("s", F.lit(i))).alias(f"x{i}") for i in (0, 1)))
-    # Keys of the same sets give the same pairs, so one of them is enough.
-    hub = written(hub.groupBy("c", "x0", "x1").agg(F.min("key").alias("key"), F.first("hub.s").alias("hub")).select("key", "hub"), "hubs")
+    # Keys of the same sets give the same pairs, so one of them is enough; ``w``: how many it stands for.
+    hub = written(hub.groupBy("c", "x0", "x1").agg(F.min("key").alias("key"), F.first("hub.s").alias("hub"), F.count("*").alias("w")).select("key", "hub", "w"), "hubs")
     members = written(members.join(hub, "key"), "hub-members")
-    pairs = members.filter("s <> hub").select(F.least("s", "hub").alias("a"), F.greatest("s", "hub").alias("b"))
+    # A set is compared with one hub at a time, that of most of its keys at first: there are no more pairs than sets, however many keys a group shares.
+    first = written(_hubs(members).select("s", F.col("hubs")[0].alias("hub")), "first-hubs")
+    pairs = first.select(F.least("s", "hub").alias("a"), F.greatest("s", "hub").alias("b"))
     tried = written(shared.filter("c = 2").select(F.col("lo").alias("a"), F.col("hi").alias("b")).unionByName(pairs).distinct(), "hub-pairs")
-    wanted = tried.select(F.col("a").alias("s")).unionByName(tried.select(F.col("b").alias("s"))).distinct()
+    # A hub may be in no pair yet, if all others of its keys have a better one.
+    wanted = members.select("s").unionByName(tried.select(F.col("a").alias("s"))).unionByName(tried.select(F.col("b").alias("s"))).distinct()
     # A null doc_id is taken only where a set has no other, and is joined as a value.
     least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "h", F.col("n_shingles").alias("n"))).alias("v")
     chosen = rows.filter("n_shingles > 0").groupBy("s").agg(least).join(wanted, "s").select("s", F.col("v.doc_id").alias("d"), F.col("v.h").alias("g"), "v.n")
     texts = packed_texts(docs).join(chosen, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("h") == F.col("g"))).select("s", "n", "packed")
     texts = written(texts.groupBy("s").agg(F.first("n").alias("n"), F.first("packed").alias("packed")), "set-texts")
     roots = connected_components(verified(tried, texts, words, share))
+    # Sets that are not with all their hubs by now have one more try, which joins most groups, so that fewer pairs are left.
+    marked, mixed = _mixed(members, roots)
+    again = _hubs(marked.join(mixed.select("key", "hub_root"), "key").filter("root <> hub_root")).join(first, "s", "left")
+    again = again.select("s", F.get(F.filter("hubs", lambda h: ~h.eqNullSafe(F.col("hub"))), F.lit(0)).alias("hub")).filter("hub IS NOT NULL")
+    again = written(again.select(F.least("s", "hub").alias("a"), F.greatest("s", "hub").alias("b")).distinct().join(tried, ["a", "b"], "left_anti"), "second-pairs")
+    roots = connected_components(roots.toDF("a", "b").unionByName(verified(again, texts, words, share)))
+    tried = tried.unionByName(again)
     # Members of keys whose sets are not all in one component by now.
-    marked = members.join(roots.select(F.col("node").alias("s"), "root"), "s", "left").select("key", "s", F.coalesce("root", "s").alias("root"))
-    mixed = marked.groupBy("key").agg(F.min("root").alias("p"), F.max("root").alias("q"), F.count("*").alias("c")).filter("p < q").select("key", "c")
-    mixed = written(marked.join(written(mixed, "mixed"), "key"), "mixed-keys")
+    marked, mixed = _mixed(members, roots)
+    mixed = written(marked.join(mixed.select("key", "c"), "key").select("key", "s", "root", "c"), "mixed-keys")
     # What is left: pairs of two components that share a key and were not compared. Keys of few sets have few pairs.
     x, y = (mixed.filter(F.col("c") <= FEW).select("key", F.col("s").alias(s), F.col("root").alias(r)) for s, r in (("a", "ra"), ("b", "rb")))
     few = x.join(y, "key").filter("ra <> rb AND a < b").select("a", "b")

@@ -69,6 +69,24 @@ def test_unlinked_sets_of_a_key_are_no_pairs(spark, documents, monkeypatch):
     assert run(documents(rows)) == brute(rows) and sum(pairs) < 100  # all pairs that share a key: 190
 
 
+def test_sets_of_many_keys_meet_one_hub_first(spark, documents, monkeypatch):
+    """Three places with five words each: most keys have 5, 25 or 125 sets, and their hubs differ."""
+    rows = []
+    for i in range(125):
+        words = [f"w{j}" for j in range(150)]
+        for k, at in enumerate((30, 75, 120)):
+            words[at] = f"x{i // 5**k % 5}"
+        rows.append((i, " ".join(words)))
+    pairs, verified = [], nj.verified
+
+    def counted(tried, *rest):
+        pairs.append(tried.count())
+        return verified(tried, *rest)
+
+    monkeypatch.setattr(nj, "verified", counted)
+    assert run(documents(rows)) == brute(rows) and len(pairs) == 3 and pairs[0] + pairs[1] < 2 * len(rows)
+
+
 def test_small_sets_of_all_sizes(spark, documents):
     rng = random.Random(7)
     rows = []
