@@ -3,7 +3,7 @@ import random
 from pyspark.sql import functions as F
 
 from landweave.functions import geometry as G
-from landweave.operators import graph, touch
+from landweave.operators import cells, graph, overlay, touch
 
 SCHEMA = "fid long, geom struct<kind: string, parts: array<array<array<struct<x: double, y: double>>>>>"
 
@@ -46,3 +46,24 @@ def test_sides_and_corners_join_clusters(spark):
     rows = [(1, [square(0, 0, 31.25)]), (2, [square(31.25, 31.25, 31.25)]), (3, [square(62.5, 0, 31.25)]), (4, [[(62.5, 62.5), (80, 80), (62.5, 80)]]), (9, [square(200, 200, 1)])]
     assert {r.node: r.root for r in touch.clusters(layer(spark, rows)).collect()} == {1: 1, 2: 1, 3: 1, 4: 1, 9: 9}
     assert touch.clusters(layer(spark, rows).filter(F.lit(False))).count() == 0
+
+
+def test_pairs_of_blocks_are_those_of_edges(spark, monkeypatch):
+    """L-shapes, frames and boxes, some large, one with a spike: pairs by blocks are the pairs by edges and sweeps, and only the spiked one's are written."""
+    rng, shapes = random.Random(3), []
+    for _ in range(120):
+        x, y, s = rng.randrange(0, 900, 10), rng.randrange(0, 900, 10), rng.choice([20, 60, 100, 2000])
+        h = s / 2
+        shapes.append([[square(x, y, s)], [square(x, y, s), square(x + s / 4, y + s / 4, h)], [[(x, y), (x + s, y), (x + s, y + h), (x + h, y + h), (x + h, y + s), (x, y + s)]]][rng.randrange(3)])
+    shapes.append([[(5, 5), (15, 5), (15, 905), (15, 15), (5, 15)]])
+    polygons, looked, write = layer(spark, enumerate(shapes)), {}, touch.written
+
+    def kept(df, name):
+        looked[name] = write(df, name)
+        return looked[name]
+
+    monkeypatch.setattr(touch, "written", kept)
+    by_blocks = sorted(map(tuple, touch.touching_polygons(polygons).collect())), {(r.a, r.b): round(r.area, 6) for r in overlay.overlaps(polygons).collect()}
+    assert 0 < looked["near-pairs"].count() <= 120
+    monkeypatch.setattr(cells, "MOST_EDGES", 0)
+    assert by_blocks == (sorted(map(tuple, touch.touching_polygons(polygons).collect())), {(r.a, r.b): round(r.area, 6) for r in overlay.overlaps(polygons).collect()})
